@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import langid, simhash
+from kairopanel.llm import langid, secrets, simhash
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -18,11 +18,16 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(doc_id.alias("doc_id"), (id_remainder(doc_id, 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_secrets": op2_secrets,
     "op8_simhash": op8_simhash,
     "op9_langid": op9_langid,
 }
