@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import langid, secrets, simhash
+from kairopanel.llm import langid, mixing, secrets, simhash
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -26,10 +26,55 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP10_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS i
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT source, source_size, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST(i % 3 AS INT) + 1] AS weight, source_size * 2.0::DOUBLE AS stop
+  FROM sources),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS total,
+         (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE - coalesce(sum(stop) OVER up, 0))
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER up, 0)) AS level
+  FROM weighed
+  WINDOW up AS (ORDER BY stop / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+top AS (SELECT max(level) FILTER (WHERE level * weight <= stop) AS level FROM levels),
+targets AS (
+  SELECT l.source, l.source_size, l.total, least(l.stop, coalesce(o.level * l.weight, l.stop)) AS target
+  FROM levels l CROSS JOIN top o),
+ordered AS (
+  SELECT s.doc_id, s.size, s.h, t.source_size, t.target, t.total,
+         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.doc_id, s.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+times AS (
+  SELECT o.*, e.epoch,
+         CASE WHEN target = 0 THEN 0.0::DOUBLE ELSE CAST(upto + e.epoch * source_size AS DOUBLE) / target END AS finish
+  FROM ordered o CROSS JOIN (VALUES (0), (1)) e(epoch)),
+served AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, doc_id, epoch, size ROWS UNBOUNDED PRECEDING) - size AS used FROM times)
+SELECT doc_id, size, source_size, target,
+       CAST(sum(greatest(0, least(size, CAST(floor(total) AS BIGINT) - used))) AS BIGINT) AS taken
+FROM served GROUP BY doc_id, size, source_size, target
+"""
+
+
 QUERIES = {
+    "op10_mixing": op10_mixing,
     "op2_secrets": op2_secrets,
     "op8_simhash": op8_simhash,
     "op9_langid": op9_langid,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_mixing": OP10_SQL,
+}
