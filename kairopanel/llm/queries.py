@@ -22,14 +22,14 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"), _tokenizer())
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairopanel.llm.common import stored, words
@@ -50,14 +50,18 @@ def fingerprint_texts(texts: list[str | None], shingle: int = 3, piece: int = 1
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp bigint) for every row."""
+    """(doc_id, k, fp bigint) for every row; k hashes id and text."""
 
     def each(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprint_texts(b.column(1).to_pylist(), shingle))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fingerprint_texts(b.column(2).to_pylist(), shingle))], names=["doc_id", "k", "fp"])
 
-    src = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    src = docs.select(docs[doc_id].alias("doc_id"), row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
+    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, k bigint, fp bigint")
+
+
+def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
+    return F.xxhash64(docs[doc_id], F.xxhash64(docs[text]))
 
 
 def _cut(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
@@ -184,16 +188,28 @@ def _joined(t: pa.Table, k: np.ndarray, budget: int):
 
 
 def components(prints: DataFrame, budget: int = 3) -> DataFrame:
-    """prints(doc_id, fp) -> (doc_id, fp, component_id): the smallest doc_id reachable by links."""
+    """Adds root (the class of a row) and component_id (the smallest doc_id reachable by links) to prints(doc_id, fp)."""
     prints = stored(prints, "fingerprints")
     roots = connected_components(links(prints, budget)).withColumnRenamed("node", "fp")
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = firsts.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(firsts.select("fp", "root").join(least, "root").select(F.col("fp").alias("of"), "component_id"), "classes")
-    return prints.join(classes.hint("merge"), F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
+    classes = stored(firsts.select("fp", "root").join(least, "root").select(F.col("fp").alias("of"), "root", "component_id"), "classes")
+    return prints.join(classes.hint("merge"), F.col("fp") == F.col("of")).drop("of")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     out = components(fingerprints(docs, doc_id, text, shingle), budget)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
+    """docs with one document of each class, the one with the smallest id (null last); same columns."""
+    from pyspark.sql import Window as W
+
+    rows = components(fingerprints(docs, doc_id, text, shingle), budget)
+    kept = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")).alias("x")).select(F.col("x.k").alias("_k"))
+    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k"))
+    # of repeated rows one stays; the join's shuffle serves the window too
+    out = src.join(kept.hint("merge"), F.col("k") == F.col("_k")).withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("k"))).where("rn = 1")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
