@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import langid, mixing, packing, secrets, simhash
+from kairopanel.llm import langid, mixing, packing, secrets, simhash, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -18,6 +18,28 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(doc_id.alias("doc_id"), (id_remainder(doc_id, 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).drop("url")
+
+
+OP1_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS hexed FROM p),
+d AS (
+  SELECT page_id, payload_bytes,
+         list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(hexed, 1 + CAST(5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), 'string_agg', '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY hexed) AS least
+  FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = least THEN NULL ELSE least END AS refers_to
+FROM d
+"""
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
@@ -79,6 +101,7 @@ FROM served GROUP BY doc_id, size, source_size, target
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op6_packing": op6_packing,
     "op10_mixing": op10_mixing,
     "op2_secrets": op2_secrets,
@@ -87,5 +110,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL,
     "op10_mixing": OP10_SQL,
 }
