@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import langid, mixing, packing, secrets, simhash, warc
+from kairopanel.llm import langid, licenses, mixing, packing, secrets, simhash, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -54,6 +54,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -101,6 +105,7 @@ FROM served GROUP BY doc_id, size, source_size, target
 
 
 QUERIES = {
+    "op7_licenses": op7_licenses,
     "op1_warc": op1_warc,
     "op6_packing": op6_packing,
     "op10_mixing": op10_mixing,
