@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import langid, licenses, mixing, packing, secrets, simhash, warc
+from kairopanel.llm import langid, lattice, licenses, mixing, packing, secrets, simhash, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -44,6 +44,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -105,6 +109,7 @@ FROM served GROUP BY doc_id, size, source_size, target
 
 
 QUERIES = {
+    "op4_lattice": op4_lattice,
     "op7_licenses": op7_licenses,
     "op1_warc": op1_warc,
     "op6_packing": op6_packing,
