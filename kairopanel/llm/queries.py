@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import langid, lattice, licenses, mixing, packing, secrets, simhash, warc
+from kairopanel.llm import ann, langid, lattice, licenses, mixing, packing, secrets, simhash, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -44,6 +44,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows["vec_id"] % 50 == 0)
+
+
 def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -109,6 +114,7 @@ FROM served GROUP BY doc_id, size, source_size, target
 
 
 QUERIES = {
+    "op3_ann": op3_ann,
     "op4_lattice": op4_lattice,
     "op7_licenses": op7_licenses,
     "op1_warc": op1_warc,
