@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import ann, langid, lattice, licenses, mixing, packing, secrets, simhash, warc
+from kairopanel.llm import ann, bloom_lm, langid, lattice, licenses, mixing, packing, secrets, simhash, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -53,6 +53,13 @@ def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 5) == 1
+    out = bloom_lm.score(docs, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -114,6 +121,7 @@ FROM served GROUP BY doc_id, size, source_size, target
 
 
 QUERIES = {
+    "op5_bloom_lm": op5_bloom_lm,
     "op3_ann": op3_ann,
     "op4_lattice": op4_lattice,
     "op7_licenses": op7_licenses,
