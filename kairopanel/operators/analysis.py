@@ -7,11 +7,13 @@ work is spread by key. Per-date holdings are arrays of one group of one day.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 CROSS, SERIES = ["factor", "trade_date"], ["factor", "ts_code"]
 
@@ -226,15 +228,12 @@ def event_summary(frame: DataFrame, horizons: tuple[int, ...] = (1, 5, 10, 20))
 
 def with_p_values(summary: DataFrame) -> DataFrame:
     """Adds the two-sided normal p-value of t_stat: a small table, one row per factor and horizon."""
-    import math
 
-    import pandas as pd
+    def two_sided(frames):
+        for f in frames:
+            yield f.assign(p_value=[None if t is None or t != t else math.erfc(abs(t) / math.sqrt(2)) for t in f["t_stat"]])
 
-    @F.pandas_udf("double")
-    def two_sided(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: None if x is None or x != x else math.erfc(abs(x) / math.sqrt(2)))
-
-    return summary.withColumn("p_value", two_sided("t_stat"))
+    return summary.mapInPandas(two_sided, StructType([*summary.schema.fields, StructField("p_value", DoubleType())]))
 
 
 def event_monitor(frame: DataFrame) -> DataFrame:
