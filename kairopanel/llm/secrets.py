@@ -5,10 +5,11 @@ splits the text into, so no Python runs. Two character Markov models, one of ran
 identifiers, then look at every other run of ``min_run`` or more token characters: it is a span of kind ``markov`` if
 the log-likelihood ratio of the two models is ``threshold`` nats or more.
 
-The models are first-order over the alphabet below, add-``smooth`` smoothed, and fitted on labelled samples: of the
-``sample_docs`` documents whose hashed ids come first, the base spans' values (label random) and up to
-``words_per_doc`` words of each (label ordinary), plus three digests of each id (label random). That bound is on the
-classifier's sample only; every text is scanned whole.
+The models are first-order over the alphabet below, smoothed by character frequencies, and fitted on labelled samples:
+of the ``sample_docs`` documents whose hashed ids come first, the base spans' values (label random) and up to
+``words_per_doc`` words of letters, ``_`` and ``-`` of each, as they are and in upper case (label ordinary), and three
+forms each of ``made_strings`` digests (label random). These bounds are on the classifier's sample only; every text is
+scanned whole.
 
 Defined results: a null text counts as empty; without spans the counts are 0, spans is '' and base_sha256 is the
 digest of ''. Repeated rows and null ids are scanned like any other row; with no documents the result is empty.
@@ -81,22 +82,26 @@ def _codes(token: Column) -> Column:
     return F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 2048, words_per_doc: int = 256, smooth: float = 0.5) -> np.ndarray:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 2048, words_per_doc: int = 256, made_strings: int = 1024, smooth: float = 0.5, backing: float = 8.0) -> np.ndarray:
     """Log-likelihood ratios of random over ordinary, by (last state, state), flattened."""
     src = docs.select(docs[doc_id].alias("d"), docs[text].alias("t"))
     ids = src.select("d", F.xxhash64("d").alias("h")).where("d is not null").orderBy("h", "d").limit(sample_docs).select("d").distinct()
     picked = base_spans(src.join(F.broadcast(ids), "d", "left_semi").select("d", F.coalesce("t", F.lit("")).alias("t")))
     values = F.transform("base", lambda x: F.regexp_extract(F.substring(F.col("t"), x["s"] + 1, x["e"] - x["s"]), r"([A-Za-z0-9+/_=-]+)[.]*$", 1))
-    digest = F.sha2(F.concat(F.lit("sample"), F.col("d").cast("string")), 256)
+    ordinary = F.filter(F.slice(F.split("t", r"[^A-Za-z0-9+/_=-]+"), 1, words_per_doc), lambda w: w.rlike("^[A-Za-z_-]{4,}$"))
+    ordinary = F.concat(ordinary, F.transform(ordinary, F.upper))
+    labelled = picked.select(F.explode(F.array(F.struct(F.lit(1).alias("y"), values.alias("w")), F.struct(F.lit(0).alias("y"), ordinary.alias("w")))).alias("x")).select("x.y", F.explode("x.w").alias("w")).where("w <> ''")
+    digest = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")), 256)
     made = F.array(F.base64(F.unhex(digest)), digest, F.upper(F.translate(F.base64(F.unhex(digest)), "+/=", "")))
-    ordinary = F.filter(F.slice(F.split("t", r"[^A-Za-z0-9+/_=-]+"), 1, words_per_doc), lambda w: (F.length(w) >= 4) & ~w.rlike("[0-9a-f]{16}|AKIA"))
-    labelled = picked.select(F.explode(F.array(F.struct(F.lit(1).alias("y"), F.concat(values, made).alias("w")), F.struct(F.lit(0).alias("y"), ordinary.alias("w")))).alias("x")).select("x.y", F.explode("x.w").alias("w")).where("w <> ''")
+    labelled = labelled.union(docs.sparkSession.range(made_strings).select(F.lit(1).alias("y"), F.explode(made).alias("w")))
     pairs = labelled.withColumn("c", _codes(F.col("w"))).select("y", F.explode(F.arrays_zip(F.concat(F.array(F.lit(0)), F.slice("c", 1, F.size("c") - 1)).alias("a"), F.col("c").alias("b"))).alias("p"))
     counts = pairs.groupBy("y", F.col("p.a").alias("a"), F.col("p.b").alias("b")).count().collect()  # at most 2 * states^2 rows
     n = np.zeros((2, _STATES, _STATES))
     for r in counts:
         n[r.y, r.a, r.b] = r["count"]
-    p = np.log((n + smooth) / (n.sum(2, keepdims=True) + smooth * _STATES))
+    # a state seldom left in one model falls back on that model's frequencies of characters
+    alone = (n.sum(1) + smooth) / (n.sum((1, 2))[:, None] + smooth * _STATES)
+    p = np.log((n + backing * alone[:, None]) / (n.sum(2, keepdims=True) + backing))
     return (p[1] - p[0]).reshape(-1)
 
 
