@@ -162,7 +162,9 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
             return F.when(x.isNotNull() & (F.count(x).over(own) == n), getattr(F, e.op[5:])(x).over(own))
         rows = len(n) if e.op == "wavg" else n
         wn = w.rowsBetween(-(rows - 1), 0)
-        full = F.count(x).over(wn) == rows
+        # full: the window's first row exists and no null has come since; running values, unlike a count over the window
+        first, null = F.lag(DAY, rows - 1).over(w), F.max(F.when(x.isNull(), F.col(DAY))).over(w.rowsBetween(W.unboundedPreceding, 0))
+        full = first.isNotNull() & (null.isNull() | (null < first))
         if e.op in ("newest_max", "newest_min"):
             rn = _spark(e.args[2], done)
             pick = F.max_by(rn, F.struct(x, rn)) if e.op == "newest_max" else F.min_by(rn, F.struct(x, -rn))
@@ -192,15 +194,20 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
 
 
 def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
-    """Pieces that must be columns, by level: what windows and recurrences read, and recurrences themselves."""
+    """Pieces that become columns, by level: what windows and recurrences read, recurrences, and windows used twice."""
     cut: dict[str, Series] = {}
+    seen: set[str] = set()
 
     def visit(e: Series) -> None:
         for c in e.children:
+            if c.op in _WINDOWS and c.key in seen:  # wanted again: computed once
+                cut.setdefault(c.key, c)
             needs = (e.op in _WINDOWS and c.level > 0) or e.op == "recur" or (e.op in ("rank_desc", "cummax") or e.op.startswith("skip_"))
             if needs and c.op not in ("col", "lit"):
                 cut.setdefault(c.key, c)
-            visit(c)
+            if c.key not in seen:
+                seen.add(c.key)
+                visit(c)
         if e.op == "recur":
             cut.setdefault(e.key, e)
 
