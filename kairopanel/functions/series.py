@@ -330,15 +330,24 @@ def _sql(e: Series, done: dict[str, str]) -> str:
     return f"(({a[0]}) {e.op} ({a[1]}))"
 
 
+#: Below each bound, the factor that is kept before cutting to whole numbers (about 6 digits of a value).
+#: A little under a half: exact halves, common among ratios, then never hang on an engine's last bit.
+_UP = 0.49973
+_CUTS = ((0.1, 1e6), (1e2, 1e5), (1e4, 1e3), (1e6, 1e1), (1e12, 1.0))
+
+
 def rounded(x: Column) -> Column:
-    """To 6 decimals (2 from a million on), halves up, in plain double arithmetic that other engines share."""
-    cut = lambda k: F.floor(x * k + 0.5) / k
-    return F.when(F.abs(x) < 1e6, cut(1e6)).when(F.abs(x) < 1e12, cut(1e2)).otherwise(x)
+    """To some six digits in plain double arithmetic that other engines share."""
+    out = F.lit(None).cast("double")
+    for k, (bound, scale) in enumerate(_CUTS):
+        cut = F.floor(x * scale + _UP) / scale
+        out = F.when(F.abs(x) < bound, cut) if not k else out.when(F.abs(x) < bound, cut)
+    return out.otherwise(x)
 
 
 def rounded_sql(x: str) -> str:
-    cut = lambda k: f"floor(({x}) * CAST({k} AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST({k} AS DOUBLE)"
-    return f"CASE WHEN abs({x}) < 1e6 THEN {cut('1e6')} WHEN abs({x}) < 1e12 THEN {cut('1e2')} ELSE {x} END"
+    cut = lambda k: f"floor(({x}) * CAST({k} AS DOUBLE) + CAST({_UP} AS DOUBLE)) / CAST({k} AS DOUBLE)"
+    return f"CASE {' '.join(f'WHEN abs({x}) < {bound} THEN {cut(scale)}' for bound, scale in _CUTS)} ELSE {x} END"
 
 
 def to_sql(panel_sql: str, outputs: dict[str, Series], keep: tuple[str, ...] = (SYMBOL, DAY)) -> str:
