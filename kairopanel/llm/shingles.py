@@ -1,0 +1,159 @@
+"""Near duplicates by exact Jaccard similarity of word-shingle sets, found by a prefix-filtered join.
+
+A document is the set of the 64-bit hashes of its ``shingle``-word shingles over the whole text (a text with fewer
+words is one shingle, one without words none). Equal sets collapse to one node before the join.
+
+Join: with the sets in one common order, two sets of similarity ``num``/``den`` or more share a shingle among the first
+n - ceil(n * num / den) + 1 of each, so joining these prefixes loses no pair. Bounds on the sizes and on what can still
+follow the shared places drop pairs that can't reach the similarity, and every pair left is verified on the whole sets.
+The order puts shingles that are frequent in a sample last, to keep hot keys out of the prefixes; any order gives the
+same pairs, so the sample changes the cost only. Sets are made anew from the texts where they are wanted, and only the
+texts of candidate pairs move (deflated): the sets take more room than the texts.
+
+Why not SimHash here: at similarity 0.8 some 10 of 64 bits differ on average, and more than 16 in one pair of a hundred.
+A budget of 16 leaves blocks of 3 bits, that is all pairs of documents, and would still lose pairs.
+"""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from kairopanel.llm import vectors as V
+from kairopanel.llm.bloom_lm import Tokens
+from kairopanel.llm.common import stored
+from kairopanel.llm.components import connected_components
+from kairopanel.llm.simhash import row_key
+
+
+def shingle_set(ids: np.ndarray, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text's word hashes."""
+    if not len(ids):
+        return np.zeros(0, np.int64)
+    k = min(shingle, len(ids))
+    return np.unique(V.mix(*(ids[i : len(ids) - k + 1 + i] for i in range(k))))
+
+
+def _node(s: np.ndarray) -> int:
+    """A hash of the set."""
+    return int(V.mix(np.array([len(s)]), np.bitwise_xor.reduce(V.mix(s, np.array(3)), keepdims=True), s.sum(keepdims=True))[0])
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(docs[doc_id].alias("doc_id"), row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
+
+
+def sets(rows: DataFrame, shingle: int = 5) -> DataFrame:
+    """rows(doc_id, k, text) to (doc_id, k, g); g: the node of the row's set."""
+
+    def each(batches):
+        tokens = Tokens()
+        for b in batches:
+            g = [_node(shingle_set(tokens.ids(t)[:-1], shingle)) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(g, pa.int64())], names=["doc_id", "k", "g"])
+
+    return rows.select("doc_id", "k", "text").mapInArrow(each, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k bigint, g bigint")
+
+
+def frequent(rows: DataFrame, shingle: int, part: int = 16, least: int = 8, most: int = 1 << 17) -> np.ndarray:
+    """Sorted shingles that come up often in one of ``part`` rows; at most ``most``, for the order of the join only."""
+
+    def each(batches):
+        tokens = Tokens()
+        for b in batches:
+            got = [shingle_set(tokens.ids(t)[:-1], shingle) for t in b.column(0).to_pylist()]
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got))], names=["token"])
+
+    seen = rows.where(F.pmod("k", F.lit(part)) == 0).select("text").mapInArrow(each, "token bigint")
+    counts = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return np.sort(np.array([r.token for r in counts.orderBy(F.desc("n"), "token").limit(most).collect()], np.int64))
+
+
+def prefixes(rows: DataFrame, last: np.ndarray, shingle: int, num: int, den: int, most: int = 1 << 18) -> DataFrame:
+    """(token, g, n, at) for the shingles of each set's prefix; at: their place in the order. last: shingles put last.
+
+    A task leaves out the sets that it remembers (``most`` of them), so that copies don't pile up on their shingles.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(last)
+
+    def each(batches):
+        tokens, known, hots = Tokens(), set(), shared.value
+        for b in batches:
+            token, g, n, at = [], [], [], []
+            for t in b.column(0).to_pylist():
+                s = shingle_set(tokens.ids(t)[:-1], shingle)
+                node = _node(s)
+                if node in known or not len(s):
+                    continue
+                if len(known) >= most:
+                    known.clear()
+                known.add(node)
+                if len(hots):
+                    hot = hots[np.minimum(np.searchsorted(hots, s), len(hots) - 1)] == s
+                    s = np.concatenate([s[~hot], s[hot]])
+                m = len(s) - -(-len(s) * num // den) + 1
+                token.append(s[:m])
+                g.append(np.full(m, node))
+                n.append(np.full(m, len(s), np.int32))
+                at.append(np.arange(m, dtype=np.int32))
+            if token:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (token, g, n, at)], names=["token", "g", "n", "at"])
+
+    return rows.select("text").mapInArrow(each, "token bigint, g bigint, n int, at int").repartition("token").dropDuplicates(["token", "g"])
+
+
+def _deflated(rows: DataFrame) -> DataFrame:
+    def each(batches):
+        for b in batches:
+            z = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["of", "z"])
+
+    return rows.select("k", "text").mapInArrow(each, "of bigint, z binary")
+
+
+def links(rows: DataFrame, nodes: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """(u, v): the pairs of nodes of Jaccard similarity num/den or more. rows(k, text); nodes(g, k): a row of each node."""
+    pre = prefixes(rows, frequent(rows, shingle), shingle, num, den)
+    a, b = pre.select("token", F.col("g").alias("u"), F.col("n").alias("n1"), F.col("at").alias("a1")), pre.select(F.col("token").alias("t2"), F.col("g").alias("v"), F.col("n").alias("n2"), F.col("at").alias("a2"))
+    # Jaccard >= num/den: common * (num + den) >= num * (n1 + n2); common is at most what is left from the shared place on
+    reach = F.least(F.col("n1") - F.col("a1"), F.col("n2") - F.col("a2")).cast("long")
+    fits = reach * (num + den) >= (F.col("n1").cast("long") + F.col("n2")) * num
+    pairs = stored(a.join(b.hint("merge"), (F.col("token") == F.col("t2")) & (F.col("u") < F.col("v")) & fits).select("u", "v").distinct(), "pairs")
+    wanted = pairs.select(F.col("u").alias("g")).union(pairs.select("v")).distinct().join(nodes, "g")
+    texts = stored(_deflated(rows).join(wanted.hint("merge"), F.col("of") == F.col("k")).dropDuplicates(["k"]).select("g", "z"), "texts")
+    side = lambda c, z: texts.select(F.col("g").alias(f"_{c}"), F.col("z").alias(z))
+    both = pairs.join(side("u", "z1").hint("merge"), F.col("u") == F.col("_u")).join(side("v", "z2").hint("merge"), F.col("v") == F.col("_v")).select("u", "v", "z1", "z2")
+
+    def verify(batches):
+        tokens = Tokens()
+        own = lambda z: shingle_set(tokens.ids(zlib.decompress(z).decode("utf-8", "surrogatepass"))[:-1], shingle)
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                s, t = own(x), own(y)
+                keep.append(len(np.intersect1d(s, t, assume_unique=True)) * (num + den) >= num * (len(s) + len(t)))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["u", "v"])
+
+    return both.mapInArrow(verify, "u bigint, v bigint")
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """docs with one document of each class of linked documents, the one with the smallest id (null last); same columns."""
+    texts = _keyed(docs, doc_id, text)
+    rows = stored(sets(texts, shingle), "sets")
+    nodes = rows.groupBy("g").agg(F.min("k").alias("k"))
+    roots = connected_components(links(texts, nodes, shingle, num, den)).select(F.col("node").alias("of"), "root")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")).alias("x")
+    firsts = rows.groupBy("g").agg(least)  # a class may hold very many copies: they collapse before the join
+    kept = firsts.join(roots, F.col("g") == F.col("of"), "left").groupBy(F.coalesce("root", "g").alias("root")).agg(F.min("x").alias("x")).select(F.col("x.k").alias("_k"))
+    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k"))
+    # of repeated rows one stays; the join's shuffle serves the window too
+    out = src.join(kept.hint("merge"), F.col("k") == F.col("_k")).withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("k"))).where("rn = 1")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
