@@ -1,9 +1,12 @@
 """Stages of the corpus pipeline against brute force on small tables."""
 
+import inspect
+
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kairopanel.llm import shingles
+from kairopanel.llm import bloom_lm, shingles
 from kairopanel.llm.bloom_lm import Tokens
 
 
@@ -65,3 +68,15 @@ def test_near_duplicate_stage_without_links(spark):
     got = sorted((r.text, r.doc_id) for r in shingles.deduplicate(docs).collect())
     assert got == [("a b c", 2), ("x y z", None)]
     assert shingles.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_bigrams_seen_once_count(spark):
+    pairs = [(i, f"a{i} b{i}") for i in range(200)]  # every bigram of words is seen once
+    texts = [*pairs, (1000, "a7 b7"), (1001, "a7 b8")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in bloom_lm.score(docs, F.col("doc_id") < 1000, segments=16).collect()}
+    counts = bloom_lm.count(docs.where("doc_id < 1000"), 16)
+    rows = [(r.segment, r.size, bytes(r.filter)) for r in bloom_lm.build(counts, inspect.signature(bloom_lm.score).parameters["min_count"].default, 2.0, 12, 3).collect()]
+    own = np.concatenate([bloom_lm.bigrams(Tokens().ids(t)) for _, t in pairs])
+    assert (bloom_lm.Filter(rows, 16, 3).levels(own) > 0).all()
+    assert got[1000] >= got[1001]
