@@ -1,7 +1,9 @@
 """Incremental factor upkeep as a stream of daily files.
 
-New bars arrive as files; each micro-batch recomputes the touched symbols' recent history and replaces only the new
-days in the factor table, so a replayed batch gives the same table (see Catalog.replace_days).
+New bars arrive as files. Each micro-batch merges them into the bars by symbol and day and recomputes the touched
+symbols (all symbols where an output ranks across them) from their first new day on, over their whole history, as sums
+and recurrences begin with a symbol's first row. The factor table is then that of one evaluation over all bars, and a
+replayed batch gives the same table (see Catalog.replace_days).
 """
 
 from __future__ import annotations
@@ -14,23 +16,40 @@ from kairopanel.functions.series import DAY, SYMBOL, Series, evaluate
 from kairopanel.sources.catalog import Catalog
 
 
-def upkeep(spark: SparkSession, source: str, schema: StructType, catalog: Catalog, bars: str, target: str, outputs: dict[str, Series], checkpoint: str, history_days: int = 800):
-    """A query that, on each new set of bar files, appends them to ``bars`` and updates ``target``; run with availableNow."""
+def _uses(e: Series, op: str) -> bool:
+    return e.op == op or any(_uses(c, op) for c in e.children)
+
+
+def upkeep(spark: SparkSession, source: str, schema: StructType, catalog: Catalog, bars: str, target: str, outputs: dict[str, Series], checkpoint: str, history_days: int | None = None):
+    """A query that, on each new set of bar files, merges them into ``bars`` and updates ``target``; run with availableNow.
+
+    history_days: days of bars read before the first new one; for outputs of short windows only, default all.
+    """
+    across = any(_uses(e, "rank_desc") for e in outputs.values())
+    ahead = any(_uses(e, "lead") for e in outputs.values())
+
+    def merge(rows: DataFrame, name: str) -> None:
+        """Puts rows into the table by symbol and day; other rows of their days stay."""
+        if catalog.exists(name):
+            old = catalog.read(name).drop("_day").join(rows.select(DAY).distinct(), DAY, "left_semi").join(rows.select(SYMBOL, DAY), [SYMBOL, DAY], "left_anti")
+            rows = rows.unionByName(old.select(*rows.columns))
+        # written aside first: a table can't be read and replaced in one job
+        catalog.write(rows, f"{name}_batch")
+        catalog.replace_days(catalog.read(f"{name}_batch"), name, DAY)
 
     def step(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        catalog.replace_days(batch, bars, DAY)
-        new = batch.select(SYMBOL, DAY).distinct()
-        since = new.groupBy(SYMBOL).agg(F.date_sub(F.min(DAY), history_days).alias("_since"))
-        recent = catalog.read(bars).drop("_day").join(since, SYMBOL).where(F.col(DAY) >= F.col("_since")).drop("_since")
-        done = evaluate(recent, outputs).join(new, [SYMBOL, DAY], "left_semi")
-        if catalog.exists(target):  # other symbols of a day that comes again stay
-            old = catalog.read(target).drop("_day").join(new.select(DAY).distinct(), DAY, "left_semi").join(new, [SYMBOL, DAY], "left_anti")
-            done = done.unionByName(old.select(*done.columns))
-        # written aside first: a table can't be read and replaced in one job
-        catalog.write(done, f"{target}_batch")
-        catalog.replace_days(catalog.read(f"{target}_batch"), target, DAY)
+        merge(batch, bars)
+        every = catalog.read(bars).drop("_day")
+        first = batch.groupBy(SYMBOL).agg(F.min(DAY).alias("_first"))
+        if across:
+            first = every.select(SYMBOL).distinct().crossJoin(batch.agg(F.min(DAY).alias("_first")))
+        used = every.join(first.withColumnRenamed("_first", "_since"), SYMBOL)
+        if history_days is not None:
+            used = used.where(F.col(DAY) >= F.date_sub("_since", history_days))
+        done = evaluate(used.drop("_since"), outputs).join(first, SYMBOL)
+        merge((done if ahead else done.where(F.col(DAY) >= F.col("_first"))).drop("_first"), target)
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True)
