@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +14,22 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset, below a folder of our own."""
+    """A new folder below spark.checkpoint.dir; a local session without it gets a folder of its own, a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("kairopanel.scratch.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="kairopanel-")
         spark.conf.set("kairopanel.scratch.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that work_dir named."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = f"{work_dir(df.sparkSession, name)}.parquet"
@@ -33,6 +42,39 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.random.default_rng(20).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = np.uint64(0x5851F42D4C957F2D)
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one text after another, and the number of words of each text.
+
+    A word's hash is a polynomial in its lower-cased bytes, made for all words at once; nothing is kept between calls.
+    """
+    raw = [t.encode("utf-8", "surrogatepass").translate(LOWER) if t else b"" for t in texts]
+    x = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    word = ~_SPACE[x]
+    turn = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if word[0]:
+        turn = np.append(0, turn)
+    starts, sizes = turn[::2], turn[1::2] - turn[::2]
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0)
+    if not len(starts):
+        return np.zeros(0, np.int64), counts
+    first = np.cumsum(sizes) - sizes
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(np.append(np.uint64(1), np.full(int(sizes.max()) - 1, _STEP)))
+        h = np.add.reduceat(_BYTE[x[word]] * power[np.arange(int(sizes.sum())) - np.repeat(first, sizes)], first)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+        h += sizes.astype(np.uint64)
+    return h.view(np.int64), counts
+
+
 def n_words(text: Column) -> Column:
     """Number of [^\\x20\\x09-\\x0D]+, 0 for null; JVM-side and without building the words."""
     gaps = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\x20\x09-\x0D]+", "w")

@@ -6,8 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kairopanel.llm import bloom_lm, shingles
-from kairopanel.llm.bloom_lm import Tokens
+from kairopanel.llm import bloom_lm
+
 
 
 def near_copies(g):
@@ -77,6 +77,6 @@ def test_bigrams_seen_once_count(spark):
     got = {r.doc_id: r.score for r in bloom_lm.score(docs, F.col("doc_id") < 1000, segments=16).collect()}
     counts = bloom_lm.count(docs.where("doc_id < 1000"), 16)
     rows = [(r.segment, r.size, bytes(r.filter)) for r in bloom_lm.build(counts, inspect.signature(bloom_lm.score).parameters["min_count"].default, 2.0, 12, 3).collect()]
-    own = np.concatenate([bloom_lm.bigrams(Tokens().ids(t)) for _, t in pairs])
+    own = np.concatenate([bloom_lm.bigrams(x) for x in bloom_lm.tokens([t for _, t in pairs])])
     assert (bloom_lm.Filter(rows, 16, 3).levels(own) > 0).all()
     assert got[1000] >= got[1001]

@@ -292,6 +292,39 @@ def test_language_model(spark, round_bytes):
     assert (none.n_known, none.train_tokens, none.base_score, none.score) == (0, 0, 0.0, 0.0)
 
 
+def test_language_model_score(spark):
+    """The model's score against the same model in plain Python, with a filter so wide that it errs in no probe."""
+    g = np.random.default_rng(6)
+    texts = [" ".join(f"w{x % 30}" for x in np.cumsum(g.choice([1, 7], int(g.integers(1, 80))))) for _ in range(120)] + ODD
+    got = {r.doc_id: r.score for r in bloom_lm.score(docs_of(spark, texts), F.col("doc_id") % 5 != 1, bits=512, segments=16).collect()}
+    table = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    tokens = [(t or "").encode().translate(table).split() + [None] for t in texts]
+    train = [t for i, t in enumerate(tokens) if i % 5 != 1]
+    c = Counter(x for t in train for x in t)
+    pair = Counter((a, b) for t in train for a, b in zip(["start", *t[:-1]], t, strict=True))
+    n, v = sum(c.values()), len(c)
+
+    def each(t, out=0):
+        """(magnitude, bigram count by level, context count, unigram probability) of every token; out: how often it is left out."""
+        for a, b in zip(["start", *t[:-1]], t, strict=True):
+            context = len(train) if a == "start" else max(c[a] - out, 0)
+            seen = min(2 ** int(math.log2(pair[a, b])) if pair[a, b] else 0, context)
+            yield min(23, int(math.log2(context + 1))), max(seen - out, 0), context, (max(c[b] - out, 0) + 0.5) / (n + 0.5 * (v + 1))
+
+    likely = defaultdict(float)
+    for t in train:
+        for m, seen, context, u in each(t, 1):
+            for w in bloom_lm._WEIGHTS:
+                likely[m, w] += math.log(w * min(seen / max(context, 1), 1) + (1 - w) * u)
+    met = sorted({m for m, _ in likely})
+    near = lambda m: min(met, key=lambda k: abs(k - m))
+    best = {m: max(bloom_lm._WEIGHTS, key=lambda w: likely[near(m), w]) for m in range(24)}
+    assert max(best.values()) > 0
+    for i, t in enumerate(tokens):
+        want = sum(math.log10(best[m] * seen / max(context, 1) + (1 - best[m]) * u) for m, seen, context, u in each(t))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
 def test_filter_never_misses():
     g = np.random.default_rng(5)
     h = np.unique(g.integers(-(2**63), 2**63 - 1, 5000))
