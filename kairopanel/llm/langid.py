@@ -3,11 +3,13 @@
 The network (one GRU per direction over UTF-8 bytes, hidden size ``hidden``) is trained in numpy by
 backpropagation through time on windows of a bounded sample of labelled rows: at most ``per_lang`` documents a
 language, the ones whose hashed ids come first, and of each at most ``excerpt`` characters from a hashed place.
-Every position gets a label distribution; a document's probabilities are the mean over all its bytes.
+Windows are of all lengths from ``shortest`` up, so that short texts and text ends look like what was learned. Every
+position gets a label distribution; a document's probabilities are the mean over all its bytes.
 
-Prediction reads every byte of every text: texts are cut into windows of ``WINDOW`` bytes, the windows of many
-documents form one batch, and only sums per document are kept, so memory doesn't grow with a text beyond the
-text itself.
+Prediction reads every byte of every text: texts are cut into windows of ``WINDOW`` bytes, windows of like length of
+many documents form one batch, and only sums per document are kept, so memory doesn't grow with a text beyond the text
+itself. Shorter windows are filled up with ``PAD``, at which the state is zero in both directions, so a text's
+prediction depends neither on padding nor on its neighbours in the batch.
 
 Defined results: null text, empty text and text without a Unicode letter give ``und`` with score 0; so does
 every text if no labelled row exists. Repeated rows are scored one by one; ties between languages go to the
@@ -25,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WINDOW = 128
+WINDOW = 256
+PAD = 256
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
 class BiGRU:
-    """Per direction: gate tables by byte (rz: 256 x 2H, n: 256 x H), recurrences u_rz, u_n, and a joint read-out.
+    """Per direction: gate tables by byte (rz: 257 x 2H, n: 257 x H; row 256 is PAD), recurrences u_rz, u_n, and a joint read-out.
 
     Gates use tanh form: sigmoid(a) = (1 + tanh(a / 2)) / 2, with the half folded into the weights.
     """
@@ -51,11 +54,12 @@ class BiGRU:
         return BiGRU(langs, {k: v.astype(np.float32) for k, v in p.items()})
 
     def states(self, x: np.ndarray, d: str, keep: bool = False):
-        """Hidden states (T, B, H) for byte windows x (T, B); direction b runs from the end."""
+        """Hidden states (T, B, H) for byte windows x (T, B), zero at PAD; direction b runs from the end."""
         p, (t_max, b) = self.p, x.shape
         h = np.zeros((b, p[f"u_n{d}"].shape[0]), np.float32)
         n_h = h.shape[1]
-        out, kept = np.empty((t_max, b, n_h), np.float32), []
+        out, kept, live = np.empty((t_max, b, n_h), np.float32), [], x != PAD
+        short = ~live.all(1)
         for t in range(t_max) if d == "f" else range(t_max - 1, -1, -1):
             rz = np.take(p[f"x_rz{d}"], x[t], axis=0, mode="clip")
             rz += h @ p[f"u_rz{d}"]
@@ -70,6 +74,8 @@ class BiGRU:
             if keep:
                 kept.append((t, h, rz, un, n))
             h = np.add(n, z * (h - n), out=out[t])
+            if short[t]:
+                h *= live[t][:, None]
         return (out, kept) if keep else out
 
     def positions(self, x: np.ndarray) -> np.ndarray:
@@ -81,8 +87,8 @@ class BiGRU:
         return a.reshape(-1, *x.shape)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy over all positions and its gradients, by backpropagation through time."""
-        p, (t_max, b) = self.p, x.shape
+        """Mean cross-entropy over all positions but PAD and its gradients, by backpropagation through time."""
+        p, (t_max, b), live = self.p, x.shape, (x != PAD)[:, :, None]
         hs, kept = {}, {}
         for d in "fb":
             hs[d], kept[d] = self.states(x, d, keep=True)
@@ -90,9 +96,10 @@ class BiGRU:
         a -= a.max(-1, keepdims=True)
         q = np.exp(a)
         q /= q.sum(-1, keepdims=True)
-        loss = float(-np.log(q[:, np.arange(b), y] + 1e-9).mean())
+        n_live = int(live.sum())
+        loss = float(-(np.log(q[:, np.arange(b), y] + 1e-9) * live[:, :, 0]).sum() / n_live)
         q[:, np.arange(b), y] -= 1
-        q /= t_max * b
+        q *= live / np.float32(n_live)
         g = {k: np.zeros_like(v) for k, v in p.items()}
         g["b"] = q.sum((0, 1))
         for d in "fb":
@@ -101,7 +108,7 @@ class BiGRU:
             into, dh = q @ p[f"w{d}"].T, np.zeros((b, n_h), np.float32)
             d_rz, d_n = np.empty((t_max, b, 2 * n_h), np.float32), np.empty((t_max, b, n_h), np.float32)
             for t, h0, rz, un, n in reversed(kept[d]):
-                dh = dh + into[t]
+                dh = (dh + into[t]) * live[t]
                 r, z = rz[:, :n_h], rz[:, n_h:]
                 dn = dh * (1 - z) * (1 - n * n)
                 d_n[t] = dn
@@ -115,8 +122,8 @@ class BiGRU:
         return loss, g
 
 
-def train(texts: list[bytes], labels: list[str], hidden: int = 8, window: int = 48, batch: int = 128, steps: int = 400, seed: int = 7) -> BiGRU | None:
-    """Fits the network by Adam on random windows, languages drawn evenly; None without labelled bytes."""
+def train(texts: list[bytes], labels: list[str], hidden: int = 8, window: int = 48, shortest: int = 8, batch: int = 128, steps: int = 400, seed: int = 7) -> BiGRU | None:
+    """Fits the network by Adam on random windows of shortest to window bytes, languages drawn evenly; None without labelled bytes."""
     pairs = sorted((y, x) for x, y in zip(texts, labels, strict=True) if x)
     langs = sorted({y for y, _ in pairs})
     if not langs:
@@ -127,10 +134,10 @@ def train(texts: list[bytes], labels: list[str], hidden: int = 8, window: int =
     m, v = ({k: np.zeros_like(w) for k, w in model.p.items()} for _ in range(2))
     for step in range(1, steps + 1):
         y = g.integers(0, len(langs), batch)
-        x = np.full((window, batch), 32, np.int64)
-        for j, k in enumerate(y):
+        x, sizes = np.full((window, batch), PAD, np.int64), g.integers(shortest, window + 1, batch)
+        for j, (k, n) in enumerate(zip(y, sizes, strict=True)):
             doc = by[k][g.integers(len(by[k]))]
-            part = doc[(at := g.integers(max(1, len(doc) - window + 1))) : at + window]
+            part = doc[(at := g.integers(max(1, len(doc) - n + 1))) : at + n]
             x[: len(part), j] = part
         _, grad = model.gradients(x, y)
         norm = sum(float((w * w).sum()) for w in grad.values()) ** 0.5
@@ -143,11 +150,11 @@ def train(texts: list[bytes], labels: list[str], hidden: int = 8, window: int =
     return model
 
 
-def _pooled(model: BiGRU, texts: list[bytes], rows: int = 2048) -> np.ndarray:
+def _pooled(model: BiGRU, texts: list[bytes], rows: int = 1024) -> np.ndarray:
     """Mean position probabilities of each text, over all its bytes."""
     sizes = np.array([len(t) for t in texts])
     counts = -(-sizes // WINDOW)
-    whole = np.zeros((int(counts.sum()), WINDOW), np.uint8)
+    whole = np.full((int(counts.sum()), WINDOW), PAD, np.uint16)
     owner = np.repeat(np.arange(len(texts)), counts)
     flat, at = whole.reshape(-1), 0
     for t, c in zip(texts, counts, strict=True):
@@ -156,12 +163,14 @@ def _pooled(model: BiGRU, texts: list[bytes], rows: int = 2048) -> np.ndarray:
     ends = np.full(len(whole), WINDOW)
     ends[np.cumsum(counts) - 1] = sizes - (counts - 1) * WINDOW
     total = np.zeros((len(texts), len(model.langs)))
-    step = np.arange(WINDOW)[:, None]
+    order = np.argsort(ends, kind="stable")
     for lo in range(0, len(whole), rows):
-        q = model.positions(np.ascontiguousarray(whole[lo : lo + rows].T, dtype=np.int64))
-        short = np.nonzero(ends[lo : lo + rows] < WINDOW)[0]
-        q[:, :, short] *= step < ends[lo : lo + rows][short]
-        np.add.at(total, owner[lo : lo + rows], q.sum(1, dtype=np.float64).T)
+        some = order[lo : lo + rows]
+        longest = int(ends[some[-1]])
+        q = model.positions(np.ascontiguousarray(whole[some, :longest].T, dtype=np.int64))
+        if ends[some[0]] < longest:
+            q *= np.arange(longest)[:, None] < ends[some]
+        np.add.at(total, owner[some], q.sum(1, dtype=np.float64).T)
     return total / sizes[:, None]
 
 
@@ -192,7 +201,7 @@ def predict_texts(model: BiGRU | None, texts: list[str | None], most: int = 1 <<
 def sample(labelled: DataFrame, per_lang: int = 512, excerpt: int = 2048) -> tuple[list[bytes], list[str]]:
     """At most ``per_lang`` (text excerpt, lang) pairs a language from labelled(doc_id, text, lang).
 
-    Chosen by hashed id, so any partitioning gives the same rows: ids first (no text is read), then their texts.
+    Chosen by hashed id, so any partitioning gives the same rows: ids first (no text is read), then one text of each.
     """
     from pyspark.sql import Window as W
 
@@ -202,8 +211,9 @@ def sample(labelled: DataFrame, per_lang: int = 512, excerpt: int = 2048) -> tup
     ids = ids.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max(1, per_lang // cells)).select("doc_id").distinct()
     text = F.coalesce("text", F.lit(""))
     at = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length(text) - excerpt, F.lit(1))) + 1
-    rows = labelled.where("lang is not null").join(F.broadcast(ids), "doc_id", "left_semi").select("lang", F.substring(text, at.cast("int"), F.lit(excerpt)).alias("t")).collect()
-    return [r.t.encode("utf-8", "surrogatepass") for r in rows], [r.lang for r in rows]
+    rows = labelled.where("lang is not null").join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", F.struct("lang", F.substring(text, at.cast("int"), F.lit(excerpt)).alias("t")).alias("x"))
+    rows = sorted((r.x.lang, r.x.t) for r in rows.groupBy("doc_id").agg(F.min("x").alias("x")).select("x").collect())  # a row an id
+    return [t.encode("utf-8", "surrogatepass") for _, t in rows], [lang for lang, _ in rows]
 
 
 def fit(labelled: DataFrame, per_lang: int = 512, excerpt: int = 2048, **kw) -> BiGRU | None:

@@ -48,6 +48,7 @@ def test_langid_gradients():
     m = langid.BiGRU.fresh(["a", "b"], 3, 2)
     m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
     x, y = g.integers(0, 256, (5, 4)), np.array([0, 1, 1, 0])
+    x[3:, 1] = langid.PAD
     m.states = lambda x, d, keep=False, f=langid.BiGRU.states: f(m, x, d, keep)
     _, grad = m.gradients(x, y)
     for k in ("u_nf", "u_rzb", "wf", "b"):
@@ -61,12 +62,49 @@ def test_langid_gradients():
         assert grad[k][at] == pytest.approx((losses[0] - losses[1]) / (2 * eps), rel=0.05, abs=1e-4)
 
 
-def test_langid_windows_do_not_change_whole_text():
+def test_langid_prediction_is_the_text_s_own():
+    """Against a plain reading of each text alone, whatever its length and its neighbours."""
     g = np.random.default_rng(3)
     m = langid.BiGRU.fresh(["a", "b"], 4, 1)
-    text = bytes(g.integers(97, 123, 5 * langid.WINDOW + 7).astype(np.uint8))
-    alone, both = langid._pooled(m, [text])[0], langid._pooled(m, [text, b"ab"], rows=2)[0]
-    assert np.allclose(alone, both, atol=1e-6) and alone.sum() == pytest.approx(1, abs=1e-5)
+    texts = [bytes(g.integers(97, 123, n).astype(np.uint8)) for n in (1, 2, 7, 100, langid.WINDOW - 1, langid.WINDOW, 3 * langid.WINDOW + 5)]
+    both = langid._pooled(m, texts, rows=3)
+    for t, got in zip(texts, both, strict=True):
+        total = np.zeros(2)
+        for lo in range(0, len(t), langid.WINDOW):
+            w = np.frombuffer(t[lo : lo + langid.WINDOW], np.uint8).astype(np.int64)
+            states = []
+            for d, seq in (("f", w), ("b", w[::-1])):
+                h, out = np.zeros(4), []
+                for c in seq:
+                    r, z = np.split(0.5 + 0.5 * np.tanh(m.p[f"x_rz{d}"][c] + h @ m.p[f"u_rz{d}"]), 2)
+                    n = np.tanh(m.p[f"x_n{d}"][c] + r * (h @ m.p[f"u_n{d}"]))
+                    h = (1 - z) * n + z * h
+                    out.append(h)
+                states.append(np.array(out if d == "f" else out[::-1]))
+            a = states[0] @ m.p["wf"] + states[1] @ m.p["wb"] + m.p["b"]
+            q = np.exp(a - a.max(1, keepdims=True))
+            total += (q / q.sum(1, keepdims=True)).sum(0)
+        assert np.allclose(got, total / len(t), atol=1e-5)
+
+
+def test_langid_of_short_texts():
+    g = np.random.default_rng(8)
+    made = {lang: " ".join(speech(g, list(letters))) for lang, letters in (("aa", "abcdeot"), ("bb", "defghot"), ("zz", "vwxyzot"))}
+    texts = [t[i : i + 400] for t in made.values() for i in range(0, 8000, 400)]
+    langs = [lang for lang in made for _ in range(0, 8000, 400)]
+    m = langid.train([t.encode() for t in texts], langs, steps=250)
+    for n in (12, 20, 60):
+        cut = [(lang, t[i : i + n]) for lang, t in made.items() for i in range(8000, 8000 + 40 * n, n)]
+        cut = [(lang, t) for lang, t in cut if len(t) == n]
+        got = langid.predict_texts(m, [t for _, t in cut])[0]
+        assert np.mean([x == lang for x, (lang, _) in zip(got, cut, strict=True)]) >= 0.9
+
+
+def test_langid_of_empty_tables(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert langid.fit(df) is None and langid.predict(df, None).count() == 0
+    twice = spark.createDataFrame([(1, "abc def", "aa")] * 30 + [(2, "xyz", "zz")], df.schema)
+    assert langid.sample(twice) == ([b"abc def", b"xyz"], ["aa", "zz"])
 
 
 # --- secrets ---
