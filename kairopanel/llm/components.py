@@ -9,9 +9,13 @@ from kairopanel.llm.common import stored
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
-    """(u, v) with m, the least of u and all its v."""
+    """(u, v) with m, the least of u and all its v.
+
+    The least are a written table, so that Spark sees their size: small ones are broadcast and the edges stay where they
+    are; beyond that both sides of the join come straight from a shuffle, where adaptive execution splits a hub's edges.
+    """
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("mu"), F.least("u", "m").alias("m"))
-    return edges.join(least.hint("merge"), F.col("u") == F.col("mu")).select("u", "v", "m")
+    return edges.join(stored(least, "least"), F.col("u") == F.col("mu")).select("u", "v", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """SimHash near-duplicates by a binary trie self-join.
 
-Fingerprint: 64 bits from the XXH64 (seed 42) of every ``shingle``-word shingle of the whole text, repeats
-included; a bit is 1 if more than half of the hashes have it. Texts without words get fingerprint zero and
+Fingerprint (``near_duplicates``): 64 bits from the XXH64 (seed 42) of every ``shingle``-word shingle of the whole text,
+repeats included; a bit is 1 if more than half of the hashes have it. Texts without words get fingerprint zero and
 link like any other; a text with fewer words than a shingle is one shingle.
 
 Join: of ``budget`` + 1 equal blocks of bits, two fingerprints within the budget agree in one at least. Every
@@ -11,21 +11,36 @@ differ and dropping a pair as soon as the budget is exceeded. Groups of more tha
 into chunks, and each pair of chunks is a group of its own, so that no task ever holds a whole hot group; no
 pair is lost. A task returns only a spanning forest of the links it finds (as many rows as fingerprints at most).
 
+Deduplication (``deduplicate``): links are texts whose sets of ``shingle``-word shingles have a Jaccard similarity of
+``similarity`` or more. At 0.8 some 15 of 100 SimHash bits differ, more than one trie of whole fingerprints can be
+searched for, so the fingerprint has 512 bits and the trie join runs on several tables of 32 of them, each dealt by its
+first bits and joined within a budget of 3 on the rest. The number of tables follows from the share of pairs at the very
+similarity that one table finds, so that ``success`` of them are found (closer pairs more surely), and the first bits
+grow with the number of texts, so that groups don't. What is found goes on if further 96 bits differ as little as such
+pairs do, and is then verified on the whole texts. So that a group of copies isn't expanded into pairs, a task returns a
+spanning forest of what it finds; only where verifying refuses an edge of a tree are the other pairs of its nodes made,
+those within a class already verified excepted: no pair found is lost.
+
 Null doc_id: the row takes part; its component_id is the smallest id reachable, null if there is none. Copies
-and repeated rows meet in one fingerprint and are never paired with each other.
+and repeated rows meet in one fingerprint or set and are never paired with each other. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+import zlib
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kairopanel.llm.common import stored, words
+from kairopanel.llm import vectors as V
+from kairopanel.llm.common import stored, word_hashes, words
 from kairopanel.llm.components import connected_components
 
 BITS = 64
@@ -57,65 +72,87 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fingerprint_texts(b.column(2).to_pylist(), shingle))], names=["doc_id", "k", "fp"])
 
     src = docs.select(docs[doc_id].alias("doc_id"), row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
-    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, k bigint, fp bigint")
+    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, k binary, fp bigint")
 
 
 def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
-    return F.xxhash64(docs[doc_id], F.xxhash64(docs[text]))
-
+    """128 bits of id and text, nulls apart from empty ones."""
+    part = lambda c: F.coalesce(F.concat(F.lit("s"), c.cast("string")), F.lit("n"))
+    return F.unhex(F.md5(F.concat(part(docs[doc_id]), F.lit("\n"), part(docs[text]))))
 
-def _cut(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
-    """For sorted x, ranges [lo, hi) whose members agree above bit ``depth``: where the bit turns from 0 to 1."""
-    one = np.cumsum(np.concatenate([[0], (x >> np.uint64(depth)) & np.uint64(1)]).astype(np.int64))
-    return hi - (one[hi] - one[lo])
 
-
-def trie_pairs(x: np.ndarray, starts: np.ndarray, side: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i < j or across sides) within ``budget`` differing bits, for many groups at once.
+def trie_pairs(x: np.ndarray, starts: np.ndarray, side: np.ndarray, budget: int, low: int = 0, cap: int = 1 << 18):
+    """Yields index pairs (i < j or across sides) within ``budget`` differing bits from bit ``low`` up, for many groups at once.
 
     x: uint64, sorted within every run of equal (group, side). starts: bounds of the runs. side: for each run -1
-    (join it with itself), or 0, directly followed by its partner run 1 (join the two).
+    (join it with itself), or 0, directly followed by its partner run 1 (join the two). Some ``cap`` pairs of nodes are
+    walked down at once; the others wait.
     """
+    ones: dict[int, np.ndarray] = {}
+
+    def cut(lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
+        """For ranges [lo, hi) whose members agree above bit ``depth``: where the bit turns from 0 to 1."""
+        if depth not in ones:
+            ones[depth] = np.cumsum(np.concatenate([[0], (x >> np.uint64(depth)) & np.uint64(1)]), dtype=np.int32)
+        return hi - (ones[depth][hi] - ones[depth][lo])
+
     lo, hi = starts[:-1], starts[1:]
     own, left = np.nonzero(side < 0)[0], np.nonzero(side == 0)[0]
     a_lo, a_hi = np.concatenate([lo[own], lo[left]]), np.concatenate([hi[own], hi[left]])
     b_lo, b_hi = np.concatenate([lo[own], lo[left + 1]]), np.concatenate([hi[own], hi[left + 1]])
-    diff = np.zeros(len(a_lo), np.int64)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for depth in range(BITS - 1, -2, -1):
+    todo = [(BITS - 1, a_lo, a_hi, b_lo, b_hi, np.zeros(len(a_lo), np.int64))]
+    while todo:
+        depth, *nodes = todo.pop()
+        if len(nodes[0]) > cap:
+            half = len(nodes[0]) // 2
+            todo += [(depth, *(v[half:] for v in nodes)), (depth, *(v[:half] for v in nodes))]
+            continue
+        a_lo, a_hi, b_lo, b_hi, diff = nodes
         same = a_lo == b_lo
         live = (a_hi > a_lo) & (b_hi > b_lo) & ~(same & (a_hi - a_lo < 2))
         leaf = live & (a_hi - a_lo == 1) & (b_hi - b_lo == 1)  # both paths are single: compare what is left at once
         if leaf.any():
             i, j = a_lo[leaf], b_lo[leaf]
-            ok = np.bitwise_count(x[i] ^ x[j]) <= budget
-            found.append((i[ok], j[ok]))
+            ok = np.bitwise_count((x[i] ^ x[j]) >> np.uint64(low)) <= budget
+            yield i[ok], j[ok]
         live &= ~leaf
         a_lo, a_hi, b_lo, b_hi, diff, same = a_lo[live], a_hi[live], b_lo[live], b_hi[live], diff[live], same[live]
-        if depth < 0 or not len(a_lo):
-            break
-        a_cut, b_cut = _cut(x, a_lo, a_hi, depth), _cut(x, b_lo, b_hi, depth)
+        if not len(a_lo):
+            continue
+        if depth < low:  # what is left is equal in all bits looked at but those counted
+            yield from _across(a_lo, a_hi, b_lo, b_hi, cap)
+            continue
+        a_cut, b_cut = cut(a_lo, a_hi, depth), cut(b_lo, b_hi, depth)
         more = diff < budget
         cross = more & ~same
-        a_lo, a_hi, b_lo, b_hi, diff = (
-            np.concatenate(v)
-            for v in (
-                (a_lo, a_cut, a_lo[more], a_cut[cross]),
-                (a_cut, a_hi, a_cut[more], a_hi[cross]),
-                (b_lo, b_cut, b_cut[more], b_lo[cross]),
-                (b_cut, b_hi, b_hi[more], b_cut[cross]),
-                (diff, diff, diff[more] + 1, diff[cross] + 1),
+        todo.append(
+            (
+                depth - 1,
+                *(
+                    np.concatenate(v)
+                    for v in (
+                        (a_lo, a_cut, a_lo[more], a_cut[cross]),
+                        (a_cut, a_hi, a_cut[more], a_hi[cross]),
+                        (b_lo, b_cut, b_cut[more], b_lo[cross]),
+                        (b_cut, b_hi, b_hi[more], b_cut[cross]),
+                        (diff, diff, diff[more] + 1, diff[cross] + 1),
+                    )
+                ),
             )
         )
-    # what is left at full depth is equal in all bits; distinct input has none on one side, across sides a pair may be
-    if len(a_lo):
-        for p, q, r, s in zip(a_lo, a_hi, b_lo, b_hi, strict=True):
-            i, j = np.meshgrid(np.arange(p, q), np.arange(r, s), indexing="ij")
-            keep = (i < j) if p == r else np.ones(i.shape, bool)
-            found.append((i[keep], j[keep]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _across(a_lo: np.ndarray, a_hi: np.ndarray, b_lo: np.ndarray, b_hi: np.ndarray, cap: int):
+    """All index pairs of range pairs, some ``cap`` at a time; of a range with itself i < j."""
+    owner = np.repeat(np.arange(len(a_lo)), a_hi - a_lo)
+    i = np.arange(len(owner)) - np.repeat(np.cumsum(a_hi - a_lo) - (a_hi - a_lo), a_hi - a_lo) + a_lo[owner]
+    at = np.where(a_lo[owner] == b_lo[owner], i + 1, b_lo[owner])
+    n = b_hi[owner] - at
+    upto = np.cumsum(n)
+    turn = np.unique(np.concatenate([[0], np.searchsorted(upto, np.arange(cap, upto[-1], cap)) + 1, [len(n)]]))
+    for lo, hi in zip(turn[:-1], turn[1:], strict=True):
+        m = n[lo:hi]
+        yield np.repeat(i[lo:hi], m), np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(at[lo:hi], m)
 
 
 def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -132,21 +169,59 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def links(fps: DataFrame, budget: int = 3, most: int = 1024, slab: int = 1 << 16) -> DataFrame:
-    """Forest edges (u, v) of the graph on the distinct values of fps(fp) whose links differ in <= budget bits."""
-    width = BITS // (budget + 1)
-    blocks = F.posexplode(F.array(*[F.shiftrightunsigned("fp", width * k).bitwiseAND((1 << width) - 1) for k in range(budget + 1)])).alias("block", "key")
-    dealt = fps.select("fp").distinct().select("fp", blocks)
-    hot = dealt.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(F.col("block").alias("hb"), F.col("key").alias("hk"), F.ceil(F.col("n") / (most // 2)).cast("int").alias("chunks"))
-    cut = dealt.join(hot, (F.col("block") == F.col("hb")) & (F.col("key") == F.col("hk")), "left")
-    cut = cut.withColumn("chunk", F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")))
-    other = F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))).alias("other")
-    rows = cut.select("fp", "block", "key", "chunk", other)
-    rows = rows.select("block", "key", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), (F.col("chunk") > F.col("other")).cast("int").alias("side"), (F.col("fp").bitwiseXOR(F.lit(-(1 << 63)))).alias("s"))
-    keys = ["block", "key", "c1", "c2"]
+def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges out of (i, j) that connect whatever all of them do, without circles; near neighbours first, so no hubs."""
+    order = np.argsort(np.abs(j - i), kind="stable")
+    i, j, label, out = i[order], j[order], np.arange(n), []
+    while True:
+        a, b = label[i], label[j]
+        live = a != b
+        i, j, a, b = i[live], j[live], a[live], b[live]
+        if not len(i):
+            break
+        first, turn = np.full(n, len(i)), np.arange(len(i))
+        np.minimum.at(first, a, turn)
+        np.minimum.at(first, b, turn)
+        pick = np.unique(first[first < len(i)])  # of each part its first edge: unequal places, so no circle
+        out.append((i[pick], j[pick]))
+        label = forest(n, a[pick], b[pick])[label]
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (i, j)
+
+
+def _folded(n: int, found, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs that come in parts, with bounded memory."""
+    held, size = [], 0
+    for part in found:
+        held.append(part)
+        size += len(part[0])
+        if size > most:
+            held = [spanning(n, *(np.concatenate(c) for c in zip(*held, strict=True)))]
+            size = len(held[0][0])
+    return spanning(n, *(np.concatenate(c) for c in zip(*held, strict=True))) if held else (np.zeros(0, np.int64),) * 2
+
+
+def _chunked(rows: DataFrame, keys: list[str], by: Column, most: int) -> DataFrame:
+    """Adds c1, c2 and side: groups of more than ``most`` rows are cut into chunks, and each pair of chunks is a group."""
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    hot = hot.select(*[F.col(k).alias(f"_{k}") for k in keys], F.ceil(F.col("_n") / max(1, most // 2)).cast("int").alias("_chunks"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    cut = rows.join(hot, on, "left").withColumn("_chunk", F.when(F.col("_chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), F.col("_chunks")).cast("int")))
+    other = F.explode(F.when(F.col("_chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_chunks") - 1))).alias("_other")
+    rows = cut.select(*rows.columns, "_chunk", other)
+    return rows.withColumns({"c1": F.least("_chunk", "_other"), "c2": F.greatest("_chunk", "_other"), "side": (F.col("_chunk") > F.col("_other")).cast("int")}).drop("_chunk", "_other")
+
+
+def _by_group(rows: DataFrame, keys: list[str], each, schema: str, slab: int = 1 << 16) -> DataFrame:
+    """Calls each(table, keys of its rows, starts and roles of its runs) for whole groups of keys, some ``slab`` rows at once.
+
+    rows have s (the fingerprint, the sign bit turned) and, from _chunked, c1, c2 and side.
+    """
+    keys = [*keys, "c1", "c2"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "side", "s")
 
-    def join(batches):
+    def run(batches):
         held: list[pa.RecordBatch] = []
         size = 0
         for b in chain(batches, [None]):
@@ -160,14 +235,15 @@ def links(fps: DataFrame, budget: int = 3, most: int = 1024, slab: int = 1 << 16
             turns = np.nonzero((k[:, 1:] != k[:, :-1]).any(0))[0] + 1
             end = len(t) if b is None else (int(turns[-1]) if len(turns) else 0)  # the last group may go on
             if end:
-                yield from _joined(t.slice(0, end), k[:, :end], budget)
+                yield from each(t.slice(0, end), *_runs(t.slice(0, end), k[:, :end]))
             held = t.slice(end).to_batches() if end < len(t) else []
             size = len(t) - end
 
-    return rows.mapInArrow(join, "u bigint, v bigint")
+    return rows.mapInArrow(run, schema)
 
 
-def _joined(t: pa.Table, k: np.ndarray, budget: int):
+def _runs(t: pa.Table, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints, bounds of the runs and their roles for trie_pairs."""
     x = t.column("s").to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
     side = t.column("side").to_numpy().astype(np.int64)
     new_group = np.concatenate([[True], (k[:, 1:] != k[:, :-1]).any(0)])
@@ -175,16 +251,27 @@ def _joined(t: pa.Table, k: np.ndarray, budget: int):
     starts = np.nonzero(new_run)[0]
     kind = side[starts]
     opens = new_group[starts]
-    paired = k[2][starts] != k[3][starts]
+    paired = k[-2][starts] != k[-1][starts]
     has_next = np.concatenate([~opens[1:], [False]])
     # a run joins itself in the group (chunk, chunk), or its follower in the group of two chunks; one alone there is done
     role = np.where(~paired, -1, np.where((kind == 0) & has_next, 0, 1))
-    i, j = trie_pairs(x, np.append(starts, len(x)), role, budget)
-    if len(i):
-        root = forest(len(x), i, j)
-        at = np.nonzero(root != np.arange(len(x)))[0]
-        fp = x.view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(fp[at]), pa.array(fp[root[at]])], names=["u", "v"])
+    return x, np.append(starts, len(x)), role
+
+
+def links(fps: DataFrame, budget: int = 3, most: int = 1024) -> DataFrame:
+    """Forest edges (u, v) of the graph on the distinct values of fps(fp) whose links differ in <= budget bits."""
+    width = BITS // (budget + 1)
+    blocks = F.posexplode(F.array(*[F.shiftrightunsigned("fp", width * k).bitwiseAND((1 << width) - 1) for k in range(budget + 1)])).alias("block", "key")
+    dealt = fps.select("fp").distinct().select(F.col("fp").bitwiseXOR(F.lit(-(1 << 63))).alias("s"), blocks)
+
+    def join(t: pa.Table, x: np.ndarray, starts: np.ndarray, role: np.ndarray):
+        i, j = _folded(len(x), trie_pairs(x, starts, role, budget))
+        if len(i):
+            fp = x.view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j])], names=["u", "v"])
+
+    keys = ["block", "key"]
+    return _by_group(_chunked(dealt, keys, F.col("s"), most), keys, join, "u bigint, v bigint")
 
 
 def components(prints: DataFrame, budget: int = 3) -> DataFrame:
@@ -203,13 +290,196 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
-    """docs with one document of each class, the one with the smallest id (null last); same columns."""
-    from pyspark.sql import Window as W
+# --- deduplication at a similarity of shingle sets ---
+
+_WORDS = 8  # 64-bit words of a wide fingerprint
+_ZONE, _ZONE_BUDGET, _CHECK = 32, 3, 96
+_SALT = np.random.default_rng(64).integers(1 << 63, size=_WORDS, dtype=np.uint64)
+
+
+def shingle_sets(texts: list[str | None], shingle: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of each text; a text with fewer words is one shingle."""
+    h, n = word_hashes(texts)
+    out, at = [], 0
+    for size in n.tolist():
+        ids, at = h[at : at + size], at + size
+        k = min(shingle, size)
+        out.append(np.unique(V.mix(*(ids[i : size - k + 1 + i] for i in range(k)))) if size else np.zeros(0, np.int64))
+    return out
+
+
+def wide_fingerprint(s: np.ndarray, piece: int = 1 << 12) -> np.ndarray:
+    """The 512 bits (8 words) of a set: a bit is 1 if more than half of the members' hashes have it."""
+    ones = np.zeros(_WORDS * BITS, np.int64)
+    for lo in range(0, len(s), piece):
+        x = s[lo : lo + piece].view(np.uint64)[:, None] ^ _SALT
+        with np.errstate(over="ignore"):
+            x *= np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(29)
+            x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(32)
+        ones += np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1, bitorder="little").sum(0, dtype=np.uint32)
+    return np.packbits(ones * 2 > len(s), bitorder="little").view(np.uint64)
+
+
+def _batches(texts: pa.Array, most: int = 1 << 18):
+    """Lists of neighbouring texts, some ``most`` characters together (or one text)."""
+    held, size = [], 0
+    for lo in range(0, len(texts), 64):
+        for t in texts.slice(lo, 64).to_pylist():
+            held.append(t)
+            size += len(t or "")
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
 
-    rows = components(fingerprints(docs, doc_id, text, shingle), budget)
-    kept = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")).alias("x")).select(F.col("x.k").alias("_k"))
-    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k"))
-    # of repeated rows one stays; the join's shuffle serves the window too
-    out = src.join(kept.hint("merge"), F.col("k") == F.col("_k")).withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("k"))).where("rn = 1")
+def wide_fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(doc_id, k, node, fp): node names the row's shingle set (128 bits), fp is its wide fingerprint."""
+
+    def each(batches):
+        for b in batches:
+            node, fp = [], []
+            for some in _batches(b.column(2)):
+                for s in shingle_sets(some, shingle):
+                    node.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    fp.append(wide_fingerprint(s).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(fp, pa.binary())], names=["doc_id", "k", "node", "fp"])
+
+    src = docs.select(docs[doc_id].alias("doc_id"), row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
+    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, k binary, node binary, fp binary")
+
+
+def differing(similarity: float) -> float:
+    """The share of SimHash bits in which two sets of equal size and this Jaccard similarity differ on average."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def table_plan(n: int, similarity: float, success: float) -> tuple[int, int]:
+    """First bits and number of tables for n fingerprints: some 2,048 a group, pairs at the similarity found with ``success``."""
+    first = min(16, max(6, math.ceil(math.log2(max(2, n))) - 11))
+    p, rest = differing(similarity), _ZONE - first
+    share = (1 - p) ** first * sum(math.comb(rest, k) * p**k * (1 - p) ** (rest - k) for k in range(_ZONE_BUDGET + 1))
+    return first, math.ceil(math.log(1 - success) / math.log(1 - share))
+
+
+def _tables(nodes: DataFrame, first: int, tables: int) -> DataFrame:
+    """A row per node and table: place (table and first bits), s (zone and 32 more bits), y (64 more bits), node.
+
+    A fingerprint is 32 quarters of 16 bits; table t's zone is quarter t with the one t // 32 + 1 after it.
+    """
+    t = np.arange(tables)
+    quarter = np.stack([t % 32, (t + t // 32 + 1) % 32] + [(t + t // 32 + 2 + k) % 32 for k in range(6)], axis=1)
+
+    def each(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                q = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, 32)[:, quarter].astype(np.uint64)
+                x = q[:, :, 0] << np.uint64(48) | q[:, :, 1] << np.uint64(32) | q[:, :, 2] << np.uint64(16) | q[:, :, 3]
+                y = q[:, :, 4] << np.uint64(48) | q[:, :, 5] << np.uint64(32) | q[:, :, 6] << np.uint64(16) | q[:, :, 7]
+                place = (t << first) | (x >> np.uint64(64 - first)).astype(np.int64)
+                node = part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), tables)))
+                s = (x ^ np.uint64(1 << 63)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(place.reshape(-1)), pa.array(s.reshape(-1)), pa.array(y.view(np.int64).reshape(-1)), node], names=["place", "s", "y", "node"])
+
+    return nodes.select("node", "fp").mapInArrow(each, "place bigint, s bigint, y bigint, node binary")
+
+
+def _found(dealt: DataFrame, similarity: float, most: int, whole: bool) -> DataFrame:
+    """Candidate pairs (u, v), u < v: a spanning forest of each group's, or all between different roots (``whole``)."""
+    p = differing(similarity)
+    allowed = math.ceil(_CHECK * p + 3.3 * math.sqrt(_CHECK * p * (1 - p)))
+    low = np.uint64((1 << (BITS - _ZONE)) - 1)
+
+    def join(t: pa.Table, x: np.ndarray, starts: np.ndarray, role: np.ndarray):
+        y, node = t.column("y").to_numpy().view(np.uint64), t.column("node").combine_chunks()
+        root = pa.compute.dictionary_encode(t.column("root").combine_chunks()).indices.to_numpy() if whole else None
+
+        def near():
+            for i, j in trie_pairs(x, starts, role, _ZONE_BUDGET, BITS - _ZONE):
+                ok = np.bitwise_count((x[i] ^ x[j]) & low) + np.bitwise_count(y[i] ^ y[j]) <= allowed
+                if whole:
+                    ok &= root[i] != root[j]
+                yield i[ok], j[ok]
+
+        for i, j in near() if whole else [_folded(len(x), near())]:
+            if len(i):
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(j))], names=["u", "v"])
+
+    pairs = _by_group(_chunked(dealt, ["place"], F.col("node"), most), ["place"], join, "u binary, v binary")
+    return pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, keys: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(u, v, ok) for pairs: whether the sets' similarity is reached, by the whole texts. keys(node, k): a row of each node."""
+
+    def deflated(batches):
+        for b in batches:
+            z = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["node", "z"])
+
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(keys, "node")
+    wanted = stored(wanted.select(F.col("k").alias("_k"), "node"), "wanted")
+    texts = docs.join(wanted, F.col("k") == F.col("_k")).groupBy("node").agg(F.first("text").alias("text"))  # rows with one key are equal
+    texts = stored(texts.mapInArrow(deflated, "node binary, z binary"), "texts")
+    side = lambda c, z: texts.select(F.col("node").alias(f"_{c}"), F.col("z").alias(z))
+    both = pairs.join(side("u", "z1").hint("merge"), F.col("u") == F.col("_u")).join(side("v", "z2").hint("merge"), F.col("v") == F.col("_v")).select("u", "v", "z1", "z2")
+
+    def verify(batches):
+        for b in batches:
+            ok = []
+            for lo in range(0, b.num_rows, 16):
+                z = [x for c in (2, 3) for x in b.column(c).slice(lo, 16).to_pylist()]
+                sets = shingle_sets([zlib.decompress(x).decode("utf-8", "surrogatepass") for x in z], shingle)
+                for x, y in zip(sets[: len(sets) // 2], sets[len(sets) // 2 :], strict=True):
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    ok.append(common >= similarity * (len(x) + len(y) - common) * (1 - 1e-12))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], names=["u", "v", "ok"])
+
+    return both.mapInArrow(verify, "u binary, v binary, ok boolean")
+
+
+def similar(docs: DataFrame, keys: DataFrame, fps: DataFrame, text: str, shingle: int, similarity: float, success: float, most: int = 2048) -> DataFrame:
+    """Verified links (u, v) that connect the nodes of every class found. docs(k, text); keys(node, k); fps(node, fp)."""
+    first, tables = table_plan(fps.count(), similarity, success)
+    dealt = _tables(fps, first, tables)
+    tree = stored(_verified(stored(_found(dealt, similarity, most, False), "tree"), docs, text, keys, shingle, similarity), "tree_verified")
+    refused = tree.where("not ok")
+    if refused.isEmpty():
+        return tree.where("ok").select("u", "v")
+    # only trees with a refused edge can hide other links
+    trees = connected_components(tree.select("u", "v"))
+    torn = refused.join(trees, F.col("u") == F.col("node")).select("root").distinct()
+    open_nodes = trees.join(torn, "root").select("node")
+    roots = connected_components(tree.where("ok").select("u", "v"))
+    open_nodes = stored(open_nodes.join(roots, "node", "left").select(F.col("node").alias("_node"), F.coalesce("root", "node").alias("root")), "open")
+    again = _tables(fps.join(open_nodes, F.col("node") == F.col("_node"), "left_semi"), first, tables).join(open_nodes, F.col("node") == F.col("_node")).drop("_node")
+    more = stored(_found(again, similarity, most, True).join(tree.select("u", "v"), ["u", "v"], "left_anti"), "more")
+    more = stored(_verified(more, docs, text, keys, shingle, similarity), "more_verified")
+    return tree.where("ok").select("u", "v").union(more.where("ok").select("u", "v"))
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, success: float = 0.99, most: int = 2048) -> DataFrame:
+    """docs with one document of each class of linked ones, the one with the smallest id (null last); same columns.
+
+    Of rows equal in id and text one stays.
+    """
+    rows = stored(wide_fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    nodes = stored(rows.groupBy("node").agg(F.min("k").alias("k"), F.first("fp").alias("fp")), "nodes")  # of one node all are equal
+    src = docs.select(row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
+    edges = similar(src, nodes.select("node", "k"), nodes.select("node", "fp"), text, shingle, similarity, success, most)
+    roots = stored(connected_components(edges), "roots").select(F.col("node").alias("of"), "root")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
+    firsts = rows.groupBy("node").agg(F.min(order).alias("x"))  # a class may hold very many copies: they collapse before the join
+    kept = firsts.join(roots, F.col("node") == F.col("of"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("x").alias("x"))
+    kept = kept.select(F.col("x.k").alias("_k"))
+    # what changes is little beside the rows: keys that go, and keys of several equal rows
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    marks = stored(counts.join(kept, F.col("k") == F.col("_k"), "left").where("_k is null or n > 1").select(F.col("k").alias("_k"), F.col("_k").isNull().alias("goes")), "marks")
+    both = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k")).join(marks, F.col("k") == F.col("_k"), "left")
+    once = both.where("not goes").groupBy("k").agg(F.first("row").alias("row")).select("row")
+    out = both.where("goes is null").select("row").union(once)
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -66,9 +66,6 @@ def test_simhash(spark):
     assert len(got) == len(rows) and linked
     for r in got:
         assert r.fingerprint == f"{prints[r.doc_id]:016x}" and r.component_id == want[r.doc_id]
-    kept = simhash.deduplicate(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
 def test_simhash_hot_groups_are_cut(spark):
@@ -87,12 +84,35 @@ def test_trie_pairs():
     g = np.random.default_rng(3)
     base = g.integers(0, 2**63, 100).astype(np.uint64)
     x = np.unique(np.concatenate([base, base ^ np.uint64(5), base ^ np.uint64(1 << 40), np.arange(64, dtype=np.uint64)]))
-    i, j = simhash.trie_pairs(x, np.array([0, len(x)]), np.array([-1]), 3)
+    i, j = (np.concatenate(c) for c in zip(*simhash.trie_pairs(x, np.array([0, len(x)]), np.array([-1]), 3, cap=50), strict=True))
     d = np.bitwise_count(x[:, None] ^ x[None, :])
     want = {(a, b) for a, b in zip(*np.nonzero(np.triu(d <= 3, 1)), strict=True)}
     assert {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist(), strict=True)} == {(int(a), int(b)) for a, b in want} and len(i) == len(want)
 
 
+def test_trie_pairs_of_the_upper_bits():
+    g = np.random.default_rng(9)
+    x = np.sort(g.integers(0, 2**20, 400).astype(np.uint64) << np.uint64(44) | g.integers(0, 2**32, 400).astype(np.uint64))
+    x = np.concatenate([x, x[:200]])  # two runs
+    near = lambda a, b: np.bitwise_count((a[:, None] ^ b[None, :]) >> np.uint64(32)) <= 3
+    for role, want in (([-1, -1], None), ([0, 1], near(x[:400], x[400:]))):
+        got = [p for i, j in simhash.trie_pairs(x, np.array([0, 400, 600]), np.array(role), 3, 32, cap=64) for p in zip(i.tolist(), j.tolist(), strict=True)]
+        if want is None:
+            pairs = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near(x[:400], x[:400]), 1)), strict=True)}
+            pairs |= {(int(a) + 400, int(b) + 400) for a, b in zip(*np.nonzero(np.triu(near(x[400:], x[400:]), 1)), strict=True)}
+        else:
+            pairs = {(int(a), int(b) + 400) for a, b in zip(*np.nonzero(want), strict=True)}
+        assert len(got) == len(set(got)) and {tuple(sorted(p)) for p in got} == pairs
+
+
+def test_spanning():
+    g = np.random.default_rng(10)
+    i, j = g.integers(0, 300, 2000), g.integers(0, 300, 2000)
+    a, b = simhash.spanning(300, i, j)
+    assert (simhash.forest(300, a, b) == simhash.forest(300, i, j)).all()
+    assert len(a) == 300 - len(np.unique(simhash.forest(300, i, j))) and set(zip(a.tolist(), b.tolist())) <= set(zip(i.tolist(), j.tolist()))
+
+
 def vectors_frame(spark, seed=4):
     g = np.random.default_rng(seed)
     base = g.normal(size=(60, 16))
