@@ -8,14 +8,15 @@ expected distance is fitted on a sample of at most ``sample`` vectors: a high qu
 neighbour within the sample, which overestimates it in all of the data and so only widens the search.
 
 Every distinct vector is in the index; equal copies are one entry with the k + 1 smallest ids, which is all that a
-result can show. Buckets are dealt to shards by hash, and a bucket with more than its share of entries is split over
-several, so a shard's size is bounded by the data over the shards. A query goes once to each shard that has buckets
-it visits. A shard compares blocks and returns each query's best few; these are merged over shards and tables and
-ranked again by the exact measure on the original vectors, each pair computed alone.
+result can show. Buckets are dealt to shards of some ``per_shard`` entries by hash, and a bucket with more than that
+is split over several. A query goes once to each shard that has buckets it visits. A shard compares blocks; what can be
+among a query's k + 1 best, with all that ties within rounding, is measured again on the original vectors, each pair
+alone, and every cut is by that measure and then by id. So ties are never cut by chance, however many there are.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without id, take
 no part. Equal scores go to the smaller id. With fewer candidates than k all that are found are returned. Vectors of
-different lengths are never compared. Rows with the same id: each is a query and a candidate for others.
+different lengths are never compared. Rows with the same id: each is a query and a candidate for others. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -89,16 +91,26 @@ def expected_distance(nodes: DataFrame, k: int, sample: int = 2048, quantile: fl
     return math.sqrt(max(0.0, 2 - 2 * float(np.quantile(np.concatenate(far), 1 - quantile)))) if far else math.sqrt(2)
 
 
-def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, k: int):
-    """The k best (score, then other) per owner."""
-    order = np.lexsort((other, -score, owner))
-    owner, other, score = owner[order], other[order], score[order]
+def _best(owner: np.ndarray, score: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best per owner: by score, then by id."""
+    order = np.lexsort((least, -score, owner))
+    owner = owner[order]
     start = np.concatenate([[0], np.nonzero(np.diff(owner))[0] + 1]) if len(owner) else np.zeros(0, int)
     rank = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
-    return owner[rank < k], other[rank < k], score[rank < k]
+    return order[rank < k]
 
 
-def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", tables: int = 2, functions: int = 4, width: float = 1.0, success: float = 0.87, shards: int | None = None, seed: int = 5) -> DataFrame:
+def _nearest(uq: np.ndarray, xq: np.ndarray, ux: np.ndarray, xs: np.ndarray, least: np.ndarray, k: int, slab: int = 1 << 15):
+    """(query, candidate, score) of the k best candidates of each query; unit vectors to choose by, originals to measure."""
+    s = uq @ ux.T
+    bar = np.partition(s, -k, axis=1)[:, [-k]] if s.shape[1] > k else -2.0
+    q, c = np.nonzero(s >= bar - 1e-9)
+    exact = np.concatenate([V.cosines(xq[q[lo : lo + slab]], xs[c[lo : lo + slab]]) for lo in range(0, len(q), slab)]) if len(q) else np.zeros(0)
+    at = _best(q, exact, least[c], k)
+    return q[at], c[at], exact[at]
+
+
+def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", tables: int = 2, functions: int = 4, width: float = 1.0, success: float = 0.87, per_shard: int = 8192, seed: int = 5) -> DataFrame:
     """The k nearest found of every row with is_query (a condition on docs): query_id, rank, vec_id, score."""
     spark = docs.sparkSession
     rows = docs.select(docs[vec_id].alias("vec_id"), docs[embedding].alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
@@ -108,11 +120,10 @@ def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id"
     named = stored(named, "named")
     first = named.withColumn("rn", F.row_number().over(W.partitionBy("node").orderBy("vec_id"))).where(F.col("rn") <= k + 1)
     members = stored(first.groupBy("node").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "members")
-    asked = stored(named.where("asks").select("node").distinct().join(nodes.select("node", "v"), "node"), "asked")
+    asked = stored(named.where("asks").select("node").distinct().join(nodes.select("node", "least", "v"), "node"), "asked")
 
     distance = expected_distance(nodes, k)
-    shards = shards or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    v_type, kept = nodes.schema["v"].dataType.simpleString(), k + 3
+    v_type, id_type, kept = nodes.schema["v"].dataType.simpleString(), nodes.schema["least"].dataType.simpleString(), k + 1
     hashes = lambda d: Hashes(d, tables, functions, width, seed)
 
     def filed(batches):
@@ -120,13 +131,14 @@ def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id"
             for at, x in V.by_length(b.column("v")):
                 own = hashes(x.shape[1]).own(V.unit(x))
                 part = b.take(pa.array(np.repeat(at, tables)))
-                yield pa.RecordBatch.from_arrays([pa.array(own.reshape(-1)), part.column("node"), part.column("v")], names=["bucket", "node", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(own.reshape(-1)), part.column("node"), part.column("least"), part.column("v")], names=["bucket", "node", "least", "v"])
 
-    entries = nodes.select("node", "v").mapInArrow(filed, f"bucket bigint, node bigint, v {v_type}")
+    entries = nodes.select("node", "least", "v").mapInArrow(filed, f"bucket bigint, node bigint, least {id_type}, v {v_type}")
     sizes = stored(entries.groupBy("bucket").count(), "buckets")
     total = sizes.agg(F.sum("count")).first()[0] or 0
-    share = max(1024, total // (4 * shards))
-    # at most total / share <= 4 * shards buckets
+    shards = max(16, -(-total // per_shard))
+    share = max(1, per_shard // 4)
+    # at most total / share <= 4 * shards buckets, 16 bytes each
     split = {r.bucket: -(-r["count"] // share) for r in sizes.where(F.col("count") > share).collect()}
 
     def parts(bucket: np.ndarray) -> np.ndarray:
@@ -164,9 +176,14 @@ def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id"
                 lists = pa.ListArray.from_arrays(pa.array(np.append(turn, len(q)).astype(np.int32)), pa.array(bucket))
                 yield pa.RecordBatch.from_arrays([pa.array(s[turn]), part.column("node"), part.column("v"), lists], names=["shard", "node", "v", "buckets"])
 
-    index = entries.mapInArrow(dealt, f"shard int, bucket bigint, node bigint, v {v_type}")
+    index = entries.mapInArrow(dealt, f"shard int, bucket bigint, node bigint, least {id_type}, v {v_type}")
     wanted = asked.mapInArrow(asking, f"shard int, node bigint, v {v_type}, buckets array<bigint>")
 
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    empty = [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], to_arrow_type(nodes.schema["least"].dataType)), pa.array([], pa.float64())]
+    none = pa.table(empty, names=["q", "c", "least", "score"])
+
     def compare(have: pa.Table, ask: pa.Table) -> pa.Table:
         out = []
         if len(have) and len(ask):
@@ -176,56 +193,50 @@ def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id"
             order = np.argsort(bucket_q, kind="stable")
             bucket_q, owner = bucket_q[order], owner[order]
             node_q, node_x, bucket_x = (t.column(c).to_numpy() for t, c in ((ask, "node"), (have, "node"), (have, "bucket")))
-            by_q = {x.shape[1]: (at, V.unit(x)) for at, x in V.by_length(ask.column("v"))}
+            ids = pa.compute.rank(have.column("least"), sort_keys="ascending", tiebreaker="min").to_numpy() if len(have) else np.zeros(0)
+            by_q = {x.shape[1]: (at, x, V.unit(x)) for at, x in V.by_length(ask.column("v"))}
             for at_x, x in V.by_length(have.column("v")):
                 if x.shape[1] not in by_q:
                     continue
-                at_q, uq = by_q[x.shape[1]]
+                at_q, xq, uq = by_q[x.shape[1]]
                 place = np.full(len(ask), -1)
                 place[at_q] = np.arange(len(at_q))
-                ux, bx, nx = V.unit(x), bucket_x[at_x], node_x[at_x]
-                order = np.argsort(bx, kind="stable")
-                ux, bx, nx = ux[order], bx[order], nx[order]
+                order = np.argsort(bucket_x[at_x], kind="stable")
+                at_x, x = at_x[order], x[order]
+                ux, bx = V.unit(x), bucket_x[at_x]
                 turns = np.concatenate([[0], np.nonzero(np.diff(bx))[0] + 1, [len(bx)]])
                 for lo, hi in zip(turns[:-1], turns[1:], strict=True):
                     qs = place[owner[np.searchsorted(bucket_q, bx[lo], "left") : np.searchsorted(bucket_q, bx[lo], "right")]]
                     qs = qs[qs >= 0]
-                    for some in range(0, len(qs), 2048):
-                        q = qs[some : some + 2048]
-                        s = uq[q] @ ux[lo:hi].T
-                        if hi - lo > kept:
-                            top = np.argpartition(-s, kept, axis=1)[:, :kept]
-                            out.append((np.repeat(q, kept), nx[lo:hi][top].reshape(-1), np.take_along_axis(s, top, 1).reshape(-1), at_q))
-                        elif len(q):
-                            out.append((np.repeat(q, hi - lo), np.tile(nx[lo:hi], len(q)), s.reshape(-1), at_q))
+                    for some in range(0, len(qs), 512):
+                        of = qs[some : some + 512]
+                        q, c, s = _nearest(uq[of], xq[of], ux[lo:hi], x[lo:hi], ids[at_x[lo:hi]], kept)
+                        out.append((at_q[of[q]], at_x[lo + c], s))
         if not out:
-            return pa.table({"q": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "s": pa.array([], pa.float64())})
-        q, c, s = (np.concatenate(x) for x in zip(*[(node_q[at[q]], c, s) for q, c, s, at in out], strict=True))
-        q, c, s = _best(q, c, s, kept)
-        return pa.table({"q": q, "c": c, "s": s})
-
-    pairs = index.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(compare, "q bigint, c bigint, s double")
-    merged = pairs.groupBy("q", "c").agg(F.max("s").alias("s"))  # tables and shards may find the same vector
-    top = merged.withColumn("rn", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "c"))).where(F.col("rn") <= kept).select("q", "c")
-    top = top.union(asked.select(F.col("node").alias("q"), F.col("node").alias("c"))).distinct()
-    vq = asked.select(F.col("node").alias("_q"), F.col("v").alias("vq"))
-    vc = nodes.select(F.col("node").alias("_c"), F.col("v").alias("vc"))
-
-    def exact(batches):
+            return none
+        q, c, s = (np.concatenate(x) for x in zip(*out, strict=True))
+        at = _best(q, s, ids[c], kept)
+        return pa.table({"q": node_q[q[at]], "c": node_x[c[at]], "least": have.column("least").take(pa.array(c[at])), "score": s[at]})
+
+    def own(batches):
         for b in batches:
             score = np.zeros(b.num_rows)
-            for at, x in V.by_length(b.column("vq")):
-                y = np.concatenate([m for _, m in V.by_length(b.column("vc").take(pa.array(at)))])
-                score[at] = V.cosines(x, y)
-            yield pa.RecordBatch.from_arrays([b.column("q"), b.column("c"), pa.array(score)], names=["q", "c", "score"])
-
-    scored = top.join(vq, F.col("q") == F.col("_q")).join(vc, F.col("c") == F.col("_c")).select("q", "c", "vq", "vc").mapInArrow(exact, "q bigint, c bigint, score double")
-    near = scored.join(members.withColumnRenamed("node", "_c"), F.col("c") == F.col("_c")).select("q", "score", F.explode("ids").alias("id"))
-    # at most kept * (k + 1) rows a query; one more than k, as the query itself may be among them
-    lists = near.groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("m"), "id"))), 1, k + 1).alias("near"))
+            for at, x in V.by_length(b.column("v")):
+                score[at] = V.cosines(x, x)
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("node"), b.column("least"), pa.array(score)], names=["q", "c", "least", "score"])
+
+    schema = f"q bigint, c bigint, least {id_type}, score double"
+    pairs = index.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(compare, schema).union(asked.select("node", "least", "v").mapInArrow(own, schema))
+    merged = pairs.groupBy("q", "c").agg(F.max("least").alias("least"), F.max("score").alias("score"))  # tables and shards may find the same vector
+    scored = merged.withColumn("rn", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "least", "c"))).where(F.col("rn") <= kept)
+    scored = stored(scored.select("q", "c", "score"), "found")
+    near = scored.join(members.withColumnRenamed("node", "_c"), F.col("c") == F.col("_c")).select("q", "c", "score", F.explode("ids").alias("id"))
+    # at most (k + 1)^2 rows a query; one more than k, as the query itself may be among them
+    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("m"), "id", "c"))), 1, k + 1)
+    lists = stored(near.groupBy("q").agg(best.alias("near")), "lists")
     found = named.where("asks").join(lists.hint("merge"), F.col("node") == F.col("q"))
     # the query's own row goes once; another row with its id is a candidate like any other
-    at = F.array_position(F.transform("near", lambda x: x["id"]), F.col("vec_id"))
+    at = F.array_position(F.transform("near", lambda x: (x["id"] == F.col("vec_id")) & (x["c"] == F.col("node"))), True)
     others = F.filter("near", lambda x, i: (F.col("at") == 0) | (i != F.col("at") - 1))
     found = found.withColumn("at", at).select(F.col("vec_id").alias("query_id"), F.posexplode(F.slice(others, 1, k)).alias("i", "x"))
     return found.select("query_id", (F.col("i") + 1).alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.m")).alias("score"))

@@ -13,7 +13,8 @@ and each pair of chunks is compared by itself.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing
 (n_links 0, component_id their own id, kept). Vectors of different lengths never link. A null vec_id takes part, but
-isn't a component_id unless there is none. Extra columns are ignored; an empty table gives no rows.
+isn't a component_id unless there is none. Rows with one id and different vectors are different vectors. Extra columns
+are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from kairopanel.llm import vectors as V
 from kairopanel.llm.common import stored
 from kairopanel.llm.components import connected_components
-from kairopanel.llm.simhash import forest
+from kairopanel.llm.simhash import folded, forest
 
 
 def _roots() -> np.ndarray:
@@ -91,35 +92,43 @@ def _filed(nodes: DataFrame, tables: int, probes: int, scale: float, seed: int)
     return nodes.select("node", "n", "v").mapInArrow(each, f"cell bigint, place int, node bigint, n bigint, v {v}, own array<bigint>, near array<bigint>")
 
 
-def _linked(x, node, n, place, side, own, near, paired: bool, threshold: float):
-    """Links of one group: (node, root, links) rows. side: the chunk's place if the group is a pair of chunks."""
+def _pairs(x, node, place, side, own, near, paired: bool, threshold: float, rows: int = 128, slab: int = 4096):
+    """Linked pairs (i, j) of one group that meet here first, in parts: some ``slab`` pairs of vectors are held at once."""
     u = V.unit(x)
     filed = np.nonzero(place % 2 == 0)[0]
-    i, j = np.nonzero(u[filed] @ u.T >= threshold - 1e-9)
-    i = filed[i]
-    # filed with filed once; filed with looking; across the two chunks only
-    keep = (node[i] != node[j]) & ((place[j] % 2 == 1) | (node[i] < node[j]))
-    if paired:
-        keep &= side[i] != side[j]
-    i, j = i[keep], j[keep]
-    keep = V.cosines(x[i], x[j]) >= threshold
-    i, j = i[keep], j[keep]
-    if not len(i):
-        return None
-    low = node[i] < node[j]
-    a, b = np.where(low, i, j), np.where(low, j, i)
-    tables = own.shape[1]
-    look = near.reshape(len(node), tables, -1)
-    ways = np.stack([own[a] == own[b], (own[a][:, :, None] == look[b]).any(2), (own[b][:, :, None] == look[a]).any(2)], axis=2).reshape(len(a), -1)
-    here = (place[i] // 2) * 3 + np.where(place[j] % 2 == 0, 0, np.where(low, 1, 2))
-    first = ways.argmax(1) == here
-    i, j = i[first], j[first]
-    if not len(i):
-        return None
-    links = np.bincount(i, n[j], len(node)) + np.bincount(j, n[i], len(node))
-    root = forest(len(node), i, j)
+    look = near.reshape(len(node), own.shape[1], -1)
+    for at in range(0, len(filed), rows):
+        i, j = np.nonzero(u[filed[at : at + rows]] @ u.T >= threshold - 1e-9)
+        i = filed[at + i]
+        # filed with filed once; filed with looking; across the two chunks only
+        keep = (node[i] != node[j]) & ((place[j] % 2 == 1) | (node[i] < node[j]))
+        if paired:
+            keep &= side[i] != side[j]
+        i, j = i[keep], j[keep]
+        for lo in range(0, len(i), slab):
+            p, q = i[lo : lo + slab], j[lo : lo + slab]
+            close = V.cosines(x[p], x[q]) >= threshold
+            p, q = p[close], q[close]
+            low = node[p] < node[q]
+            a, b = np.where(low, p, q), np.where(low, q, p)
+            ways = np.stack([own[a] == own[b], (own[a][:, :, None] == look[b]).any(2), (own[b][:, :, None] == look[a]).any(2)], axis=2).reshape(len(a), -1)
+            here = (place[p] // 2) * 3 + np.where(place[q] % 2 == 0, 0, np.where(low, 1, 2))
+            first = ways.argmax(1) == here
+            yield p[first], q[first]
+
+
+def _linked(x, node, n, place, side, own, near, paired: bool, threshold: float):
+    """Links of one group: (node, root, links) rows. side: the chunk's place if the group is a pair of chunks."""
+    links = np.zeros(len(node))
+
+    def counted():
+        for i, j in _pairs(x, node, place, side, own, near, paired, threshold):
+            links[:] += np.bincount(i, n[j], len(node)) + np.bincount(j, n[i], len(node))
+            yield i, j
+
+    root = forest(len(node), *folded(len(node), counted(), 1 << 18))
     at = np.nonzero(links)[0]
-    return node[at], node[root[at]], links[at].astype(np.int64)
+    return (node[at], node[root[at]], links[at].astype(np.int64)) if len(at) else None
 
 
 def pair_links(nodes: DataFrame, threshold: float = 0.95, tables: int = 4, probes: int = 4, scale: float = 0.6, seed: int = 11, most: int = 2048) -> DataFrame:
@@ -175,8 +184,11 @@ def near_duplicates(docs: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     roots = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("_n"), F.col("root").alias("class"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links")).select(F.col("node").alias("_m"), "links")
     whole = nodes.join(roots, F.col("node") == F.col("_n"), "left").join(counts, F.col("node") == F.col("_m"), "left")
-    whole = whole.select(F.col("v").alias("_v"), V.key(F.col("v")).alias("_k"), F.coalesce("class", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
-    # equal copies meet here: a join, which Spark splits where one vector is very common
+    whole = stored(whole.select("v", "least", "n", "links", F.coalesce("class", "node").alias("class")), "classes")
+    least = whole.groupBy("class").agg(F.min("least").alias("component")).withColumnRenamed("class", "_c")
+    whole = whole.join(stored(least, "least"), F.col("class") == F.col("_c"))
+    whole = stored(whole.select(F.col("v").alias("_v"), V.key(F.col("v")).alias("_k"), "component", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links")), "vectors")
+    # equal copies meet here: a join of two tables, which Spark splits where one vector is very common
     out = rows.withColumn("k", F.when(V.usable(F.col("v")), V.key(F.col("v")))).join(whole.hint("merge"), (F.col("k") == F.col("_k")) & (F.col("v") == F.col("_v")), "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -188,7 +188,7 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (i, j)
 
 
-def _folded(n: int, found, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def folded(n: int, found, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the pairs that come in parts, with bounded memory."""
     held, size = [], 0
     for part in found:
@@ -265,7 +265,7 @@ def links(fps: DataFrame, budget: int = 3, most: int = 1024) -> DataFrame:
     dealt = fps.select("fp").distinct().select(F.col("fp").bitwiseXOR(F.lit(-(1 << 63))).alias("s"), blocks)
 
     def join(t: pa.Table, x: np.ndarray, starts: np.ndarray, role: np.ndarray):
-        i, j = _folded(len(x), trie_pairs(x, starts, role, budget))
+        i, j = folded(len(x), trie_pairs(x, starts, role, budget))
         if len(i):
             fp = x.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j])], names=["u", "v"])
@@ -405,7 +405,7 @@ def _found(dealt: DataFrame, similarity: float, most: int, whole: bool) -> DataF
                     ok &= root[i] != root[j]
                 yield i[ok], j[ok]
 
-        for i, j in near() if whole else [_folded(len(x), near())]:
+        for i, j in near() if whole else [folded(len(x), near())]:
             if len(i):
                 yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(j))], names=["u", "v"])
 

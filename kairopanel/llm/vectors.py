@@ -19,9 +19,10 @@ def key(v: Column) -> Column:
 
 
 def distinct(rows: DataFrame) -> DataFrame:
-    """rows(vec_id, v) -> one row per distinct vector: node (its smallest vec_id), n (its rows), v. Partial sums keep hot vectors small."""
-    got = rows.where(usable(F.col("v"))).groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n"))
-    return got.select(F.coalesce("node", key(F.col("v"))).alias("node"), "n", "v")
+    """rows(vec_id, v) -> one row per distinct vector: node (a number of its own, fixed once written), least (the smallest
+    vec_id), n (rows), v. Partial sums keep hot vectors small."""
+    got = rows.where(usable(F.col("v"))).groupBy("v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    return got.select(F.monotonically_increasing_id().alias("node"), "least", "n", "v")
 
 
 def by_length(lists: pa.ListArray):

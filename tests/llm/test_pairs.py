@@ -174,6 +174,37 @@ def test_ann(spark):
     assert ann.search(df.limit(0), F.col("vec_id") % 7 == 0).count() == 0
 
 
+def test_ann_ties_and_repeated_ids(spark):
+    g = np.random.default_rng(12)
+    base = np.float32(g.normal(size=16))
+    rows = [(i, [float(x) for x in base * np.float32(2.0) ** (i % 40 - 20)]) for i in range(40)]
+    rows = rows[::-1] + [(100 + i, [float(x) for x in np.float32(v)]) for i, v in enumerate(g.normal(size=(300, 16)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.rank, r.vec_id, r.score) for r in ann.search(df, F.col("vec_id") == 30).collect())
+    assert [v for _, v, _ in got] == [0, 1, 2, 3, 4] and len({s for *_, s in got}) == 1
+    two = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.9, 0.1]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 3)) for r in ann.search(two, F.col("vec_id") == 1).collect())
+    assert got == [(1, 1, 1, 0.994), (1, 1, 1, 0.994), (1, 2, 2, 0.0), (1, 2, 2, 0.11)]
+    same = lattice.near_duplicates(two.where("vec_id = 1")).collect()
+    assert [(r.n_links, r.component_id) for r in same] == [(1, 1), (1, 1)]
+
+
+def test_lattice_memory_of_a_hot_cell():
+    import tracemalloc
+
+    g = np.random.default_rng(13)
+    x = g.normal(size=256) + 0.05 * g.normal(size=(2048, 256))
+    own, near = lattice.cells(vectors.unit(x), 1, 4, 0.01, 11)
+    n = np.ones(len(x), np.int64)
+    tracemalloc.start()
+    _, root, links = lattice._linked(x, np.arange(len(x)), n, np.zeros(len(x), np.int64), 0 * n, own, near.reshape(len(x), -1), False, 0.95)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    c = vectors.unit(x) @ vectors.unit(x).T >= 0.95
+    same = own == own.T
+    assert (links == ((c & same).sum(1) - 1)[(c & same).sum(1) > 1]).all() and (root == 0).all() and peak < 200 << 20
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0 and simhash.deduplicate(docs).count() == 0
