@@ -12,8 +12,8 @@ for is the recurrence s = a*x + (1-a)*s, which runs once per level for all recur
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate, repeat
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,7 +72,7 @@ class Series:
 
 
 #: Window primitives; all but the first two take a number of rows and give null unless that many are not null.
-_WINDOWS = {"lag", "lead", "avg", "sum", "std", "var0", "max", "min", "newest_max", "newest_min", "greater", "meandev", "wavg", "cumsum", "row", "skip_avg", "skip_max", "skip_min", "cummax", "rank_desc"}
+_WINDOWS = {"lag", "lead", "avg", "sum", "std", "var0", "max", "min", "newest_max", "newest_min", "greater", "meandev", "wavg", "cumsum", "row", "skip_avg", "skip_max", "skip_min", "cummax", "rank_desc", "cummin", "full", "running", "skew", "kurt"}
 
 
 def wrap(x) -> Series:
@@ -97,6 +97,7 @@ def window(name: str):
 
 greatest, least, absolute, coalesce, ln, sqrt = (fn(n) for n in ("greatest", "least", "abs", "coalesce", "ln", "sqrt"))
 lag, lead, avg, total, std, var0, highest, lowest = (window(n) for n in ("lag", "lead", "avg", "sum", "std", "var0", "max", "min"))
+skewness, kurtosis = window("skew"), window("kurt")
 greater_count, mean_deviation, cumulative, running_max, skip_avg, skip_max, skip_min, rank_desc = (window(n) for n in ("greater", "meandev", "cumsum", "cummax", "skip_avg", "skip_max", "skip_min", "rank_desc"))
 
 
@@ -122,14 +123,20 @@ def when(condition: Series, then, otherwise=None) -> Series:
     return Series("case", (condition, wrap(then), wrap(otherwise)))
 
 
-def recur(x: Series, alpha, init: float | None = None, carry: bool = False) -> Series:
+def recur(x: Series, alpha, init: float | None = None, carry: bool = False, fade: bool = False) -> Series:
     """s = alpha*x + (1-alpha)*s by day; seeded with init or the first x. Null where x or alpha is, and s is kept
-    (carry: where only x is null, s is given)."""
-    return Series("recur", (x, wrap(alpha), init, carry))
+    (carry: where only x is null, s is given; fade: s loses weight on every row, (1-alpha)^2 after one null row)."""
+    return Series("recur", (x, wrap(alpha), init, carry, fade))
 
 
 def ema(x: Series, span: int) -> Series:
-    return recur(x, 2.0 / (span + 1))
+    """Exponential mean with weights by position: over a null row the state's weight fades on, so 10, null, 20 is 16.67 at span 3."""
+    return recur(x, 2.0 / (span + 1), fade=True)
+
+
+def first_row(x: Series) -> Series:
+    """The number of the first row, up to this one, on which x isn't null; null before it."""
+    return Series("cummin", (when(x.is_null(), None, row_number()), None))
 
 
 # --- Spark ---------------------------------------------------------------------------------------------------------
@@ -150,7 +157,11 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
         if e.op == "row":
             return F.row_number().over(w).cast("double")
         if e.op == "cumsum":
-            return F.sum(x).over(w.rowsBetween(W.unboundedPreceding, 0))
+            return F.when(x.isNotNull(), F.sum(x).over(w.rowsBetween(W.unboundedPreceding, 0)))
+        if e.op == "running":
+            return F.sum(F.coalesce(x, F.lit(0.0))).over(w.rowsBetween(W.unboundedPreceding, 0))
+        if e.op == "cummin":
+            return F.min(x).over(w.rowsBetween(W.unboundedPreceding, 0))
         if e.op == "cummax":
             return F.max(x).over(w.rowsBetween(W.unboundedPreceding, 0))
         if e.op == "rank_desc":
@@ -165,6 +176,8 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
         # full: the window's first row exists and no null has come since; running values, unlike a count over the window
         first, null = F.lag(DAY, rows - 1).over(w), F.max(F.when(x.isNull(), F.col(DAY))).over(w.rowsBetween(W.unboundedPreceding, 0))
         full = first.isNotNull() & (null.isNull() | (null < first))
+        if e.op == "full":
+            return full
         if e.op in ("newest_max", "newest_min"):
             rn = _spark(e.args[2], done)
             pick = F.max_by(rn, F.struct(x, rn)) if e.op == "newest_max" else F.min_by(rn, F.struct(x, -rn))
@@ -177,7 +190,9 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
         if e.op == "wavg":
             weights = F.array(*[F.lit(v) for v in n])
             return F.when(full, F.aggregate(F.zip_with(F.collect_list(x).over(wn), weights, lambda v, k: v * k), F.lit(0.0), lambda a, v: a + v))
-        name = {"std": "stddev_samp", "var0": "var_pop"}.get(e.op, e.op)
+        if e.op == "kurt":
+            return F.when(full, F.kurtosis(x).over(wn) + 3)
+        name = {"std": "stddev_samp", "var0": "var_pop", "skew": "skewness"}.get(e.op, e.op)
         return F.when(full, getattr(F, name)(x).over(wn))
     a = [_spark(c, done) for c in e.children]
     if e.op == "/":
@@ -193,6 +208,21 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
     return {"+": a[0].__add__, "-": a[0].__sub__, "*": a[0].__mul__, "<": a[0].__lt__, "<=": a[0].__le__, ">": a[0].__gt__, ">=": a[0].__ge__, "=": a[0].__eq__, "AND": a[0].__and__, "OR": a[0].__or__}[e.op](a[1])
 
 
+def _lowered(e: Series, most: int = 8, done: dict[str, Series] | None = None) -> Series:
+    """The same with means and sums over more than ``most`` rows as differences of running sums: a frame is added up
+    anew for every row, a running sum is not, so the cost doesn't grow with the window."""
+    done = {} if done is None else done
+    if e.key not in done:
+        args = tuple(_lowered(a, most, done) if isinstance(a, Series) else a for a in e.args)
+        out = Series(e.op, args)
+        if e.op in ("avg", "sum") and args[1] > most:
+            run = Series("running", (args[0], None))
+            got = run - coalesce(lag(run, args[1]), 0)
+            out = Series("case", (Series("full", (args[0], args[1])), got / args[1] if e.op == "avg" else got, wrap(None)))
+        done[e.key] = out
+    return done[e.key]
+
+
 def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
     """Pieces that become columns, by level: what windows and recurrences read, recurrences, and windows used twice."""
     cut: dict[str, Series] = {}
@@ -202,7 +232,7 @@ def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
         for c in e.children:
             if c.op in _WINDOWS and c.key in seen:  # wanted again: computed once
                 cut.setdefault(c.key, c)
-            needs = (e.op in _WINDOWS and c.level > 0) or e.op == "recur" or (e.op in ("rank_desc", "cummax") or e.op.startswith("skip_"))
+            needs = (e.op in _WINDOWS and c.level > 0) or e.op == "recur" or (e.op in ("rank_desc", "cummax", "cummin", "running") or e.op.startswith("skip_"))
             if needs and c.op not in ("col", "lit"):
                 cut.setdefault(c.key, c)
             if c.key not in seen:
@@ -219,27 +249,43 @@ def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
     return dict(sorted(by.items()))
 
 
-def recur_step(df: DataFrame, jobs: list[tuple[str, str | float, str | float, float | None, bool]]) -> DataFrame:
-    """Adds columns name = recurrence(x, alpha, init, carry) for jobs, a symbol at a time in day order."""
+def _fold(x: list, alpha, init: float | None, carry: bool, fade: bool) -> list:
+    """The recurrence over one symbol's values; alpha is a number or one per row, None stands for null."""
+    constant = isinstance(alpha, float)
+    if constant and init is None and None not in x:
+        b = 1 - alpha
+        return list(accumulate(x, lambda s, v: alpha * v + b * s))
+    out, s, gap = [], init, 0
+    for v, a in zip(x, repeat(alpha) if constant else alpha, strict=False):
+        if v is None or a is None:
+            out.append(s if carry and a is not None else None)
+            gap += 1
+            continue
+        if s is None:
+            s = v
+        elif fade and gap:
+            w = (1 - a) ** (gap + 1)
+            s = (a * v + w * s) / (a + w)
+        else:
+            s = a * v + (1 - a) * s
+        gap = 0
+        out.append(s)
+    return out
+
+
+def recur_step(df: DataFrame, jobs: list[tuple[str, str | float, str | float, float | None, bool, bool]]) -> DataFrame:
+    """Adds columns name = recurrence(x, alpha, init, carry, fade) for jobs, a symbol at a time in day order."""
     import pyarrow as pa
 
     schema = StructType([*df.schema.fields, *(StructField(name, DoubleType()) for name, *_ in jobs)])
-    names = [j[0] for j in jobs]
-    init = np.array([np.nan if j[3] is None else j[3] for j in jobs])
-    carry = np.array([j[4] for j in jobs])
 
     def fold(t: pa.Table) -> pa.Table:
         t = t.sort_by(DAY)
-        take = lambda c: np.full(len(t), c, float) if isinstance(c, float) else t.column(c).to_numpy().astype(float)
-        x, a = (np.stack([take(j[k]) for j in jobs], axis=1) for k in (1, 2))
-        out, s = np.empty_like(x), init.copy()
-        live = ~np.isnan(x) & ~np.isnan(a)
-        for i in range(len(t)):
-            ok = live[i]
-            s = np.where(ok, np.where(np.isnan(s), x[i], a[i] * x[i] + (1 - a[i]) * s), s)
-            out[i] = np.where(ok | (carry & ~np.isnan(a[i])), s, np.nan)
-        for k, n in enumerate(names):
-            t = t.append_column(pa.field(n, pa.float64()), pa.array(out[:, k], from_pandas=True))
+        lists = {c: t.column(c).to_pylist() for job in jobs for c in job[1:3] if isinstance(c, str)}
+        for name, x, alpha, *rule in jobs:
+            x = [x] * len(t) if isinstance(x, float) else lists[x]
+            got = _fold(x, alpha if isinstance(alpha, float) else lists[alpha], *rule)
+            t = t.append_column(pa.field(name, pa.float64()), pa.array(got, pa.float64()))
         return t
 
     return df.groupBy(SYMBOL).applyInArrow(fold, schema)
@@ -247,6 +293,8 @@ def recur_step(df: DataFrame, jobs: list[tuple[str, str | float, str | float, fl
 
 def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...] = (SYMBOL, DAY)) -> DataFrame:
     """keep columns and one column per output, for every row of the panel."""
+    lowered: dict[str, Series] = {}
+    outputs = {n: _lowered(e, done=lowered) for n, e in outputs.items()}
     used = {SYMBOL, DAY, *keep}
 
     def columns(e: Series) -> None:
@@ -266,7 +314,7 @@ def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...]
             jobs = []
             for e in folds:
                 name = f"_s{len(done)}"
-                jobs.append((name, ref(e.args[0]), ref(e.args[1]), e.args[2], e.args[3]))
+                jobs.append((name, ref(e.args[0]), ref(e.args[1]), *e.args[2:]))
                 done[e.key] = name
             df = recur_step(df, jobs)
         new = {}
@@ -295,7 +343,9 @@ def _sql(e: Series, done: dict[str, str]) -> str:
         if e.op == "row":
             return f"CAST(row_number() OVER ({w}) AS DOUBLE)"
         if e.op == "cumsum":
-            return f"sum({x}) OVER ({w} ROWS UNBOUNDED PRECEDING)"
+            return f"CASE WHEN ({x}) IS NOT NULL THEN sum({x}) OVER ({w} ROWS UNBOUNDED PRECEDING) END"
+        if e.op == "cummin":
+            return f"min({x}) OVER ({w} ROWS UNBOUNDED PRECEDING)"
         if e.op == "cummax":
             return f"max({x}) OVER ({w} ROWS UNBOUNDED PRECEDING)"
         if e.op == "rank_desc":
@@ -316,6 +366,11 @@ def _sql(e: Series, done: dict[str, str]) -> str:
             return f"CASE WHEN {full} THEN list_sum(list_transform(list({x}) OVER {own}, lambda v: abs(v - avg({x}) OVER {own}))) / {n} END"
         if e.op == "wavg":
             return f"CASE WHEN {full} THEN list_dot_product(list({x}) OVER {own}, [{', '.join(f'CAST({v!r} AS DOUBLE)' for v in n)}]) END"
+        if e.op in ("skew", "kurt"):
+            m1, m2, m3, m4 = (f"avg(power({x}, {k})) OVER {own}" for k in (1, 2, 3, 4))
+            v, third = f"({m2} - power({m1}, 2))", f"({m3} - 3 * {m1} * {m2} + 2 * power({m1}, 3))"
+            fourth = f"({m4} - 4 * {m1} * {m3} + 6 * power({m1}, 2) * {m2} - 3 * power({m1}, 4))"
+            return f"CASE WHEN {full} AND {v} > 0 THEN {third} / power({v}, 1.5) END" if e.op == "skew" else f"CASE WHEN {full} AND {v} > 0 THEN {fourth} / power({v}, 2) END"
         name = {"std": "stddev_samp", "var0": "var_pop"}.get(e.op, e.op)
         return f"CASE WHEN {full} THEN {name}({x}) OVER {own} END"
     a = [_sql(c, done) for c in e.children]
@@ -369,9 +424,12 @@ def to_sql(panel_sql: str, outputs: dict[str, Series], keep: tuple[str, ...] = (
                 c = f"_s{len(done) + len(folded)}"
                 x, a = (_sql(k, done) for k in e.args[:2])
                 init = "CAST(NULL AS DOUBLE)" if e.args[2] is None else f"CAST({e.args[2]!r} AS DOUBLE)"
-                lists[f"{c}_l"] = f"list(struct_pack(s := {x}, a := {a})) OVER (PARTITION BY {SYMBOL} ORDER BY {DAY} ROWS UNBOUNDED PRECEDING)"
-                rule = "struct_pack(s := CASE WHEN v.s IS NULL OR v.a IS NULL THEN q.s WHEN q.s IS NULL THEN v.s ELSE v.a * v.s + (1 - v.a) * q.s END, a := v.a)"
-                got = f"list_reduce({c}_l, lambda q, v: {rule}, struct_pack(s := {init}, a := CAST(0.0 AS DOUBLE))).s"
+                lists[f"{c}_l"] = f"list(struct_pack(s := {x}, a := {a}, g := CAST(0.0 AS DOUBLE))) OVER (PARTITION BY {SYMBOL} ORDER BY {DAY} ROWS UNBOUNDED PRECEDING)"
+                new = "v.a * v.s + (1 - v.a) * q.s"
+                if e.args[4]:  # g: rows since the last value
+                    new = f"CASE WHEN q.g = 0 THEN {new} ELSE (v.a * v.s + power(1 - v.a, q.g + 1) * q.s) / (v.a + power(1 - v.a, q.g + 1)) END"
+                rule = f"struct_pack(s := CASE WHEN v.s IS NULL OR v.a IS NULL THEN q.s WHEN q.s IS NULL THEN v.s ELSE {new} END, a := v.a, g := CASE WHEN v.s IS NULL OR v.a IS NULL THEN q.g + 1 ELSE 0.0::DOUBLE END)"
+                got = f"list_reduce({c}_l, lambda q, v: {rule}, struct_pack(s := {init}, a := CAST(0.0 AS DOUBLE), g := CAST(0.0 AS DOUBLE))).s"
                 miss = f"({a}) IS NULL" if e.args[3] else f"({x}) IS NULL OR ({a}) IS NULL"
                 folded[c] = (e, f"CASE WHEN {miss} THEN NULL ELSE {got} END")
             step(lists)

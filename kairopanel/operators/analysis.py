@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 CROSS, SERIES = ["factor", "trade_date"], ["factor", "ts_code"]
 
@@ -34,27 +33,28 @@ def long_form(factors: DataFrame, names: list[str]) -> DataFrame:
     return factors.select("ts_code", "trade_date", F.explode(F.array(*[F.struct(F.lit(n).alias("factor"), F.col(n).cast("double").alias("value")) for n in names])).alias("x")).select("ts_code", "trade_date", "x.factor", "x.value")
 
 
-def sample(factors: DataFrame, source: DataFrame, active: DataFrame, industry: DataFrame | None = None) -> DataFrame:
-    """Rows of the active universe for every factor, with close, market value and industry; the universe sets the rows."""
+def sample(factors: DataFrame, names: list[str] | tuple[str, ...], source: DataFrame, active: DataFrame, industry: DataFrame | None = None) -> DataFrame:
+    """Rows of the active universe for every named factor, with close, market value and industry; the universe sets the rows."""
     keys = ["ts_code", "trade_date"]
-    names = factors.select("factor").distinct()
-    rows = active.select(*keys, "amount_20d_avg", "turnover_rate_20d_avg").join(F.broadcast(names))  # a row per registered factor
-    rows = rows.join(source.select(*keys, "close_hfq", "circ_mv"), keys, "left").join(factors, [*keys, "factor"], "left")
+    rows = active.select(*keys, "amount_20d_avg", "turnover_rate_20d_avg").join(source.select(*keys, "close_hfq", "circ_mv"), keys, "left")
+    rows = rows.withColumn("factor", F.explode(F.array(*[F.lit(n) for n in names]))).join(factors, [*keys, "factor"], "left")
     if industry is None:
         return rows.withColumn("industry", F.lit(None).cast("string"))
     return rows.join(industry.select("ts_code", "industry"), "ts_code", "left")
 
 
 def winsorize(frame: DataFrame, q: float = 0.01) -> DataFrame:
-    """Clips to the sorted values at int(n*q) and int(n*(1-q))-1 of each cross-section; under two values nothing changes."""
+    """Clips to the sorted values at int(n*q) and int(n*(1-q))-1 of each cross-section; under two values nothing changes.
+
+    The two values are found by rank within the cross-section: one sort of it, and no list of values in any row.
+    """
     day = W.partitionBy(*CROSS)
-    v = F.sort_array(F.collect_list("value").over(day))
-    n = F.size(v)
-    low = F.get(v, F.least(F.floor(n * q).cast("int"), n - 1))
-    high = F.get(v, F.greatest(F.floor(n * (1 - q)).cast("int") - 1, F.lit(0)))
-    marked = frame.withColumns({"_n": F.count("value").over(day), "_lo": low, "_hi": high})
+    f = frame.withColumns({"_n": F.count("value").over(day), "_r": F.row_number().over(day.orderBy(F.col("value").asc_nulls_last())) - 1})
+    low = F.least(F.floor(F.col("_n") * q), F.col("_n") - 1)
+    high = F.greatest(F.floor(F.col("_n") * (1 - q)) - 1, F.lit(0))
+    f = f.withColumns({"_lo": F.max(F.when(F.col("_r") == low, F.col("value"))).over(day), "_hi": F.max(F.when(F.col("_r") == high, F.col("value"))).over(day)})
     clipped = F.when((F.col("_n") < 2) | F.col("value").isNull(), F.col("value")).otherwise(F.least(F.greatest("value", "_lo"), "_hi"))
-    return marked.withColumn("value", clipped).drop("_n", "_lo", "_hi")
+    return f.withColumn("value", clipped).drop("_n", "_r", "_lo", "_hi")
 
 
 def neutralize_industry(frame: DataFrame) -> DataFrame:
@@ -187,6 +187,31 @@ def summary(ics: DataFrame, groups: DataFrame) -> DataFrame:
     return a.join(b, ["factor", "horizon"])
 
 
+def picked_ranks(events: DataFrame, keys: list[str], value: str, whole: int = 10_000) -> DataFrame:
+    """keys, n and the values at ranks round((n-1)/20), the middle (mean of two if even) and round(19(n-1)/20).
+
+    Exact, and no key's values meet in one task: a sketch gives a narrow band of values around each rank, rows below a
+    band are counted, and only a band's rows (under one in a hundred; all, where a key has at most ``whole``) are ranked.
+    """
+    gap, shares = 0.004, {"lo": 0.05, "mid": 0.5, "hi": 0.95}
+    edges = [x for s in shares.values() for x in (s - gap, s + gap)]
+    bands = events.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("_min"), F.max(value).alias("_max"), F.percentile_approx(value, F.array(*[F.lit(x) for x in edges]), F.lit(1000)).alias("_b"))
+    few = F.col("n") <= whole
+    bands = bands.select(*keys, "n", *[F.when(few, F.col("_min")).otherwise(F.get("_b", F.lit(2 * i))).alias(f"_{s}_l") for i, s in enumerate(shares)], *[F.when(few, F.col("_max")).otherwise(F.get("_b", F.lit(2 * i + 1))).alias(f"_{s}_h") for i, s in enumerate(shares)])
+    rows = events.where(F.col(value).isNotNull()).select(*keys, value).join(bands, keys)
+    below = rows.groupBy(*keys).agg(*[F.count_if(F.col(value) < F.col(f"_{s}_l")).alias(f"_{s}") for s in shares])
+    within = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), (F.col(value).between(F.col(f"_{s}_l"), F.col(f"_{s}_h"))).alias("ok")) for s in shares])).alias("_at")
+    inside = rows.select(*keys, "n", value, within).where("_at.ok").select(*keys, "n", value, F.col("_at.s").alias("s"))
+    inside = inside.withColumn("r", F.row_number().over(W.partitionBy(*keys, "s").orderBy(value)) - 1).join(below, keys)
+    rank = F.col("r") + F.coalesce(*[F.when(F.col("s") == s, F.col(f"_{s}")) for s in shares])
+    last = F.col("n") - 1
+    at = lambda s, k: F.when((F.col("s") == s) & (F.col("rank") == k), F.col(value))
+    return inside.withColumn("rank", rank).groupBy(*keys).agg(
+        F.max(at("lo", F.round(last * 0.05))).alias("q05"), F.max(at("hi", F.round(last * 0.95))).alias("q95"),
+        ((F.max(at("mid", F.floor(last / 2))) + F.max(at("mid", F.floor(F.col("n") / 2)))) / 2).alias("median"),
+    )
+
+
 def event_summary(frame: DataFrame, horizons: tuple[int, ...] = (1, 5, 10, 20)) -> DataFrame:
     """Event study of signals (value in -1, 0, 1) against forward returns, one row per factor and horizon."""
     rows = _by_horizon(frame, horizons)
@@ -199,41 +224,46 @@ def event_summary(frame: DataFrame, horizons: tuple[int, ...] = (1, 5, 10, 20))
     })
     win = F.when(F.col("event"), (F.col("ret") > 0).cast("double"))
     keys = ["factor", "horizon"]
-    # nearest-rank quantiles need the values in order: an array per factor and horizon, of events only
-    sorted_ret = F.sort_array(F.collect_list("ret"))
     up, down = F.col("value") > 0, F.col("value") < 0
     a = rows.groupBy(*keys).agg(
         F.count_if("event").alias("event_count"), F.count(F.lit(1)).alias("_eligible"),
         F.count_if(up).alias("bullish_event_count"), F.count_if(down).alias("bearish_event_count"),
         F.avg(F.when(up, F.col("ret"))).alias("bullish_avg_signal_return"), F.avg(F.when(up, win)).alias("bullish_win_rate"),
         F.avg(F.when(down, F.col("ret"))).alias("bearish_avg_signal_return"), F.avg(F.when(down, win)).alias("bearish_win_rate"),
-        F.avg("excess").alias("avg_excess_signal_return"), F.avg("ret").alias("avg_signal_return"), F.median("ret").alias("median_signal_return"),
+        F.avg("excess").alias("avg_excess_signal_return"), F.avg("ret").alias("avg_signal_return"),
         F.avg(F.when(F.col("ret") > 0, F.col("ret"))).alias("positive_mean_signal_return"), F.avg(F.when(F.col("ret") < 0, F.col("ret"))).alias("negative_mean_signal_return"),
-        F.min("ret").alias("max_loss_signal_return"), F.stddev_samp("ret").alias("_std"), F.avg(win).alias("win_rate"), sorted_ret.alias("_sorted"),
+        F.min("ret").alias("max_loss_signal_return"), F.stddev_samp("ret").alias("_std"), F.avg(win).alias("win_rate"),
     )
-    daily = rows.where("event").groupBy(*keys, "trade_date").count().groupBy(*keys).agg(F.avg("count").alias("avg_daily_event_count"), F.max("count").alias("max_daily_event_count"))
-    yearly = rows.where("event").groupBy(*keys, F.year("trade_date").alias("y")).agg(F.avg("ret").alias("m"), F.avg(win).alias("w"))
+    events = rows.where("event")
+    ranks = picked_ranks(events, keys, "ret").select(*keys, F.col("median").alias("median_signal_return"), F.col("q05").alias("q05_signal_return"), F.col("q95").alias("q95_signal_return"))
+    daily = events.groupBy(*keys, "trade_date").count().groupBy(*keys).agg(F.avg("count").alias("avg_daily_event_count"), F.max("count").alias("max_daily_event_count"))
+    yearly = events.groupBy(*keys, F.year("trade_date").alias("y")).agg(F.avg("ret").alias("m"), F.avg(win).alias("w"))
     yearly = yearly.groupBy(*keys).agg(F.count(F.lit(1)).alias("active_years"), F.stddev_samp("m").alias("yearly_avg_signal_return_std"), F.stddev_samp("w").alias("yearly_win_rate_std"))
-    nearest = lambda q: F.get("_sorted", F.round((F.size("_sorted") - 1) * q).cast("int"))
-    out = a.join(daily, keys, "left").join(yearly, keys, "left")
+    out = a.join(ranks, keys, "left").join(daily, keys, "left").join(yearly, keys, "left")
     some = F.col("event_count") > 0
     t = F.when(F.col("event_count") >= 2, F.try_divide("avg_signal_return", F.try_divide(F.col("_std"), F.sqrt("event_count"))))
     return out.withColumns({
         "event_coverage_ratio": F.when(some, F.col("event_count") / F.col("_eligible")),
         "profit_loss_ratio": F.try_divide("positive_mean_signal_return", F.abs("negative_mean_signal_return")),
-        "q05_signal_return": nearest(0.05), "q95_signal_return": nearest(0.95), "t_stat": t,
+        "t_stat": t, "p_value": two_sided_p(t),
         "active_years": F.coalesce("active_years", F.lit(0)),
-    }).drop("_eligible", "_std", "_sorted")
+    }).drop("_eligible", "_std")
 
 
-def with_p_values(summary: DataFrame) -> DataFrame:
-    """Adds the two-sided normal p-value of t_stat: a small table, one row per factor and horizon."""
+def two_sided_p(t: Column, terms: int = 80) -> Column:
+    """erfc(|t| / sqrt 2), the normal two-sided p-value: erf's power series up to 2.5, the continued fraction beyond it."""
+    x = F.abs(t) / math.sqrt(2)
+    small = F.least(x, F.lit(2.5))
+    start = F.struct(small.alias("term"), small.alias("sum"))
 
-    def two_sided(frames):
-        for f in frames:
-            yield f.assign(p_value=[None if t is None or t != t else math.erfc(abs(t) / math.sqrt(2)) for t in f["t_stat"]])
+    def more(s: Column, k: Column) -> Column:
+        term = s["term"] * 2 * small * small / (2 * k + 1)
+        return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
 
-    return summary.mapInPandas(two_sided, StructType([*summary.schema.fields, StructField("p_value", DoubleType())]))
+    near = 1 - 2 / math.sqrt(math.pi) * F.exp(-small * small) * F.aggregate(F.sequence(F.lit(1), F.lit(terms)), start, more, lambda s: s["sum"])
+    large = F.greatest(x, F.lit(2.5))
+    tail = F.aggregate(F.sequence(F.lit(terms), F.lit(1)), large, lambda s, k: large + k / 2 / s)
+    return F.when(t.isNull() | F.isnan(t), None).when(x <= 2.5, near).otherwise(F.exp(-large * large) / math.sqrt(math.pi) / tail)
 
 
 def event_monitor(frame: DataFrame) -> DataFrame:

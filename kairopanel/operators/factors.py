@@ -9,9 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from kairopanel.functions.series import (
-    Series, absolute, avg, coalesce, col, cumulative, ema, greater_count, greatest, highest, lag, least, ln, lowest,
-    mean_deviation, rank_desc, recur, row_number, rows_since_high, rows_since_low, running_max, skip_avg, skip_max,
-    skip_min, sqrt, std, total, var0, weighted, when,
+    Series, absolute, avg, coalesce, col, cumulative, ema, first_row, greater_count, greatest, highest, kurtosis, lag, least, ln, lowest,
+    mean_deviation, rank_desc, recur, row_number, rows_since_high, rows_since_low, running_max, skewness, skip_avg, std, total, var0, weighted, when,
 )
 
 O, H, L, C = (col(f"{x}_hfq") for x in ("open", "high", "low", "close"))  # noqa: E741
@@ -159,23 +158,8 @@ _add("detrended_price_oscillator", {"detrended_price_oscillator_20_10": DPO, "de
 _add("return_variance", {f"return_variance_{n}": var0(RETURN, n) for n in (20, 60, 120)})
 
 
-def _moment(n: int, k: int) -> Series:
-    """Central moment of k-th order from raw ones."""
-    m1, m2, m3, m4 = (avg(_power(RETURN, i), n) for i in (1, 2, 3, 4))
-    return {2: m2 - m1 * m1, 3: m3 - 3 * m1 * m2 + 2 * m1 * m1 * m1, 4: m4 - 4 * m1 * m3 + 6 * m1 * m1 * m2 - 3 * m1 * m1 * m1 * m1}[k]
-
-
-def _power(x: Series, k: int) -> Series:
-    out = x
-    for _ in range(k - 1):
-        out = out * x
-    return out
-
-
-for _n in (20, 60, 120):
-    _v = _moment(_n, 2)
-    _add("return_skewness", {f"return_skewness_{_n}": when(_v > 0, _moment(_n, 3) / (when(_v > 0, _v) * sqrt(when(_v > 0, _v))))})
-    _add("return_kurtosis", {f"return_kurtosis_{_n}": when(_v > 0, _moment(_n, 4) / (_v * _v))})
+_add("return_skewness", {f"return_skewness_{n}": skewness(RETURN, n) for n in (20, 60, 120)})
+_add("return_kurtosis", {f"return_kurtosis_{n}": kurtosis(RETURN, n) for n in (20, 60, 120)})
 _add("volume_standard_deviation", {f"volume_standard_deviation_{n}": std(VOL, n) for n in (10, 20)})
 _add("turnover_value_standard_deviation", {f"turnover_value_standard_deviation_{n}": std(AMOUNT, n) for n in (6, 20)})
 
@@ -236,7 +220,7 @@ _add("stochastic_oscillator", {"stochastic_k_line_9_3_3": _K, "stochastic_d_line
 _FASTK = (C - lowest(L, 5)) / (highest(H, 5) - lowest(L, 5)) * 100
 _add("stochastic_fast", {"stochastic_fast_k_line_5_3": _FASTK, "stochastic_fast_d_line_5_3": skip_avg(_FASTK, 3)})
 _RSI14 = wilder(14)
-_SRSI = (_RSI14 - skip_min(_RSI14, 5)) / (skip_max(_RSI14, 5) - skip_min(_RSI14, 5)) * 100
+_SRSI = (_RSI14 - lowest(_RSI14, 5)) / (highest(_RSI14, 5) - lowest(_RSI14, 5)) * 100
 _add("stochastic_relative_strength_index", {"stochastic_relative_strength_index_fast_k_14_5_3": _SRSI, "stochastic_relative_strength_index_fast_d_14_5_3": skip_avg(_SRSI, 3)})
 _LWR1 = recur((highest(H, 9) - C) / (highest(H, 9) - lowest(L, 9)) * 100, 1 / 3, 50.0)
 _add("lwr_indicator", {"lwr_1_9_3_3": _LWR1, "lwr_2_9_3_3": recur(_LWR1, 1 / 3, 50.0)})
@@ -327,7 +311,10 @@ _add("market_cost", {"market_cost": recur(AMOUNT / VOL, when(TURNOVER.is_null(),
 
 _ER = when(total(absolute(CHANGE), 10).same(0), 0, absolute(C - lag(C, 10)) / total(absolute(CHANGE), 10))
 _SC = _ER * (2 / 3 - 2 / 31) + 2 / 31
-_add("kaufman_adaptive_moving_average", {"kaufman_adaptive_moving_average_10_2_30": recur(when(row_number().same(11), avg(C, 10), C), when(row_number() < 11, None, _SC * _SC))})
+# seeded with the mean of the first ten closes in a row that end at row 11 or later; then every window of eleven closes moves it
+_SEED = when(row_number() < 11, None, avg(C, 10))
+_SEED_ROW = first_row(_SEED)
+_add("kaufman_adaptive_moving_average", {"kaufman_adaptive_moving_average_10_2_30": recur(when(row_number().same(_SEED_ROW), _SEED, C), when(row_number().same(_SEED_ROW), 1, when(row_number() > _SEED_ROW, _SC * _SC)))})
 _XA = (2 * C + H + L) / 4
 _XDD = recur(C, absolute(_XA - avg(C, 20)) / avg(C, 20))
 _add("xue_si_channel_ii", {

@@ -55,7 +55,7 @@ def _universe(p: DataFrame) -> DataFrame:
 
 
 def _sample(p: DataFrame, wide: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    return A.sample(A.long_form(wide, list(names)), p, _universe(p), p.select("ts_code", "industry").distinct())
+    return A.sample(A.long_form(wide, list(names)), names, p, _universe(p), p.select("ts_code", "industry").distinct())
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +199,10 @@ summary AS (
          positive_mean_signal_return / nullif(abs(negative_mean_signal_return), 0) AS profit_loss_ratio,
          v[1 + CAST(round((len(v) - 1) * 0.05::DOUBLE) AS INT)] AS q05_signal_return, v[1 + CAST(round((len(v) - 1) * 0.95::DOUBLE) AS INT)] AS q95_signal_return,
          CASE WHEN event_count >= 2 THEN avg_signal_return / nullif(sd / sqrt(event_count), 0) END AS t_stat
-  FROM a LEFT JOIN d USING (factor, horizon) LEFT JOIN y USING (factor, horizon))"""
+  FROM a LEFT JOIN d USING (factor, horizon) LEFT JOIN y USING (factor, horizon)),
+tested AS (
+  SELECT *, 1 - 2 * list_sum(list_transform(range(20000), lambda i: exp(-power((i + 0.5::DOUBLE) * abs(t_stat) / 20000, 2) / 2))) * abs(t_stat) / 20000 / sqrt(2 * pi()) AS p_value
+  FROM summary)"""
 
 
 # --- queries -------------------------------------------------------------------------------------------------------
@@ -235,11 +238,11 @@ def calendar_range(spark, sf_dir):
 
 
 @query("source_completeness", f"""WITH {P_SQL}, t AS (SELECT DISTINCT trade_date FROM p)
-SELECT 'symbol_1' AS source, trade_date FROM t WHERE trade_date NOT IN (SELECT trade_date FROM p WHERE ts_code = 1)
+SELECT 'busy' AS source, trade_date FROM t WHERE trade_date NOT IN (SELECT trade_date FROM p WHERE vol > 60)
 UNION ALL SELECT 'flags' AS source, trade_date FROM t WHERE trade_date NOT IN (SELECT trade_date FROM p WHERE is_st)""")
 def source_completeness(spark, sf_dir):
     p = _panel(spark, sf_dir)
-    return U.missing_days(p, {"symbol_1": p.where("ts_code = 1"), "flags": _flags(p)})
+    return U.missing_days(p, {"busy": p.where("vol > 60"), "flags": _flags(p)})
 
 
 @query("adjusted_close", f"WITH {P_SQL} SELECT ts_code, trade_date, {rounded_sql('close_hfq / adj_factor * adj_factor')} AS hfq_factor FROM p")
@@ -341,10 +344,10 @@ def analysis_monitor(spark, sf_dir):
 
 
 _ECOUNTS = ["event_count", "max_daily_event_count", "bullish_event_count", "bearish_event_count", "active_years"]
-_ERATES = [c for c in EVENT_COLUMNS if c not in _ECOUNTS]
+_ERATES = [*[c for c in EVENT_COLUMNS if c not in _ECOUNTS], "p_value"]
 
 
-@query("event_study", f"WITH {SIGNAL_SQL}, {EVENT_SQL} SELECT {_show_sql(['factor', 'horizon', *_ECOUNTS], _ERATES)} FROM summary")
+@query("event_study", f"WITH {SIGNAL_SQL}, {EVENT_SQL} SELECT {_show_sql(['factor', 'horizon', *_ECOUNTS], _ERATES)} FROM tested")
 def event_study(spark, sf_dir):
     return _show(A.event_summary(_signals(spark, sf_dir)), ["factor", "horizon", *_ECOUNTS], _ERATES)
 

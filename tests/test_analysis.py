@@ -1,6 +1,8 @@
 """Universe, cross-section and event-study operators on hand-made frames; catalog and incremental upkeep."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,13 +55,33 @@ def test_groups_and_ic(spark):
 
 def test_events(spark):
     f = frame(spark, [1.0, -1.0, 0.0], forward_return_1=[0.2, 0.1, 0.3])
-    r = A.with_p_values(A.event_summary(f, (1,))).first()
+    r = A.event_summary(f, (1,)).first()
     assert (r.event_count, r.bullish_event_count, r.bearish_event_count) == (2, 1, 1)
     assert r.avg_signal_return == pytest.approx(0.05) and r.win_rate == 0.5 and 0 <= r.p_value <= 1
     none = A.event_summary(frame(spark, [0.0], forward_return_1=[0.2]), (1,)).first()
     assert none.event_count == 0 and none.avg_signal_return is None and none.active_years == 0
 
 
+def test_p_values(spark):
+    t = [0.0, 0.3, -1.0, 1.96, 3.5, 3.6, -8.0, 30.0, None, float("nan")]
+    got = [r.p for r in spark.createDataFrame([(x,) for x in t], "t double").select(A.two_sided_p(F.col("t")).alias("p")).collect()]
+    for x, p in zip(t[:-2], got, strict=False):
+        assert p == pytest.approx(math.erfc(abs(x) / math.sqrt(2)), rel=1e-11)
+    assert got[-2:] == [None, None]
+
+
+@pytest.mark.parametrize("whole", [10_000, 100])
+def test_picked_ranks(spark, whole):
+    g = random.Random(3)
+    values = {"a": [g.gauss(0, 1) for _ in range(20_001)], "b": [float(g.randrange(7)) for _ in range(5_000)], "c": [2.0], "d": [3.0, 1.0], "e": [1.5] * 3_000}
+    df = spark.createDataFrame([(k, x) for k, v in values.items() for x in v], "k string, x double")
+    got = {r.k: r for r in A.picked_ranks(df, ["k"], "x", whole).collect()}
+    for k, v in values.items():
+        v, n = sorted(v), len(v)
+        assert (got[k].q05, got[k].q95) == (v[int((n - 1) * 0.05 + 0.5)], v[int((n - 1) * 0.95 + 0.5)])
+        assert got[k]["median"] == (v[(n - 1) // 2] + v[n // 2]) / 2
+
+
 def test_flag_list(spark):
     days = spark.createDataFrame([(d,) for d in D[:4]], "trade_date date")
     flags = spark.createDataFrame([("A", D[0]), ("B", D[0]), ("B", D[2]), ("C", D[2])], "ts_code string, trade_date date")
