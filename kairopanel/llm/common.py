@@ -30,9 +30,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors."""
-    path = f"{work_dir(df.sparkSession, name)}.parquet"
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Writes df as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors.
+
+    What is stored stays as long as frames read it: whoever runs a job clears spark.checkpoint.dir after it. folder: one
+    of work_dir that the caller drops itself.
+    """
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else f"{work_dir(df.sparkSession, name)}.parquet"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

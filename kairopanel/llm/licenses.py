@@ -5,7 +5,9 @@ replaceable regions ``<<var;match="...">>`` or ``<<var;words=N>>`` (up to N word
 pattern as a whole). It is compiled to an automaton over words. A text carries the template's label where a run of
 its words is accepted: all mandatory words stand there exactly, in order, and only optional or replaceable regions
 differ. Starts are tried at every place of a word that a template can begin with, in texts that have the template's
-longest mandatory run of words.
+longest mandatory run of words. Built in are whole texts of MIT, BSD (2 and 3 clauses), ISC and zlib, the standard
+notices of Apache 2, GPL, LGPL, AGPL and MPL 2, and short references to these and Creative Commons licenses; texts whose
+mandatory wording is changed or cut get no whole-text label. ``templates`` takes others.
 
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of the text with A-Z lower-cased. Besides, the places of three fixed
 phrases are counted (the base). score is the best accepted run's share of literal words, 0 without one.
@@ -16,8 +18,10 @@ scanned one by one. Whole texts are read, however long.
 
 from __future__ import annotations
 
+import bisect
 import re
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,18 +30,52 @@ from pyspark.sql.types import StructField, StructType
 #: The phrases of the base scan.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Notices as their licenses' publishers word them, with what may differ marked up.
+#: Licenses and notices as their publishers word them, with what may differ marked up. First whole texts
+#: (copyright lines, holders and bullets may differ), then notices that refer to a license.
 TEMPLATES = [
-    ("mit", "<<beginOptional>>this <<var;words=4>> is<<endOptional>> released under the <<beginOptional>>terms of the<<endOptional>> MIT license"),
-    ("mit", "licensed under the <<beginOptional>>terms of the<<endOptional>> MIT license"),
-    ("mit", 'permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the <<var;words=1>> without restriction'),
+    ("mit", """<<beginOptional>><<beginOptional>>The<<endOptional>> MIT License <<beginOptional>>(MIT)<<endOptional>><<endOptional>> <<beginOptional>>Copyright <<var;words=24>><<endOptional>>
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;words=12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("bsd-2-clause", """<<beginOptional>>Copyright <<var;words=24>><<endOptional>>
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        <<var;words=1;match="1|a">> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        <<var;words=1;match="2|b">> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        THIS SOFTWARE IS PROVIDED BY <<var;words=12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;words=12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("bsd-3-clause", """<<beginOptional>>Copyright <<var;words=24>><<endOptional>>
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        <<var;words=1;match="1|a">> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        <<var;words=1;match="2|b">> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        <<var;words=1;match="3|c">> Neither the name of <<var;words=12>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY <<var;words=12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;words=12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("isc", """<<beginOptional>>ISC License<<endOptional>> <<beginOptional>>Copyright <<var;words=24>><<endOptional>>
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;words=8>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;words=8>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+        <<var;words=1;match="1|a">> The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+        <<var;words=1;match="2|b">> Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+        <<var;words=1;match="3|c">> This notice may not be removed or altered from any source distribution."""),
+    ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use <<var;words=3>> except in compliance with the License. You may obtain a copy of the License at
+        <<var;words=8>> Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("gpl-3", """<<var;words=6>> is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        <<beginOptional>><<var;words=6>> is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.<<endOptional>>"""),
+    ("gpl-2", """<<var;words=6>> is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."""),
+    ("lgpl-3", """<<var;words=6>> is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("lgpl-2.1", """<<var;words=6>> is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."""),
+    ("agpl-3", """<<var;words=6>> is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("mpl-2", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at <<var;words=7>>"""),
+    ("mit", "<<beginOptional>>this <<var;words=4>> is<<endOptional>> <<var;words=1;match=\"released|licensed|distributed|available\">> under the <<beginOptional>>terms of the<<endOptional>> MIT license"),
     ("apache-2", "licensed under the Apache License, version 2.0 <<beginOptional>>(the <<var;words=1>>)<<endOptional>>"),
     ("apache-2", "Apache License <<beginOptional>>version<<endOptional>> 2.0"),
     ("cc-by-nc", "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> CC BY-NC <<beginOptional>><<var;match=\"sa|nd\">><<endOptional>> <<var;words=2;match=\"[0-9]\">> <<beginOptional>>license<<endOptional>>"),
-    ("cc-by-nc", "creative commons attribution <<var;words=2;match=\"non|commercial|noncommercial\">> <<var;words=2;match=\"[0-9]\">> <<var;words=1;match=\"international|unported\">> license"),
+    ("cc-by-nc", "creative commons attribution non commercial <<beginOptional>><<var;words=2;match=\"share|alike|sharealike|no|derivatives|noderivatives\">><<endOptional>> <<var;words=2;match=\"[0-9]\">> <<beginOptional>><<var;match=\"international|unported\">><<endOptional>> license"),
+    ("cc-by-nc", "creative commons attribution noncommercial <<beginOptional>><<var;words=2;match=\"share|alike|sharealike|no|derivatives|noderivatives\">><<endOptional>> <<var;words=2;match=\"[0-9]\">> <<beginOptional>><<var;match=\"international|unported\">><<endOptional>> license"),
+    ("cc-by-sa", "creative commons attribution <<var;words=2;match=\"share|alike|sharealike\">> <<var;words=2;match=\"[0-9]\">> <<beginOptional>><<var;match=\"international|unported\">><<endOptional>> license"),
+    ("cc-by", "creative commons attribution <<var;words=2;match=\"[0-9]\">> <<beginOptional>><<var;match=\"international|unported\">><<endOptional>> license"),
+    ("cc0", "CC0 1.0 universal <<beginOptional>>public domain dedication<<endOptional>>"),
     ("gpl-3", "<<beginOptional>>this <<var;words=4>> is<<endOptional>> licensed under the <<beginOptional>>terms of the<<endOptional>> GNU General Public License, version 3 <<beginOptional>>or <<beginOptional>>at your option any<<endOptional>> later <<beginOptional>>version<<endOptional>><<endOptional>>"),
     ("gpl-3", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the license, or (at your option) any later version"),
-    ("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("mpl-2", "subject to the terms of the Mozilla Public License, v. 2.0"),
 ]
 
@@ -141,11 +179,12 @@ class Matcher:
         """n_words, n_base, first_word, last_word, base_labels, labels, score."""
         words = license_words(text)
         line = b" " + b" ".join(words) + b" "
-        places, base, labels, score = [], set(), set(), 0.0
+        places, base, labels, score, starts = [], set(), set(), 0.0, []
         for phrase, label in self.phrases:
             at = line.find(phrase)
             while at >= 0:
-                places.append(line.count(b" ", 0, at))
+                starts = starts or list(accumulate((len(w) + 1 for w in words), initial=0))
+                places.append(bisect.bisect_left(starts, at))
                 base.add(label)
                 at = line.find(phrase, at + 1)
         for a in self.automata:

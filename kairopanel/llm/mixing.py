@@ -62,7 +62,8 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     of = stored(of.select(F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("_s"), "source_size", "target", "total"), "targets")
     rows = _running(sized, ["skey"], "cell", [F.col("h"), F.col("doc_id"), F.col("size"), F.col("digest")], "size", "before")
     rows = rows.withColumnRenamed("pos", "place").join(of, F.col("skey") == F.col("_s")).drop("_s", "h")  # one row a source
-    times = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    # rows without words take nothing and hold up nothing: they stay out of the queue
+    times = rows.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     finish = F.try_divide(F.col("before") + F.col("epoch") * F.col("source_size") + F.col("size"), F.col("target"))
     times = times.withColumn("finish", F.coalesce(finish, F.lit(0.0)))
     # by time 1 every source has its target
@@ -71,7 +72,8 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     budget = F.floor("total")
     times = times.withColumn("got", F.greatest(F.lit(0), F.least(F.col("size"), budget - F.col("used"))))
     out = times.groupBy("skey", "cell", "place").agg(*[F.any_value(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target", "digest")], F.sum("got").cast("long").alias("taken"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "taken", "digest")
+    names = ["doc_id", "source", "size", "source_size", "target", "taken", "digest"]
+    return out.select(*names).union(rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*names))
 
 
 def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **kw) -> DataFrame:

@@ -10,7 +10,8 @@ bounded.
 
 Ids: the given tokenizer's without special tokens, then id 0 at the document's end. Texts are encoded in pieces cut
 before every space that is followed by a non-space, which is always a border of the byte-level pre-tokenizer, and
-pieces are kept in a bounded dictionary per task; texts with unusual white space go to the tokenizer whole.
+pieces are kept in a bounded dictionary of the worker; texts with unusual white space, and all texts where the file's
+pre-tokenizer is another, go to the tokenizer whole.
 
 Defined results: null and empty texts are the single id 0. Repeated rows and null ids are packed one by one. With
 no documents there are no pieces. Only ids of one batch of texts and of the open windows are in memory.
@@ -31,86 +32,87 @@ from kairopanel.llm.common import stored
 
 END = 0
 _ENCODERS: dict = {}  # of this worker process, for its later tasks
-_ODD = re.compile(r" \s|[^\S ] | $|[\x1c-\x1f\x85᠎​]")
+_ODD = re.compile(r" \s|[^\S ] | $|[\x1c-\x1f\x85᠎​]|<\|")
 
 
-class _Pieces(dict):
-    """Ids of pieces as little-endian uint32 bytes; missing ones are encoded, every 64th by both encoders."""
-
-    def __init__(self, encoder: Encoder, lead: str):
-        self.encoder, self.lead, self.seen = encoder, lead, 0
-
-    def __missing__(self, piece: str) -> bytes:
-        text = self.lead + piece
-        ids = self.encoder.fast.encode_ordinary(text) if self.encoder.fast and "<|" not in text else self.encoder.slow(text)
-        self.seen += 1
-        if self.seen % 64 == 1 and self.encoder.fast and ids != self.encoder.slow(text):
-            raise ValueError(f"the two encoders differ on {text!r}")
-        got = self[piece] = np.array(ids, "<u4").tobytes()
-        return got
+def _odd(t: str) -> bool:
+    """Whether the text may have borders that its pieces don't show; printable characters have no white space but the space."""
+    if "  " in t or t[-1] == " " or " \n" in t or "\n " in t or "<|" in t:
+        return True
+    return not t.replace("\n", "").isprintable() and bool(_ODD.search(t))
 
 
 class Encoder:
-    """Ids of texts as little-endian uint32 bytes, with bounded dictionaries of pieces.
+    """Ids of texts as little-endian uint32 bytes, all by the tokenizer file, with bounded dictionaries of pieces.
 
-    A byte-level BPE file whose ids are in the order of its merges gives the same ids through tiktoken, built here
-    from the same vocabulary, at a third of the time; other files are encoded by tokenizers alone.
+    New pieces are encoded many at once, as one line, which is cut again where a token begins with a piece's space (after
+    a new line: by the tokens' offsets).
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 400_000):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        self.plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.fast = _ranked(path)
-        self.first, self.spaced = _Pieces(self, ""), _Pieces(self, " ")
-
-    def slow(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.spaced[[i for x, i in vocab.items() if x.startswith("Ġ")]] = True
+        self.known: dict[str, dict[str, bytes]] = {"\n": {}, " ": {}}  # by what stands before the piece; heads of texts after a new line
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, lead: str, pieces: set[str]) -> None:
+        """Encodes pieces that come after ``lead``; a head's own tokens are those behind the new line."""
+        known = self.known[lead]
+        if len(known) + len(pieces) > self.most:
+            known.clear()
+        line = list(pieces)
+        if lead == "\n":  # heads with white space at their ends would run into each other's new lines
+            line = [x for x in line if x and not x[0].isspace() and not x[-1].isspace()]
+            known.update((x, self.whole(x)) for x in pieces.difference(line))
+        for lo in range(0, len(line), 4096):
+            some = line[lo : lo + 4096]
+            got = self.tokenizer.encode(lead + lead.join(some), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            if lead == " ":  # no piece has a space within, so a token that begins with one begins a piece
+                turn = np.append(np.flatnonzero(self.spaced[ids]), len(ids))
+                turn, ends = turn[:-1], turn[1:]
+            else:
+                at, sizes = np.array(got.offsets, np.int64)[:, 0], np.array([len(x) + 1 for x in some])
+                starts = np.cumsum(sizes) - sizes
+                turn, ends = np.searchsorted(at, starts + 1), np.append(np.searchsorted(at, starts[1:]), len(ids))
+            raw = ids.tobytes()
+            known.update(zip(some, (raw[4 * i : 4 * j] for i, j in zip(turn.tolist(), ends.tolist(), strict=True)), strict=True))
 
     def encode(self, texts: list[str | None], end: int = END) -> list[bytes]:
         stop = np.array([end], "<u4").tobytes()
-        for known in (self.first, self.spaced):
-            if len(known) > self.most:
-                known.clear()
-        get, out = self.spaced.__getitem__, []
-        for t in texts:
-            if not t:
-                out.append(stop)
-            elif _ODD.search(t):
-                out.append(np.array(self.slow(t), "<u4").tobytes() + stop)
+        cut = [t.split(" ") if t and self.plain and not _odd(t) else None for t in texts]
+        heads, spaced = {c[0] for c in cut if c}, set()
+        for c in cut:
+            if c:
+                spaced.update(c[1:])
+        for lead, some in (("\n", heads), (" ", spaced)):
+            new = some.difference(self.known[lead])
+            self.learn(lead, some if len(self.known[lead]) + len(new) > self.most else new)
+        first, get = self.known["\n"], self.known[" "].__getitem__
+        out = []
+        for t, c in zip(texts, cut, strict=True):
+            if c is None:
+                out.append((self.whole(t) if t else b"") + stop)
             else:
-                head, *rest = t.split(" ")
-                out.append(b"".join([self.first[head], *map(get, rest), stop]))
+                head, *rest = c
+                out.append(b"".join([first[head], *map(get, rest), stop]))
         return out
 
 
-def _ranked(path: str):
-    """A tiktoken encoding with the file's vocabulary, or None if the file isn't plain byte-level BPE in merge order."""
-    import json
-
-    import tiktoken
-
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    model, pre = spec.get("model", {}), spec.get("pre_tokenizer") or {}
-    plain = model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer")
-    if not plain or model.get("dropout") or model.get("end_of_word_suffix"):
-        return None
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the rest follow from 256 on
-    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-    special = {t["content"] for t in spec.get("added_tokens", [])}
-    ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
-    merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
-    ids = [model["vocab"].get(m.replace(" ", "")) for m in merges]
-    if None in ids or ids != sorted(ids):
-        return None
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the byte-level pre-tokenizer's pattern
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
 class Open:
     """Open windows by room left; a window is (room, number)."""
 

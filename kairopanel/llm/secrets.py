@@ -7,8 +7,9 @@ the log-likelihood ratio of the two models is ``threshold`` nats or more.
 
 The models are first-order over the alphabet below, smoothed by character frequencies, and fitted on labelled samples:
 of the ``sample_docs`` documents whose hashed ids come first, the base spans' values (label random) and up to
-``words_per_doc`` words of letters, ``_`` and ``-`` of each, as they are and in upper case (label ordinary), and three
-forms each of ``made_strings`` digests (label random). These bounds are on the classifier's sample only; every text is
+``words_per_doc`` words of letters, ``_`` and ``-`` of each, as they are and in upper case (label ordinary); of
+``made_strings`` digests three forms (label random) and their digits, in a row and in groups of four (label ordinary, as
+account and telephone numbers, dates and times are). These bounds are on the classifier's sample only; every text is
 scanned whole.
 
 Defined results: a null text counts as empty; without spans the counts are 0, spans is '' and base_sha256 is the
@@ -93,7 +94,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs
     labelled = picked.select(F.explode(F.array(F.struct(F.lit(1).alias("y"), values.alias("w")), F.struct(F.lit(0).alias("y"), ordinary.alias("w")))).alias("x")).select("x.y", F.explode("x.w").alias("w")).where("w <> ''")
     digest = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")), 256)
     made = F.array(F.base64(F.unhex(digest)), digest, F.upper(F.translate(F.base64(F.unhex(digest)), "+/=", "")))
-    labelled = labelled.union(docs.sparkSession.range(made_strings).select(F.lit(1).alias("y"), F.explode(made).alias("w")))
+    digits = F.translate(digest, "abcdef", "")
+    plain = F.array(F.substring(digits, 1, 20), F.concat_ws("-", *[F.substring(digits, k, 4) for k in (1, 5, 9, 13)]))
+    strings = docs.sparkSession.range(made_strings)
+    labelled = labelled.union(strings.select(F.lit(1).alias("y"), F.explode(made).alias("w"))).union(strings.select(F.lit(0).alias("y"), F.explode(plain).alias("w")))
     pairs = labelled.withColumn("c", _codes(F.col("w"))).select("y", F.explode(F.arrays_zip(F.concat(F.array(F.lit(0)), F.slice("c", 1, F.size("c") - 1)).alias("a"), F.col("c").alias("b"))).alias("p"))
     counts = pairs.groupBy("y", F.col("p.a").alias("a"), F.col("p.b").alias("b")).count().collect()  # at most 2 * states^2 rows
     n = np.zeros((2, _STATES, _STATES))

@@ -247,9 +247,14 @@ def lookup(keys: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
     return rows.mapInArrow(search, "key string, archive string, offset bigint, length bigint")
 
 
-def fetch(places: DataFrame, folder: str, id_type: str = "bigint", payload: bool = False) -> DataFrame:
-    """Reads the records at (archive, offset, length) by range; the payload's text is returned if asked for."""
-    rows = places.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+def fetch(places: DataFrame, folder: str, id_type: str = "bigint", payload: bool = False, task_bytes: int = 16 << 20) -> DataFrame:
+    """Reads the records at (archive, offset, length) by range; the payload's text is returned if asked for.
+
+    Places are small whatever lies at them, so the number of tasks follows from the records' bytes, ``task_bytes`` a task.
+    """
+    places = stored(places.select("archive", "offset", "length"), "places")
+    tasks = max(places.sparkSession.sparkContext.defaultParallelism, -(-(places.agg(F.sum("length")).first()[0] or 0) // task_bytes))
+    rows = places.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     schema = f"page_id {id_type}, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to {id_type}" + ", payload string" * payload
 
     def read(batches):
