@@ -72,6 +72,13 @@ class Catalog:
         out = df.withColumn("_day", F.col(day)).repartition("_day")
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_day").parquet(self.path(name))
 
+    def replace_parts(self, df: DataFrame, name: str, by: list[str], compression: str = "zstd") -> None:
+        """Writes df into a table partitioned by these columns: partitions that df has are replaced, others stay."""
+        if not self.exists(name) and df.isEmpty():
+            df.write.option("compression", compression).parquet(self.path(name))  # so that the columns are known
+            return
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(*by).parquet(self.path(name))
+
     def read_years(self, name: str, years: list[int], schema: StructType | None = None, day: str = "trade_date") -> DataFrame:
         """Rows of the given years; on a table written by replace_days only those partitions are read."""
         df = self.read(name, schema)
