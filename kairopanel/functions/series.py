@@ -385,14 +385,15 @@ def _sql(e: Series, done: dict[str, str]) -> str:
     return f"(({a[0]}) {e.op} ({a[1]}))"
 
 
-#: Below each bound, the factor that is kept before cutting to whole numbers (about 6 digits of a value).
+#: Below each bound, the factor that is kept before cutting to whole numbers (some 6 digits; of values below
+#: 1e-3 nine decimals). For comparison with another engine only: evaluate() returns exact values.
 #: A little under a half: exact halves, common among ratios, then never hang on an engine's last bit.
 _UP = 0.49973
-_CUTS = ((0.1, 1e6), (1e2, 1e5), (1e4, 1e3), (1e6, 1e1), (1e12, 1.0))
+_CUTS = ((1e-3, 1e9), (0.1, 1e6), (1e2, 1e5), (1e4, 1e3), (1e6, 1e1), (1e12, 1.0))
 
 
 def rounded(x: Column) -> Column:
-    """To some six digits in plain double arithmetic that other engines share."""
+    """To some six digits in plain double arithmetic that other engines share, for queries that are compared with one."""
     out = F.lit(None).cast("double")
     for k, (bound, scale) in enumerate(_CUTS):
         cut = F.floor(x * scale + _UP) / scale
