@@ -77,3 +77,77 @@ def test_bigrams_seen_once_count(spark):
     own = np.concatenate([bloom_lm.bigrams(x) for x in bloom_lm.tokens([t for _, t in pairs])])
     assert (bloom_lm.Filter(rows, 16, 3).levels(own) > 0).all()
     assert got[1000] >= got[1001]
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """All stages on a small table with nulls, empties, repeated rows, ties, a very long text and clashing columns."""
+    from tokenizers import Tokenizer
+
+    from kairopanel.llm import langid, mixing, secrets
+    from kairopanel.llm.queries import tokenizer_path
+
+    g = np.random.default_rng(21)
+    rows = []
+    for lang, letters in (("aa", "abcdeot"), ("bb", "fghijot"), ("zz", "vwxyzot")):
+        for _ in range(40):
+            text = " ".join("".join(g.choice(list(letters), int(g.integers(2, 9)))) for _ in range(int(g.integers(20, 80))))
+            rows.append((len(rows), text, lang, ["s1", "s2", None][len(rows) % 3]))
+    base = [t for _, t, *_ in rows]
+    for k in range(0, 30, 3):  # exact and near copies
+        rows.append((len(rows), base[k], "aa", "s2"))
+        w = base[k + 1].split(" ")
+        rows.append((len(rows), " ".join([*w[:-1], "changed"]), None, "s1"))
+    rows.append((len(rows), " ".join(base[50].split(" ")[::-1]) + " password = 'hunter2hunter2' and zQ8xK2vP9mW4rT7yL1nB6cD3 end", "bb", "s1"))
+    rows += [(len(rows) + i, t, None, "s1") for i, t in enumerate([None, "", " ", "123 456", "x" * 50_000])]
+    rows += [rows[5], (None, base[7] + " more", "aa", "s2"), (None, None, None, None)]
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), "k", "row") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, k string, row string")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {}
+    stages = [(name, lambda s, d, p, f=f, n=name: got.setdefault(n, f(s, d, p))) for name, f in corpus_pipeline.STAGES]
+    kept_stages, corpus_pipeline.STAGES = corpus_pipeline.STAGES, stages
+    try:
+        pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        corpus_pipeline.STAGES = kept_stages
+    names = [n for n, _ in kept_stages]
+    assert all(got[n].columns == docs.columns for n in names[:-1])
+    key = lambda r: (r.doc_id is None, r.doc_id, r.text or "", r.source or "")
+    table = {n: sorted((key(r) for r in got[n].collect()), key=str) for n in names[:-1]}
+
+    model = langid.fit(docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 != 2))
+    lang, score = langid.predict_texts(model, [t for _, t, *_ in rows])
+    first = [r for r, x, s in zip(rows, lang, score, strict=True) if x != "und" and s >= 0.4]
+    plain = lambda some: sorted(((i is None, i, t or "", s or "") for i, t, _, s in some), key=str)
+    assert table[names[0]] == plain(first) and len(rows) - len(first) in range(5, 9)
+
+    numbered = [(n, r) for n, r in enumerate(sorted(first, key=lambda r: (r[0] is None, r[0] or 0)))]
+    keep = kept_ids([(n, r[1]) for n, r in numbered])
+    second = [numbered[n][1] for n in keep]
+    assert table[names[1]] == plain(second) and len(second) < len(first) - 15
+
+    found = {r.doc_id: r.spans for r in secrets.scan(got[names[1]]).collect()}
+    third = []
+    for i, t, la, s in second:
+        out, at = "", 0
+        for b, e in sorted(tuple(map(int, x.split(":")[1:])) for x in found[i].split(",") if x):
+            out, at = (out + t[at:b] + "[SECRET]" if b >= at else out), max(at, e)
+        third.append((i, out + t[at:], la, s))
+    assert table[names[2]] == plain(third) and sum("[SECRET]" in t for _, t, *_ in third) >= 1
+
+    takes = {(r.doc_id, r.size): r.taken for r in mixing.plan(got[names[2]]).collect()}
+    fourth = []
+    for i, t, la, s in third:
+        w = t.split()
+        left = takes[i, len(w)]
+        fourth += [(i, t, la, s)] * (left // len(w)) + ([(i, " ".join(w[: left % len(w)]), la, s)] if left % len(w) else [])
+    assert table[names[3]] == plain(fourth)
+
+    t = Tokenizer.from_file(tokenizer_path())
+    assert sum(r.length for r in pieces) == sum(len(t.encode(x, add_special_tokens=False).ids) + 1 for _, x, *_ in fourth)
+    empty = corpus_pipeline.run(spark, str(_empty(docs, tmp_path)))
+    assert empty.count() == 0
+
+
+def _empty(docs, tmp_path):
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    return tmp_path / "none"
