@@ -3,9 +3,9 @@
 Vectors are scaled to length one, where the nearest by cosine are the nearest by distance. A table has ``functions``
 hashes floor((a.x + b) / width) with Gaussian (2-stable) a. For a query the probability that a neighbour at the
 expected distance lies ``o`` buckets away is known for every hash and offset (a normal distribution around the
-query's own projection); the buckets' products, in falling order, are visited until they sum to ``success``. The
-expected distance is fitted on a sample of at most ``sample`` vectors: a high quantile of the distance to the k-th
-neighbour within the sample, which overestimates it in all of the data and so only widens the search.
+query's own projection); the buckets' products, in falling order, are visited until the tables together find such a neighbour
+with probability ``success``. The expected distance is a high quantile of the distance to the k-th neighbour, measured
+for a fixed number of vectors against all of them in one pass.
 
 Every distinct vector is in the index; equal copies are one entry with the k + 1 smallest ids, which is all that a
 result can show. Buckets are dealt to shards of some ``per_shard`` entries by hash, and a bucket with more than that
@@ -77,18 +77,26 @@ class Hashes:
             yield q, self.name(t, home[q] + offsets[order[:upto]] - _REACH)
 
 
-def expected_distance(nodes: DataFrame, k: int, sample: int = 2048, quantile: float = 0.9) -> float:
-    """Distance within which most sampled vectors have k neighbours in the sample."""
-    rows = nodes.select("node", "v", F.xxhash64("node").alias("h")).orderBy("h", "node").limit(sample).select("v").collect()
-    lists = pa.array([r.v for r in rows], pa.list_(pa.float64()))
-    far = []
-    for _, x in V.by_length(lists) if rows else ():
-        u = V.unit(x)
-        if len(u) > k:
-            s = u @ u.T
-            np.fill_diagonal(s, -2)
-            far.append(np.sort(np.partition(s, -k, axis=1)[:, -k]))
-    return math.sqrt(max(0.0, 2 - 2 * float(np.quantile(np.concatenate(far), 1 - quantile)))) if far else math.sqrt(2)
+def expected_distance(nodes: DataFrame, k: int, probes: int = 64, quantile: float = 0.9) -> float:
+    """Distance within which most of ``probes`` vectors, those whose hashes come first, have k neighbours among all vectors."""
+    rows = nodes.select("node", "v", F.xxhash64("v").alias("h")).orderBy("h", "node").limit(probes).collect()
+    asks = {x.shape[1]: (at, np.array([r.node for r in rows])[at], V.unit(x)) for at, x in V.by_length(pa.array([r.v for r in rows], pa.list_(pa.float64())))} if rows else {}
+
+    def each(batches):
+        for b in batches:
+            node = b.column(0).to_numpy()
+            for at, x in V.by_length(b.column(1)):
+                if x.shape[1] in asks:
+                    q, own, u = asks[x.shape[1]]
+                    s = u @ V.unit(x).T
+                    s[own[:, None] == node[at]] = -2.0
+                    best = -np.partition(-s, k - 1, axis=1)[:, :k] if s.shape[1] > k else s
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q, best.shape[1])), pa.array(best.reshape(-1))], names=["q", "s"])
+
+    near = nodes.select("node", "v").mapInArrow(each, "q bigint, s double").where("s > -2")
+    near = near.withColumn("rn", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s")))).where(F.col("rn") == k)
+    far = [r.s for r in near.select("s").collect()]  # one row a probe
+    return math.sqrt(max(0.0, 2 - 2 * float(np.quantile(far, 1 - quantile)))) if far else math.sqrt(2)
 
 
 def _best(owner: np.ndarray, score: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
@@ -110,7 +118,7 @@ def _nearest(uq: np.ndarray, xq: np.ndarray, ux: np.ndarray, xs: np.ndarray, lea
     return q[at], c[at], exact[at]
 
 
-def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", tables: int = 2, functions: int = 4, width: float = 1.0, success: float = 0.87, per_shard: int = 8192, seed: int = 5) -> DataFrame:
+def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", tables: int = 2, functions: int = 4, width: float = 1.0, success: float = 0.96, per_shard: int = 8192, seed: int = 5) -> DataFrame:
     """The k nearest found of every row with is_query (a condition on docs): query_id, rank, vec_id, score."""
     spark = docs.sparkSession
     rows = docs.select(docs[vec_id].alias("vec_id"), docs[embedding].alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
@@ -159,7 +167,7 @@ def search(docs: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id"
                 h, u = hashes(x.shape[1]), V.unit(x)
                 q_of, buckets, shard = [], [], []
                 for t in range(tables):
-                    for q, bucket in h.probes(u, t, distance, success):
+                    for q, bucket in h.probes(u, t, distance, 1 - (1 - success) ** (1 / tables)):
                         n = parts(bucket)
                         each = np.repeat(bucket, n)
                         sub = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)

@@ -85,6 +85,12 @@ def n_words(text: Column) -> Column:
     return F.length(gaps) - F.length(F.replace(gaps, F.lit("w"), F.lit("")))
 
 
+def key_of(*cols: Column) -> Column:
+    """128 bits of these columns, nulls apart from empty ones; 64 bits would be the same for some rows of very large tables."""
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("n")) for c in cols]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
 def id_remainder(doc_id: Column, k: int) -> Column:
     """crc32 of the id as text, modulo k; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % k

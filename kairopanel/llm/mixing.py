@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kairopanel.llm.common import n_words, stored
+from kairopanel.llm.common import key_of, n_words, stored
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, epochs: int = 2) -> DataFrame:
@@ -87,8 +87,8 @@ def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     kinds = takes.select("doc_id", "source", "digest", full.cast("int").alias("whole"), (F.col("taken") - full * F.col("size")).cast("int").alias("part"))
     kinds = kinds.groupBy("doc_id", "source", "digest", "whole", "part").agg(F.count(F.lit(1)).alias("n"))
     per = kinds.groupBy("doc_id", "source", "digest").agg(F.sort_array(F.collect_list(F.struct("whole", "part", "n")), asc=False).alias("kinds"))
-    per = per.select(F.xxhash64("doc_id", "source", "digest").alias("_k"), F.col("kinds").alias("_kinds"))
-    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.xxhash64(docs[doc_id], docs[source], F.xxhash64(docs[text])).alias("k"))
+    per = per.select(key_of(F.col("doc_id"), F.col("source"), F.col("digest")).alias("_k"), F.col("kinds").alias("_kinds"))
+    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key_of(docs[doc_id], docs[source], F.xxhash64(docs[text])).alias("k"))
     # joined and numbered by one key: a single shuffle of the texts
     both = src.join(per.hint("merge"), F.col("k") == F.col("_k")).withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("k")))
     start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0).alias("whole"), F.lit(0).alias("part"))

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairopanel.llm import vectors as V
-from kairopanel.llm.common import stored, word_hashes, words
+from kairopanel.llm.common import key_of, stored, word_hashes, words
 from kairopanel.llm.components import connected_components
 
 BITS = 64
@@ -76,9 +76,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
 
 
 def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
-    """128 bits of id and text, nulls apart from empty ones."""
-    part = lambda c: F.coalesce(F.concat(F.lit("s"), c.cast("string")), F.lit("n"))
-    return F.unhex(F.md5(F.concat(part(docs[doc_id]), F.lit("\n"), part(docs[text]))))
+    return key_of(docs[doc_id], docs[text])
 
 
 def trie_pairs(x: np.ndarray, starts: np.ndarray, side: np.ndarray, budget: int, low: int = 0, cap: int = 1 << 18):
