@@ -16,10 +16,11 @@ Deduplication (``deduplicate``): links are texts whose sets of ``shingle``-word
 searched for, so the fingerprint has 512 bits and the trie join runs on several tables of 32 of them, each dealt by its
 first bits and joined within a budget of 3 on the rest. The number of tables follows from the share of pairs at the very
 similarity that one table finds, so that ``success`` of them are found (closer pairs more surely), and the first bits
-grow with the number of texts, so that groups don't. What is found goes on if further 96 bits differ as little as such
-pairs do, and is then verified on the whole texts. So that a group of copies isn't expanded into pairs, a task returns a
-spanning forest of what it finds; only where verifying refuses an edge of a tree are the other pairs of its nodes made,
-those within a class already verified excepted: no pair found is lost.
+grow with the number of texts, so that groups don't. What is found goes on if 192 bits differ as little as such pairs
+do. So that a group of copies isn't expanded into pairs, a task returns the spanning forest of least differences of what
+it finds, and each of its edges is verified on the whole texts. Classes are connected by links, and a forest of least
+differences cut at a bound has the same classes as all pairs cut there; as differences are estimated by bits, an edge
+may be refused where another pair of its two parts would have passed, right at the bound only.
 
 Null doc_id: the row takes part; its component_id is the smallest id reachable, null if there is none. Copies
 and repeated rows meet in one fingerprint or set and are never paired with each other. An empty table gives no rows.
@@ -167,26 +168,27 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges out of (i, j) that connect whatever all of them do, without circles; near neighbours first, so no hubs."""
-    order = np.argsort(np.abs(j - i), kind="stable")
+def spanning(n: int, i: np.ndarray, j: np.ndarray, cost: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Edges out of (i, j) that connect whatever all of them do, without circles, of least cost; then near neighbours first."""
+    order = np.argsort(np.abs(j - i), kind="stable") if cost is None else np.lexsort((np.abs(j - i), cost))
     i, j, label, out = i[order], j[order], np.arange(n), []
+    rest = [] if cost is None else [cost[order]]
     while True:
         a, b = label[i], label[j]
         live = a != b
-        i, j, a, b = i[live], j[live], a[live], b[live]
+        i, j, a, b, rest = i[live], j[live], a[live], b[live], [c[live] for c in rest]
         if not len(i):
             break
         first, turn = np.full(n, len(i)), np.arange(len(i))
         np.minimum.at(first, a, turn)
         np.minimum.at(first, b, turn)
         pick = np.unique(first[first < len(i)])  # of each part its first edge: unequal places, so no circle
-        out.append((i[pick], j[pick]))
+        out.append((i[pick], j[pick], *(c[pick] for c in rest)))
         label = forest(n, a[pick], b[pick])[label]
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (i, j)
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (i, j, *rest)
 
 
-def folded(n: int, found, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def folded(n: int, found, most: int = 1 << 21) -> tuple[np.ndarray, ...]:
     """A spanning forest of the pairs that come in parts, with bounded memory."""
     held, size = [], 0
     for part in found:
@@ -291,7 +293,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 # --- deduplication at a similarity of shingle sets ---
 
 _WORDS = 8  # 64-bit words of a wide fingerprint
-_ZONE, _ZONE_BUDGET, _CHECK = 32, 3, 96
+_ZONE, _ZONE_BUDGET, _CHECK = 32, 3, 192
 _SALT = np.random.default_rng(64).integers(1 << 63, size=_WORDS, dtype=np.uint64)
 
 
@@ -364,48 +366,46 @@ def table_plan(n: int, similarity: float, success: float) -> tuple[int, int]:
 
 
 def _tables(nodes: DataFrame, first: int, tables: int) -> DataFrame:
-    """A row per node and table: place (table and first bits), s (zone and 32 more bits), y (64 more bits), node.
+    """A row per node and table: place (table and first bits), s (the zone), y0 to y2 (the same 192 bits in all tables), node.
 
     A fingerprint is 32 quarters of 16 bits; table t's zone is quarter t with the one t // 32 + 1 after it.
     """
     t = np.arange(tables)
-    quarter = np.stack([t % 32, (t + t // 32 + 1) % 32] + [(t + t // 32 + 2 + k) % 32 for k in range(6)], axis=1)
+    zone = np.stack([t % 32, (t + t // 32 + 1) % 32], axis=1)
 
     def each(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
-                q = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, 32)[:, quarter].astype(np.uint64)
-                x = q[:, :, 0] << np.uint64(48) | q[:, :, 1] << np.uint64(32) | q[:, :, 2] << np.uint64(16) | q[:, :, 3]
-                y = q[:, :, 4] << np.uint64(48) | q[:, :, 5] << np.uint64(32) | q[:, :, 6] << np.uint64(16) | q[:, :, 7]
+                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, 32)
+                q = raw[:, zone].astype(np.uint64)
+                x = q[:, :, 0] << np.uint64(48) | q[:, :, 1] << np.uint64(32)
                 place = (t << first) | (x >> np.uint64(64 - first)).astype(np.int64)
-                node = part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), tables)))
-                s = (x ^ np.uint64(1 << 63)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(place.reshape(-1)), pa.array(s.reshape(-1)), pa.array(y.view(np.int64).reshape(-1)), node], names=["place", "s", "y", "node"])
+                at = pa.array(np.repeat(np.arange(part.num_rows), tables))
+                y = raw.view(np.int64)[:, :3]
+                cols = [pa.array(place.reshape(-1)), pa.array((x ^ np.uint64(1 << 63)).view(np.int64).reshape(-1)), *(pa.array(y[:, k].copy()).take(at) for k in range(3)), part.column(0).take(at)]
+                yield pa.RecordBatch.from_arrays(cols, names=["place", "s", "y0", "y1", "y2", "node"])
 
-    return nodes.select("node", "fp").mapInArrow(each, "place bigint, s bigint, y bigint, node binary")
+    return nodes.select("node", "fp").mapInArrow(each, "place bigint, s bigint, y0 bigint, y1 bigint, y2 bigint, node binary")
 
 
-def _found(dealt: DataFrame, similarity: float, most: int, whole: bool) -> DataFrame:
-    """Candidate pairs (u, v), u < v: a spanning forest of each group's, or all between different roots (``whole``)."""
+def _found(dealt: DataFrame, similarity: float, most: int) -> DataFrame:
+    """Candidate pairs (u, v), u < v: each group's spanning forest of least differences."""
     p = differing(similarity)
-    allowed = math.ceil(_CHECK * p + 3.3 * math.sqrt(_CHECK * p * (1 - p)))
-    low = np.uint64((1 << (BITS - _ZONE)) - 1)
+    allowed = math.ceil(_CHECK * p + 3 * math.sqrt(_CHECK * p * (1 - p)))
 
     def join(t: pa.Table, x: np.ndarray, starts: np.ndarray, role: np.ndarray):
-        y, node = t.column("y").to_numpy().view(np.uint64), t.column("node").combine_chunks()
-        root = pa.compute.dictionary_encode(t.column("root").combine_chunks()).indices.to_numpy() if whole else None
+        y, node = [t.column(f"y{k}").to_numpy().view(np.uint64) for k in range(3)], t.column("node").combine_chunks()
 
         def near():
             for i, j in trie_pairs(x, starts, role, _ZONE_BUDGET, BITS - _ZONE):
-                ok = np.bitwise_count((x[i] ^ x[j]) & low) + np.bitwise_count(y[i] ^ y[j]) <= allowed
-                if whole:
-                    ok &= root[i] != root[j]
-                yield i[ok], j[ok]
+                cost = sum(np.bitwise_count(c[i] ^ c[j]).astype(np.int16) for c in y)
+                ok = cost <= allowed
+                yield i[ok], j[ok], cost[ok]
 
-        for i, j in near() if whole else [folded(len(x), near())]:
-            if len(i):
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(j))], names=["u", "v"])
+        i, j, *_ = folded(len(x), near())
+        if len(i):
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(j))], names=["u", "v"])
 
     pairs = _by_group(_chunked(dealt, ["place"], F.col("node"), most), ["place"], join, "u binary, v binary")
     return pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -441,23 +441,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, keys: DataFrame, shi
 
 
 def similar(docs: DataFrame, keys: DataFrame, fps: DataFrame, text: str, shingle: int, similarity: float, success: float, most: int = 2048) -> DataFrame:
-    """Verified links (u, v) that connect the nodes of every class found. docs(k, text); keys(node, k); fps(node, fp)."""
+    """Verified links (u, v) that connect the nodes of every class. docs(k, text); keys(node, k); fps(node, fp)."""
     first, tables = table_plan(fps.count(), similarity, success)
-    dealt = _tables(fps, first, tables)
-    tree = stored(_verified(stored(_found(dealt, similarity, most, False), "tree"), docs, text, keys, shingle, similarity), "tree_verified")
-    refused = tree.where("not ok")
-    if refused.isEmpty():
-        return tree.where("ok").select("u", "v")
-    # only trees with a refused edge can hide other links
-    trees = connected_components(tree.select("u", "v"))
-    torn = refused.join(trees, F.col("u") == F.col("node")).select("root").distinct()
-    open_nodes = trees.join(torn, "root").select("node")
-    roots = connected_components(tree.where("ok").select("u", "v"))
-    open_nodes = stored(open_nodes.join(roots, "node", "left").select(F.col("node").alias("_node"), F.coalesce("root", "node").alias("root")), "open")
-    again = _tables(fps.join(open_nodes, F.col("node") == F.col("_node"), "left_semi"), first, tables).join(open_nodes, F.col("node") == F.col("_node")).drop("_node")
-    more = stored(_found(again, similarity, most, True).join(tree.select("u", "v"), ["u", "v"], "left_anti"), "more")
-    more = stored(_verified(more, docs, text, keys, shingle, similarity), "more_verified")
-    return tree.where("ok").select("u", "v").union(more.where("ok").select("u", "v"))
+    pairs = stored(_found(_tables(fps, first, tables), similarity, most), "candidates")
+    return stored(_verified(pairs, docs, text, keys, shingle, similarity), "verified").where("ok").select("u", "v")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, success: float = 0.99, most: int = 2048) -> DataFrame:
