@@ -64,6 +64,7 @@ class Encoder:
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.spaced[[i for x, i in vocab.items() if x.startswith("Ġ")]] = True
+        self.marks = {x: self.whole(x) for x in ",.;:!?"} if self.plain else {}
         self.known: dict[str, dict[str, bytes]] = {"\n": {}, " ": {}}  # by what stands before the piece; heads of texts after a new line
 
     def whole(self, text: str) -> bytes:
@@ -74,8 +75,13 @@ class Encoder:
         known = self.known[lead]
         if len(known) + len(pieces) > self.most:
             known.clear()
-        line = list(pieces)
-        if lead == "\n":  # heads with white space at their ends would run into each other's new lines
+        line, ended = list(pieces), []
+        if lead == " ":
+            # a mark after a word is a token run of its own: the word, which mostly is known, and the mark
+            ended = [x for x in line if x[-1] in self.marks and x[:-1].isalpha()]
+            stems = {x[:-1] for x in ended}.difference(known)
+            line = list(stems.union(pieces.difference(ended)))
+        else:  # heads with white space at their ends would run into each other's new lines
             line = [x for x in line if x and not x[0].isspace() and not x[-1].isspace()]
             known.update((x, self.whole(x)) for x in pieces.difference(line))
         for lo in range(0, len(line), 4096):
@@ -91,6 +97,7 @@ class Encoder:
                 turn, ends = np.searchsorted(at, starts + 1), np.append(np.searchsorted(at, starts[1:]), len(ids))
             raw = ids.tobytes()
             known.update(zip(some, (raw[4 * i : 4 * j] for i, j in zip(turn.tolist(), ends.tolist(), strict=True)), strict=True))
+        known.update((x, known[x[:-1]] + self.marks[x[-1]]) for x in ended)
 
     def encode(self, texts: list[str | None], end: int = END) -> list[bytes]:
         stop = np.array([end], "<u4").tobytes()
