@@ -50,8 +50,12 @@ def stale(catalog: Catalog, names: list[str], summary: str, end: dt.date, rules:
     """The names without a summary of every horizon that is at most ``days`` old at ``end``."""
     if not catalog.exists(summary):
         return list(names)
-    rows = catalog.read(summary).where(F.col("factor").isin(list(names)))
-    return [n for n in names if not A.is_fresh(rows.where(F.col("factor") == n), end, rules.horizons, days)]
+    rows = catalog.read(summary).where(F.col("factor").isin(list(names)) & F.col("horizon").isin(list(rules.horizons)))
+    newest = rows.groupBy("factor", "horizon").agg(F.max("updated_at").alias("at"))
+    # fresh: every horizon is there, and none is older
+    fresh = newest.where(F.date_diff(F.lit(end), F.col("at")) <= days).groupBy("factor").count().where(F.col("count") == len(set(rules.horizons)))
+    known = {r.factor for r in fresh.collect()}  # at most one row a name
+    return [n for n in names if n not in known]
 
 
 def factor_analysis(catalog: Catalog, factors: DataFrame, names: list[str], source: DataFrame, active: DataFrame, industry: DataFrame, now: dt.date, rules: A.AnalysisRules = A.AnalysisRules(), folder: str = "factor_analysis", prepared: bool = False) -> DataFrame:  # noqa: B008
