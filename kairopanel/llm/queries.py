@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import ann, bloom_lm, langid, lattice, licenses, mixing, packing, secrets, simhash, warc
+from kairopanel.llm import align, ann, bloom_lm, langid, lattice, licenses, mixing, packing, resample, secrets, simhash, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -120,6 +120,55 @@ FROM served GROUP BY doc_id, size, source_size, target
 """
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = align.align(read(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.drop("doc_row")
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM range(256) r(i))),
+texts AS (
+  SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+split AS (
+  SELECT side, doc_id, row_number() OVER () AS k,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM texts),
+long AS (SELECT side, k, unnest(words) AS w FROM split),
+distinct_words AS (SELECT DISTINCT w, hex(encode(w)) AS h FROM long),
+hashed AS (
+  SELECT w, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM distinct_words CROSS JOIN crc_table),
+used AS (SELECT side, k, bucket FROM long JOIN hashed USING (w)),
+sums AS (SELECT bucket, count(*) FILTER (WHERE side = 0) AS s, count(*) FILTER (WHERE side = 1) AS t FROM used GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + 10000) AS DOUBLE) / CAST((s + 1) * (sum(t) OVER () + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM sums),
+weights AS (SELECT k, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM used JOIN gains USING (bucket) WHERE side = 0 GROUP BY k),
+scored AS (
+  SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(CASE WHEN n IS NULL THEN 0 ELSE (total - (((total % n) + n) % n)) // n END AS BIGINT) AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS noise
+  FROM split LEFT JOIN weights USING (k) WHERE side = 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id ASC NULLS LAST) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS able
+  FROM scored)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+       CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM placed
+"""
+
+
 QUERIES = {
     "op5_bloom_lm": op5_bloom_lm,
     "op3_ann": op3_ann,
@@ -131,9 +180,12 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op8_simhash": op8_simhash,
     "op9_langid": op9_langid,
+    "op12_align": op12_align,
+    "op13_resample": op13_resample,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op10_mixing": OP10_SQL,
+    "op13_resample": OP13_SQL,
 }
