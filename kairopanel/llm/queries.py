@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairopanel.llm import align, ann, bloom_lm, langid, lattice, licenses, mixing, packing, resample, secrets, simhash, warc
+from kairopanel.llm import align, ann, bloom_lm, langid, lattice, licenses, mixing, packing, resample, secrets, simhash, toxicity, warc
 from kairopanel.llm.common import id_remainder, read
 
 
@@ -120,6 +120,13 @@ FROM served GROUP BY doc_id, size, source_size, target
 """
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs.where(~held_out), labels.where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -180,6 +187,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op8_simhash": op8_simhash,
     "op9_langid": op9_langid,
+    "op11_toxicity": op11_toxicity,
     "op12_align": op12_align,
     "op13_resample": op13_resample,
 }
