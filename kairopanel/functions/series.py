@@ -3,7 +3,10 @@
 A panel has one row per (symbol, day). An expression is a small tree; ``evaluate`` turns trees into DataFrame columns.
 Window functions can't contain window functions, so a tree is cut where one reads another's result and the pieces
 become columns level by level; all pieces of all requested trees share one shuffle and sort by symbol and day, equal
-pieces are computed once, and expressions stay in Spark's built-in operators. The one thing Spark has no built-in
+pieces are computed once, and expressions stay in Spark's built-in operators. Aggregates over many rows are put
+together from aggregates over 2, 4, 8, ... rows, each made of two of the size before by ``lag``: a row costs the
+logarithm of the window, all windows of a value share the parts, and nothing is ever subtracted, so values that
+have left a window (large ones, or NaN) leave nothing behind. The one thing Spark has no built-in
 for is the recurrence s = a*x + (1-a)*s, which runs once per level for all recurrences together, symbol by symbol.
 
 ``to_sql`` writes the same trees as portable SQL, used to check the results on another engine.
@@ -49,7 +52,7 @@ class Series:
     def level(self) -> int:
         got = self.__dict__.get("_level")
         if got is None:
-            got = max((c.level for c in self.children), default=0) + (self.op in _WINDOWS or self.op == "recur")
+            got = max((c.level for c in self.children), default=0) + (self.op in _WINDOWS or self.op in ("recur", "merge"))
             object.__setattr__(self, "_level", got)
         return got
 
@@ -72,7 +75,7 @@ class Series:
 
 
 #: Window primitives; all but the first two take a number of rows and give null unless that many are not null.
-_WINDOWS = {"lag", "lead", "avg", "sum", "std", "var0", "max", "min", "newest_max", "newest_min", "greater", "meandev", "wavg", "cumsum", "row", "skip_avg", "skip_max", "skip_min", "cummax", "rank_desc", "cummin", "full", "running", "skew", "kurt"}
+_WINDOWS = {"lag", "lead", "avg", "sum", "std", "var0", "max", "min", "newest_max", "newest_min", "greater", "meandev", "wavg", "cumsum", "row", "skip_avg", "skip_max", "skip_min", "cummax", "rank_desc", "cummin", "skew", "kurt"}
 
 
 def wrap(x) -> Series:
@@ -150,6 +153,13 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
         return F.col(e.args[0])
     if e.op == "lit":
         return F.lit(e.args[0]).cast("double")
+    if e.op == "unit":
+        x = _spark(e.args[0], done)
+        return F.when(x.isNotNull(), F.struct(x.alias("mean"), *[F.lit(0.0).alias(f"m{k}") for k in range(2, e.args[1] + 1)]))
+    if e.op == "merge":
+        return _merged(_spark(e.args[0], done), _spark(e.args[1], done), *e.args[2:])
+    if e.op == "moment":
+        return _moment(_spark(e.args[0], done), *e.args[1:])
     if e.op in _WINDOWS:
         x, n = _spark(e.args[0], done), e.args[1]
         if e.op in ("lag", "lead"):
@@ -158,8 +168,6 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
             return F.row_number().over(w).cast("double")
         if e.op == "cumsum":
             return F.when(x.isNotNull(), F.sum(x).over(w.rowsBetween(W.unboundedPreceding, 0)))
-        if e.op == "running":
-            return F.sum(F.coalesce(x, F.lit(0.0))).over(w.rowsBetween(W.unboundedPreceding, 0))
         if e.op == "cummin":
             return F.min(x).over(w.rowsBetween(W.unboundedPreceding, 0))
         if e.op == "cummax":
@@ -176,8 +184,6 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
         # full: the window's first row exists and no null has come since; running values, unlike a count over the window
         first, null = F.lag(DAY, rows - 1).over(w), F.max(F.when(x.isNull(), F.col(DAY))).over(w.rowsBetween(W.unboundedPreceding, 0))
         full = first.isNotNull() & (null.isNull() | (null < first))
-        if e.op == "full":
-            return full
         if e.op in ("newest_max", "newest_min"):
             rn = _spark(e.args[2], done)
             pick = F.max_by(rn, F.struct(x, rn)) if e.op == "newest_max" else F.min_by(rn, F.struct(x, -rn))
@@ -208,17 +214,53 @@ def _spark(e: Series, done: dict[str, str]) -> Column:
     return {"+": a[0].__add__, "-": a[0].__sub__, "*": a[0].__mul__, "<": a[0].__lt__, "<=": a[0].__le__, ">": a[0].__gt__, ">=": a[0].__ge__, "=": a[0].__eq__, "AND": a[0].__and__, "OR": a[0].__or__}[e.op](a[1])
 
 
+def _merged(a: Column, b: Column, na: int, nb: int, top: int) -> Column:
+    """Mean and moments about it, up to ``top``, of na rows and of the nb rows after them; null unless both are there."""
+    n, d = na + nb, b["mean"] - a["mean"]
+    m = {2: a["m2"] + b["m2"] + d * d * (na * nb / n)}
+    if top >= 3:
+        m[3] = a["m3"] + b["m3"] + d * d * d * (na * nb * (na - nb) / n**2) + d * (b["m2"] * na - a["m2"] * nb) * (3 / n)
+    if top >= 4:
+        m[4] = a["m4"] + b["m4"] + d * d * d * d * (na * nb * (na**2 - na * nb + nb**2) / n**3) + d * d * (b["m2"] * na**2 + a["m2"] * nb**2) * (6 / n**2) + d * (b["m3"] * na - a["m3"] * nb) * (4 / n)
+    return F.when(a.isNotNull() & b.isNotNull(), F.struct((a["mean"] + d * (nb / n)).alias("mean"), *[v.alias(f"m{k}") for k, v in m.items()]))
+
+
+def _moment(x: Column, op: str, n: int) -> Column:
+    if op in ("std", "var0"):
+        return F.sqrt(x["m2"] / (n - 1)) if op == "std" else x["m2"] / n
+    return F.when(x["m2"] > 0, x["m3"] * n**0.5 / F.pow(x["m2"], 1.5) if op == "skew" else x["m4"] * n / (x["m2"] * x["m2"]))
+
+
+_MOMENTS = {"std": 2, "var0": 2, "skew": 3, "kurt": 4}
+
+
+def _doubled(x: Series, n: int, join) -> Series:
+    """An aggregate over n rows from aggregates over 1, 2, 4, ... rows, the newest the largest."""
+    parts = {1: x}
+    while 2 * max(parts) <= n:
+        k = max(parts)
+        parts[2 * k] = join(lag(parts[k], k), parts[k], k, k)
+    size = max(parts)
+    out = parts[size]
+    for k in sorted((k for k in parts if n & k and k < size), reverse=True):
+        out = join(lag(parts[k], size), out, k, size)
+        size += k
+    return out
+
+
 def _lowered(e: Series, most: int = 8, done: dict[str, Series] | None = None) -> Series:
-    """The same with means and sums over more than ``most`` rows as differences of running sums: a frame is added up
-    anew for every row, a running sum is not, so the cost doesn't grow with the window."""
+    """The same with sums, means and moments over more than ``most`` rows put together from parts."""
     done = {} if done is None else done
     if e.key not in done:
         args = tuple(_lowered(a, most, done) if isinstance(a, Series) else a for a in e.args)
         out = Series(e.op, args)
         if e.op in ("avg", "sum") and args[1] > most:
-            run = Series("running", (args[0], None))
-            got = run - coalesce(lag(run, args[1]), 0)
-            out = Series("case", (Series("full", (args[0], args[1])), got / args[1] if e.op == "avg" else got, wrap(None)))
+            out = _doubled(args[0], args[1], lambda a, b, na, nb: a + b)
+            out = out / args[1] if e.op == "avg" else out
+        elif e.op in _MOMENTS and args[1] > most:
+            top = _MOMENTS[e.op]
+            got = _doubled(Series("unit", (args[0], top)), args[1], lambda a, b, na, nb: Series("merge", (a, b, na, nb, top)))
+            out = Series("moment", (got, e.op, args[1]))
         done[e.key] = out
     return done[e.key]
 
@@ -232,7 +274,7 @@ def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
         for c in e.children:
             if c.op in _WINDOWS and c.key in seen:  # wanted again: computed once
                 cut.setdefault(c.key, c)
-            needs = (e.op in _WINDOWS and c.level > 0) or e.op == "recur" or (e.op in ("rank_desc", "cummax", "cummin", "running") or e.op.startswith("skip_"))
+            needs = (e.op in _WINDOWS and c.level > 0) or e.op in ("recur", "merge", "moment", "rank_desc", "cummax", "cummin") or e.op.startswith("skip_")
             if needs and c.op not in ("col", "lit"):
                 cut.setdefault(c.key, c)
             if c.key not in seen:

@@ -2,11 +2,12 @@
 
 import datetime as dt
 import math
+import random
 
 import duckdb
 import pytest
 
-from kairopanel.functions.series import avg, coalesce, col, ema, evaluate, lag, recur, rows_since_high, skip_avg, to_sql, weighted
+from kairopanel.functions.series import avg, coalesce, col, ema, evaluate, highest, kurtosis, lag, lowest, recur, rows_since_high, skewness, skip_avg, std, to_sql, total, var0, weighted
 from kairopanel.operators.factors import REGISTRY, families, register
 from kairopanel.operators.patterns import PATTERNS
 
@@ -101,3 +102,38 @@ def test_sql_twin(spark):
     got = [(r.a, r.b) for r in evaluate(df, outputs).orderBy("trade_date").collect()]
     want = duckdb.sql(to_sql("SELECT * FROM (VALUES (1, DATE '2020-01-01', 1.0::DOUBLE), (1, DATE '2020-01-02', 2.0::DOUBLE), (1, DATE '2020-01-03', 4.0::DOUBLE)) t(ts_code, trade_date, close_hfq)", outputs) + " ORDER BY trade_date").fetchall()
     assert got == [tuple(w[2:]) for w in want] and not any(math.isnan(x) for g in got for x in g)
+
+
+AGGREGATES = {"avg": avg, "sum": total, "std": std, "var0": var0, "max": highest, "min": lowest, "skew": skewness, "kurt": kurtosis}
+
+
+def plain_window(kind, v):
+    n, m = len(v), math.fsum(v) / len(v)
+    m2, m3, m4 = (math.fsum((x - m) ** k for x in v) for k in (2, 3, 4))
+    return {"avg": m, "sum": math.fsum(v), "std": math.sqrt(m2 / (n - 1)), "var0": m2 / n, "max": max(v), "min": min(v), "skew": m3 * n**0.5 / m2**1.5 if m2 else None, "kurt": m4 * n / m2**2 if m2 else None}[kind]
+
+
+@pytest.mark.parametrize("n", [5, 16, 119])
+def test_aggregates_against_plain_windows(spark, n):
+    g = random.Random(n)
+    x = [None if i in (40, 41) else 3.25 if 60 <= i < 60 + n + 5 else g.uniform(-1, 5) for i in range(330)]
+    df = panel(spark, x).union(panel(spark, x[::-1], 2))
+    got = evaluate(df, {k: f(col("close_hfq"), n) for k, f in AGGREGATES.items()}).orderBy("ts_code", "trade_date").collect()
+    for side, rows in ((x, got[:330]), (x[::-1], got[330:])):
+        for i, r in enumerate(rows):
+            v = side[max(0, i - n + 1) : i + 1]
+            for k in AGGREGATES:
+                want = plain_window(k, v) if len(v) == n and None not in v else None
+                assert r[k] == (None if want is None else pytest.approx(want, rel=1e-12, abs=1e-13)), (k, i)
+
+
+def test_aggregates_forget_what_has_left_the_window(spark):
+    big = [1e12] * 30 + [0.01] * 80
+    got = evaluate(panel(spark, big), {k: f(col("close_hfq"), 20) for k, f in AGGREGATES.items()}).orderBy("trade_date").collect()[50:]
+    assert all(r.avg == pytest.approx(0.01, rel=1e-12) and r.sum == pytest.approx(0.2, rel=1e-12) and r.std == r.var0 == 0 and r.max == r.min == 0.01 and r.skew is None for r in got)
+    nan = [1.0, 2.0, math.nan] + [float(i % 7) for i in range(80)]
+    got = evaluate(panel(spark, nan), {k: f(col("close_hfq"), 20) for k, f in AGGREGATES.items()}).orderBy("trade_date").collect()
+    assert math.isnan(got[20].avg) and math.isnan(got[21].std)
+    for i in range(22, 83):
+        for k in AGGREGATES:
+            assert got[i][k] == pytest.approx(plain_window(k, nan[i - 19 : i + 1]), rel=1e-12)
