@@ -7,7 +7,8 @@ pieces are computed once, and expressions stay in Spark's built-in operators. Ag
 together from aggregates over 2, 4, 8, ... rows, each made of two of the size before by ``lag``: a row costs the
 logarithm of the window, all windows of a value share the parts, and nothing is ever subtracted, so values that
 have left a window (large ones, or NaN) leave nothing behind. The one thing Spark has no built-in
-for is the recurrence s = a*x + (1-a)*s, which runs once per level for all recurrences together, symbol by symbol.
+for is the recurrence s = a*x + (1-a)*s, which runs once per level for all recurrences together, symbol by symbol (or
+chunk by chunk of long symbols), as a scan of affine steps.
 
 ``to_sql`` writes the same trees as portable SQL, used to check the results on another engine.
 """
@@ -15,8 +16,8 @@ for is the recurrence s = a*x + (1-a)*s, which runs once per level for all recur
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import accumulate, repeat
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -291,50 +292,149 @@ def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
     return dict(sorted(by.items()))
 
 
-def _fold(x: list, alpha, init: float | None, carry: bool, fade: bool) -> list:
-    """The recurrence over one symbol's values; alpha is a number or one per row, None stands for null."""
-    constant = isinstance(alpha, float)
-    if constant and init is None and None not in x:
-        b = 1 - alpha
-        return list(accumulate(x, lambda s, v: alpha * v + b * s))
-    out, s, gap = [], init, 0
-    for v, a in zip(x, repeat(alpha) if constant else alpha, strict=False):
-        if v is None or a is None:
-            out.append(s if carry and a is not None else None)
-            gap += 1
-            continue
-        if s is None:
-            s = v
-        elif fade and gap:
-            w = (1 - a) ** (gap + 1)
-            s = (a * v + w * s) / (a + w)
+def fold(x: np.ndarray, x_null: np.ndarray, alpha: np.ndarray, alpha_null: np.ndarray, init: float | None, carry: bool, fade: bool, state: float | None = None, gap: int = 0):
+    """The recurrence over one symbol's rows in day order as a scan of affine steps s -> m*s + c, without a loop over rows.
+
+    state and gap: what earlier rows left (None: nothing yet). Returns after each row the state, whether its value is null
+    and whether there is no state yet, and the null rows since the last value.
+    """
+    n, known = len(x), state if state is not None else init
+    at = np.flatnonzero(~(x_null | alpha_null))
+    last = np.zeros(n, np.int64)
+    last[at] = 1
+    last = np.cumsum(last)  # values so far
+    states = np.full(n + 1, np.nan if known is None else known)
+    gaps = np.arange(1, n + 1) + gap
+    if len(at):
+        a, v = alpha[at], x[at]
+        m, c = 1 - a, a * v
+        before = np.diff(at, prepend=-1) - 1
+        before[0] += gap
+        if fade and (far := np.flatnonzero(before > 0)).size:
+            w = (1 - a[far]) ** (before[far] + 1)
+            m[far], c[far] = w / (a[far] + w), a[far] * v[far] / (a[far] + w)
+        c[0] = v[0] if known is None else m[0] * known + c[0]
+        m[0] = 0.0
+        k = 1
+        while k < len(at) and m.any():  # each step now stands for the k before it too
+            c[k:], m[k:] = c[k:] + m[k:] * c[:-k], m[k:] * m[:-k]
+            k *= 2
+        states[1 : len(at) + 1] = c
+        gaps = np.where(last > 0, np.arange(n) - at[np.maximum(last, 1) - 1], gaps)
+    states = states[last]
+    empty = (last == 0) & (known is None)
+    return states, (x_null & (not carry)) | alpha_null | empty, empty, gaps
+
+
+def _inputs(t, x: str | float, alpha: str | float):
+    """Values (0 where null) and nulls of two columns or numbers."""
+    out = []
+    for c in (x, alpha):
+        if isinstance(c, float):
+            out += [np.full(len(t), c), np.zeros(len(t), bool)]
         else:
-            s = a * v + (1 - a) * s
-        gap = 0
-        out.append(s)
+            column = t.column(c)
+            out += [column.fill_null(0.0).to_numpy().astype(float), column.is_null().to_numpy()]
     return out
 
 
-def recur_step(df: DataFrame, jobs: list[tuple[str, str | float, str | float, float | None, bool, bool]]) -> DataFrame:
-    """Adds columns name = recurrence(x, alpha, init, carry, fade) for jobs, a symbol at a time in day order."""
+RecurJob = tuple  # (name, x, alpha, init, carry, fade); x and alpha are columns or numbers
+
+
+def recur_step(df: DataFrame, jobs: list[RecurJob], seeded: bool = False, with_state: bool = False, by: list[str] | None = None) -> DataFrame:
+    """Adds columns name = recurrence(x, alpha, init, carry, fade) for jobs, a symbol at a time in day order.
+
+    seeded: columns name_s0 and name_g0 hold the state and the gap before each group's first row; with_state: columns
+    name_s and name_g are added, what each row leaves. by: groups, default the symbols.
+    """
     import pyarrow as pa
 
-    schema = StructType([*df.schema.fields, *(StructField(name, DoubleType()) for name, *_ in jobs)])
+    more = [StructField(f"{name}{end}", DoubleType()) for name, *_ in jobs for end in (("", "_s", "_g") if with_state else ("",))]
+    schema = StructType([*df.schema.fields, *more])
 
-    def fold(t: pa.Table) -> pa.Table:
+    def step(t: pa.Table) -> pa.Table:
         t = t.sort_by(DAY)
-        lists = {c: t.column(c).to_pylist() for job in jobs for c in job[1:3] if isinstance(c, str)}
         for name, x, alpha, *rule in jobs:
-            x = [x] * len(t) if isinstance(x, float) else lists[x]
-            got = _fold(x, alpha if isinstance(alpha, float) else lists[alpha], *rule)
-            t = t.append_column(pa.field(name, pa.float64()), pa.array(got, pa.float64()))
+            seed = [t.column(f"{name}_{c}")[0].as_py() for c in ("s0", "g0")] if seeded else [None, None]
+            states, null, empty, gaps = fold(*_inputs(t, x, alpha), *rule, seed[0], int(seed[1] or 0))
+            made = [("", pa.array(states, mask=null))]
+            if with_state:
+                made += [("_s", pa.array(states, mask=empty)), ("_g", pa.array(gaps.astype(float)))]
+            for end, column in made:
+                t = t.append_column(pa.field(name + end, pa.float64()), column)
         return t
 
-    return df.groupBy(SYMBOL).applyInArrow(fold, schema)
+    return df.groupBy(*(by or [SYMBOL])).applyInArrow(step, schema)
+
 
+def recur_in_chunks(df: DataFrame, jobs: list[RecurJob], chunk: Column) -> DataFrame:
+    """The same with a symbol's rows cut into chunks (a rising function of the day), which are worked on apart.
 
-def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...] = (SYMBOL, DAY)) -> DataFrame:
-    """keep columns and one column per output, for every row of the panel."""
+    A chunk is a step too: each is reduced to what it does to any state (its first value, the product of its steps, what
+    they leave of a zero state), a symbol's few chunks are chained, and each chunk is folded from the state before it.
+    """
+    import pyarrow as pa
+
+    parts = ("lead", "v", "a", "m", "c", "trail")
+    kinds = dict(df.dtypes)
+    own = df.withColumn("_chunk", chunk.cast("long"))
+
+    def reduce(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.sort_by(DAY)
+        out = {SYMBOL: [key[0].as_py()], "_chunk": [key[1].as_py()]}
+        for name, x, alpha, _, _, fade in jobs:
+            v, v_null, a, a_null = _inputs(t, x, alpha)
+            at = np.flatnonzero(~(v_null | a_null))
+            got = (float(len(t)), None, None, 1.0, 0.0, 0.0)
+            if len(at):
+                rest = slice(at[0] + 1, None)
+                zero = fold(v[rest], v_null[rest], a[rest], a_null[rest], None, False, fade, 0.0)[0]
+                c, m = float(zero[-1]) if len(zero) else 0.0, float(np.prod(_weights(at, a, fade)))
+                got = (float(at[0]), float(v[at[0]]), float(a[at[0]]), m, c, float(len(t) - 1 - at[-1]))
+            out |= {f"{name}_{p}": [g] for p, g in zip(parts, got, strict=True)}
+        return pa.table(out, schema=pa.schema([(SYMBOL, t.schema.field(SYMBOL).type), ("_chunk", pa.int64()), *((f"{name}_{p}", pa.float64()) for name, *_ in jobs for p in parts)]))
+
+    def chain(t: pa.Table) -> pa.Table:
+        t = t.sort_by("_chunk")
+        out = t.select([SYMBOL, "_chunk"])
+        for name, _, _, init, _, fade in jobs:
+            s, gap, states, gaps = init, 0.0, [], []
+            for r in zip(*(t.column(f"{name}_{p}").to_pylist() for p in parts), strict=True):  # a row a chunk
+                states.append(s)
+                gaps.append(gap)
+                lead, v, a, m, c, trail = r
+                gap += lead
+                if v is not None:
+                    if s is None:
+                        s = v
+                    else:
+                        w = (1 - a) ** (gap + 1) if fade else 1 - a
+                        s = (a * v + w * s) / (a + w) if fade and gap else a * v + (1 - a) * s
+                    s, gap = m * s + c, trail
+            out = out.append_column(f"{name}_s0", pa.array(states, pa.float64())).append_column(f"{name}_g0", pa.array(gaps, pa.float64()))
+        return out
+
+    key = f"{SYMBOL} {kinds[SYMBOL]}, _chunk long"
+    ends = own.groupBy(SYMBOL, "_chunk").applyInArrow(reduce, f"{key}, " + ", ".join(f"{name}_{p} double" for name, *_ in jobs for p in parts))
+    seeds = ends.groupBy(SYMBOL).applyInArrow(chain, f"{key}, " + ", ".join(f"{name}_{p} double" for name, *_ in jobs for p in ("s0", "g0")))
+    done = recur_step(own.join(seeds, [SYMBOL, "_chunk"]), jobs, seeded=True, by=[SYMBOL, "_chunk"])
+    return done.select(*df.columns, *[name for name, *_ in jobs])
+
+
+def _weights(at: np.ndarray, a: np.ndarray, fade: bool) -> np.ndarray:
+    """What each value after the first leaves of the state before it."""
+    gap, own = np.diff(at) - 1, a[at[1:]]
+    if not fade:
+        return 1 - own
+    w = (1 - own) ** (gap + 1)
+    return np.where(gap > 0, w / (own + w), 1 - own)
+
+
+def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...] = (SYMBOL, DAY), chunk_days: int | None = None) -> DataFrame:
+    """keep columns and one column per output, for every row of the panel.
+
+    chunk_days: recurrences over very long symbols are cut into chunks of so many days, which are worked on apart.
+    """
     lowered: dict[str, Series] = {}
     outputs = {n: _lowered(e, done=lowered) for n, e in outputs.items()}
     used = {SYMBOL, DAY, *keep}
@@ -358,7 +458,7 @@ def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...]
                 name = f"_s{len(done)}"
                 jobs.append((name, ref(e.args[0]), ref(e.args[1]), *e.args[2:]))
                 done[e.key] = name
-            df = recur_step(df, jobs)
+            df = recur_in_chunks(df, jobs, F.floor(F.unix_date(F.col(DAY).cast("date")) / chunk_days)) if chunk_days else recur_step(df, jobs)
         new = {}
         for e in plain:
             new[f"_s{len(done) + len(new)}"] = (e, _spark(e, done))

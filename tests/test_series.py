@@ -137,3 +137,41 @@ def test_aggregates_forget_what_has_left_the_window(spark):
     for i in range(22, 83):
         for k in AGGREGATES:
             assert got[i][k] == pytest.approx(plain_window(k, nan[i - 19 : i + 1]), rel=1e-12)
+
+
+def plain_fold(x, alpha, init, carry, fade):
+    """Row after row, as the rule reads."""
+    out, s, gap = [], init, 0
+    for v, a in zip(x, alpha):
+        if v is None or a is None:
+            out.append(s if carry and a is not None else None)
+            gap += 1
+            continue
+        if s is None:
+            s = v
+        elif fade and gap:
+            w = (1 - a) ** (gap + 1)
+            s = (a * v + w * s) / (a + w)
+        else:
+            s = a * v + (1 - a) * s
+        gap = 0
+        out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_scan_against_plain_recurrence(spark, seed):
+    g = random.Random(seed)
+    n = [1, 2, 5, 200, 700, 3000][seed]
+    x = [None if g.random() < 0.2 * (seed % 3) or 300 < i < 420 else g.uniform(-5, 50) for i in range(n)]
+    t = [None if g.random() < 0.1 * (seed % 2) else g.choice([0.0, 1.0, g.random(), g.random() / 100]) for i in range(n)]
+    df = panel(spark, x, t=t).union(panel(spark, [None] * n, 2, t=t)).union(panel(spark, x[::-1], 3, t=t[::-1]))
+    c, a = col("close_hfq"), col("turnover_rate")
+    rules = {"plain": (0.1, None, False, False), "seeded": (1 / 3, 50.0, False, False), "carried": (0.5, None, True, False), "both": (0.02, 7.0, True, False), "faded": (2 / 13, None, False, True), "moving": (a, None, False, False), "moving_carried": (a, 1.0, True, False)}
+    trees = {k: recur(c, al, init, carry, fade) for k, (al, init, carry, fade) in rules.items()}
+    for chunk_days in (None, 37):
+        got = evaluate(df, trees, chunk_days=chunk_days).orderBy("ts_code", "trade_date").collect()
+        for s, (xs, ts) in enumerate([(x, t), ([None] * n, t), (x[::-1], t[::-1])]):
+            for k, (al, *rule) in rules.items():
+                want = plain_fold(xs, ts if al is a else [al] * n, *rule)
+                assert [r[k] for r in got[s * n : (s + 1) * n]] == [None if w is None else pytest.approx(w, rel=1e-12, abs=1e-12) for w in want], (k, s, chunk_days)
