@@ -326,7 +326,7 @@ def fold(x: np.ndarray, x_null: np.ndarray, alpha: np.ndarray, alpha_null: np.nd
     return states, (x_null & (not carry)) | alpha_null | empty, empty, gaps
 
 
-def _inputs(t, x: str | float, alpha: str | float):
+def inputs(t, x: str | float, alpha: str | float):
     """Values (0 where null) and nulls of two columns or numbers."""
     out = []
     for c in (x, alpha):
@@ -356,7 +356,7 @@ def recur_step(df: DataFrame, jobs: list[RecurJob], seeded: bool = False, with_s
         t = t.sort_by(DAY)
         for name, x, alpha, *rule in jobs:
             seed = [t.column(f"{name}_{c}")[0].as_py() for c in ("s0", "g0")] if seeded else [None, None]
-            states, null, empty, gaps = fold(*_inputs(t, x, alpha), *rule, seed[0], int(seed[1] or 0))
+            states, null, empty, gaps = fold(*inputs(t, x, alpha), *rule, seed[0], int(seed[1] or 0))
             made = [("", pa.array(states, mask=null))]
             if with_state:
                 made += [("_s", pa.array(states, mask=empty)), ("_g", pa.array(gaps.astype(float)))]
@@ -383,7 +383,7 @@ def recur_in_chunks(df: DataFrame, jobs: list[RecurJob], chunk: Column) -> DataF
         t = t.sort_by(DAY)
         out = {SYMBOL: [key[0].as_py()], "_chunk": [key[1].as_py()]}
         for name, x, alpha, _, _, fade in jobs:
-            v, v_null, a, a_null = _inputs(t, x, alpha)
+            v, v_null, a, a_null = inputs(t, x, alpha)
             at = np.flatnonzero(~(v_null | a_null))
             got = (float(len(t)), None, None, 1.0, 0.0, 0.0)
             if len(at):
