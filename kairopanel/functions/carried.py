@@ -72,7 +72,25 @@ def state_columns(outputs: dict[str, Series]) -> list[str]:
     pieces = [e for some in by.values() for e in some]
     used = {e.args[0] for e in _every(list(trees.values())).values() if e.op == "col"}
     more = [f"{column(e)}_{k}" for e in pieces for k in (("s", "g") if e.op == "recur" else ("r",) if e.op in _RUNNING else ())]
-    return [SYMBOL, DAY, *sorted(used - {SYMBOL, DAY}), *dict.fromkeys(column(e) for e in pieces), *dict.fromkeys(more)]
+    return [SYMBOL, DAY, *sorted(used - {SYMBOL, DAY}), *dict.fromkeys(column(e) for e in pieces), *dict.fromkeys(more), "s_rows", *(c for c, *_ in _skips(trees))]
+
+
+def _skips(trees: dict[str, Series]) -> list[tuple[str, Series, int]]:
+    """Windows over rows with a value: (a column that marks a state which holds such rows, their value, how many)."""
+    found = dict.fromkeys((e.args[0], e.args[1]) for e in _every(list(trees.values())).values() if e.op.startswith("skip_"))
+    return [(f"{column(x)}_last{n}", x, n) for x, n in found]
+
+
+def _rows(trees: dict[str, Series]) -> int:
+    return max([1, *(reach(e) for e in _every(list(trees.values())).values())])
+
+
+def holds(state: DataFrame, outputs: dict[str, Series]) -> bool:
+    """Whether a state has all that these outputs go on from."""
+    if any(c not in state.columns for c in state_columns(outputs)):
+        return False
+    first = state.select("s_rows").first()
+    return first is None or first[0] >= _rows(prepared(outputs)[0])
 
 
 def carry(new: DataFrame, state: DataFrame | None, outputs: dict[str, Series], keep: tuple[str, ...] = (SYMBOL, DAY), stored: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
@@ -82,12 +100,13 @@ def carry(new: DataFrame, state: DataFrame | None, outputs: dict[str, Series], k
     """
     trees, by = prepared(outputs)
     names = state_columns(outputs)
-    numbers = [c for c in names if c.endswith(("_s", "_g", "_r"))] + [column(e) for some in by.values() for e in some if e.op == "recur"]
+    numbers = [c for c in names if c.startswith("s_") and c.endswith(("_s", "_g", "_r"))] + [column(e) for some in by.values() for e in some if e.op == "recur"]
     fresh = new.select(*dict.fromkeys([*(c for c in names if not c.startswith("s_")), *keep])).withColumn("_old", F.lit(False))
+    marks = {"s_rows": F.lit(_rows(trees)), **{c: F.lit(True) for c, *_ in _skips(trees)}}
     if state is None:
         df = fresh.withColumns({c: F.lit(None).cast("double") for c in numbers})
     else:
-        if any(c not in state.columns for c in names):
+        if not holds(state, outputs):
             raise ValueError("the state is of other outputs")
         through = state.groupBy(F.col(SYMBOL).alias("_symbol")).agg(F.max(DAY).alias("_through"))
         fresh = fresh.join(through, F.col(SYMBOL) == F.col("_symbol"), "left").where(F.col("_through").isNull() | (F.col(DAY) > F.col("_through"))).drop("_symbol", "_through")
@@ -109,14 +128,13 @@ def carry(new: DataFrame, state: DataFrame | None, outputs: dict[str, Series], k
     shown = {n: f"_o{k}" for k, n in enumerate(trees)}
     df = stored(df.withColumns({shown[n]: _spark(e, done) for n, e in trees.items()}))
     results = df.where(~old).select(*keep, *[F.col(c).alias(n) for n, c in shown.items()])
-    every = _every(list(trees.values())).values()
     kept = df.withColumn("_place", F.row_number().over(W.partitionBy(SYMBOL).orderBy(F.col(DAY).desc())))
-    wanted = F.col("_place") <= max([1, *(reach(e) for e in every)])
-    for k, (x, n) in enumerate(dict.fromkeys((e.args[0], e.args[1]) for e in every if e.op.startswith("skip_"))):
+    wanted = F.col("_place") <= _rows(trees)
+    for c, x, n in _skips(trees):
         value = _spark(x, done)
-        kept = kept.withColumn(f"_v{k}", F.row_number().over(W.partitionBy(SYMBOL, value.isNull()).orderBy(F.col(DAY).desc())))
-        wanted = wanted | (value.isNotNull() & (F.col(f"_v{k}") < n))
-    return results, kept.where(wanted).select(*names)
+        kept = kept.withColumn(f"_{c}", F.row_number().over(W.partitionBy(SYMBOL, value.isNull()).orderBy(F.col(DAY).desc())))
+        wanted = wanted | (value.isNotNull() & (F.col(f"_{c}") < n))
+    return results, kept.where(wanted).withColumns(marks).select(*names)
 
 
 def _run(df: DataFrame, e: Series, x: Column, own: Callable[[str, Column], Column]) -> DataFrame:

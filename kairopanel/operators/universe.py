@@ -67,20 +67,26 @@ def factor_source(price: DataFrame, factor: DataFrame, metric: DataFrame, prices
     return rows.select(*KEYS, *raw, *adjusted, adj.alias("adj_factor"), *[F.col(c).cast("double").alias(c) for c in ("vol", "amount", "turnover_rate", "circ_mv")])
 
 
-def filled_list(flags: DataFrame, days: DataFrame) -> DataFrame:
+def filled_list(flags: DataFrame, days: DataFrame, block_days: int = 256) -> DataFrame:
     """flags(ts_code, trade_date) with empty days of days(trade_date) filled from the nearest days that aren't.
 
-    With only one side the day takes that side's symbols; with both, those of the day before and then any others of
-    the day after. Days without either side stay empty. Symbols of a day are one array: a day's list is short.
+    With only one side the day takes that side's symbols; with both, those of the day before and of the day after. Days
+    without either side stay empty. Only days are carried, not their symbols: inside blocks of ``block_days``, and over
+    the blocks' borders by their first and last day that isn't empty; the symbols come from a join with those days.
     """
-    sets = flags.groupBy("trade_date").agg(F.sort_array(F.collect_set("ts_code")).alias("own"))
-    every = W.partitionBy(F.lit(0)).orderBy("trade_date")  # one row a day
-    by_day = days.select("trade_date").distinct().join(sets, "trade_date", "left")
-    before = F.last("own", ignorenulls=True).over(every.rowsBetween(W.unboundedPreceding, -1))
-    after = F.first("own", ignorenulls=True).over(every.rowsBetween(1, W.unboundedFollowing))
-    both = F.when(before.isNull(), after).when(after.isNull(), before).otherwise(F.array_union(before, after))
-    filled = by_day.withColumn("near", both).withColumn("filled", F.coalesce("own", "near"))
-    return filled.select(F.explode("filled").alias("ts_code"), "trade_date")
+    own = flags.select("ts_code", F.col("trade_date").alias("_from")).distinct()
+    there = own.select(F.col("_from").alias("_own")).distinct()
+    by_day = days.select("trade_date").distinct().join(there, F.col("trade_date") == F.col("_own"), "left")
+    by_day = by_day.withColumn("_block", F.floor(F.unix_date(F.col("trade_date").cast("date")) / block_days))
+    past = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_block")
+    near = by_day.withColumns({"_before": F.max("_own").over(past(inside.orderBy("trade_date"))), "_after": F.min("_own").over(past(inside.orderBy(F.desc("trade_date"))))})
+    borders, every = by_day.groupBy("_block").agg(F.min("_own").alias("_first"), F.max("_own").alias("_last")), W.partitionBy(F.lit(0))  # a row a block
+    borders = borders.select(F.col("_block").alias("_b"), F.max("_last").over(past(every.orderBy("_block"))).alias("_back"), F.min("_first").over(past(every.orderBy(F.desc("_block")))).alias("_ahead"))
+    near = near.join(borders, F.col("_block") == F.col("_b"))
+    sources = F.when(F.col("_own").isNotNull(), F.array("_own")).otherwise(F.array(F.coalesce("_before", "_back"), F.coalesce("_after", "_ahead")))
+    wanted = near.select("trade_date", F.explode(F.array_distinct(F.array_compact(sources))).alias("_day"))
+    return own.join(wanted, F.col("_from") == F.col("_day")).select("ts_code", "trade_date").distinct()
 
 
 @dataclass(frozen=True)

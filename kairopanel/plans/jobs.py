@@ -6,10 +6,12 @@ Every table is written by partition (day, or factor and horizon), so a rerun rep
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kairopanel.functions.carried import carry, holds
 from kairopanel.functions.series import DAY, SYMBOL, Series, evaluate
 from kairopanel.operators import analysis as A
 from kairopanel.operators.ingest import lacking_fields, validate_result
@@ -41,6 +43,83 @@ def series_batch(catalog: Catalog, source: DataFrame, target: str, outputs: dict
     return written
 
 
+@dataclass
+class Batch:
+    """What a daily batch wrote (None: nothing new), and for every output "done" or why it failed."""
+
+    written: DataFrame | None
+    status: dict[str, str]
+
+
+def daily_batch(catalog: Catalog, source: DataFrame, target: str, outputs: dict[str, Series], end: dt.date, state: str | None = None) -> Batch:
+    """Adds the days after the last batch, up to ``end``, to the table ``target`` from carried state.
+
+    Only the new days of ``source`` and the table ``state`` (default: target + "_state") are read, whatever the history;
+    without a state, or one of other outputs, everything up to ``end`` is computed once and the state begins there. An
+    output that can't be computed (a column that isn't there, an error while it runs) doesn't stop the others: it is null
+    in the rows written and named in the status. Outputs that look ahead need series_batch.
+
+    Results are written before the state moves on, and the state before the old one goes, so a run that broke off
+    anywhere is simply run again.
+    """
+    state, status = state or f"{target}_state", {}
+    for n, e in outputs.items():
+        if missing := lacking_fields(source.columns, [SYMBOL, DAY, *sorted(_fields(e))]):
+            status[n] = f"the source has no {', '.join(missing)}"
+    good = {n: e for n, e in outputs.items() if n not in status}
+    versions = [v for v in catalog.list(state) if catalog.exists(f"{state}/{v}/_SUCCESS")]
+    newest = max(versions, key=lambda v: int(v[1:]), default=None)
+    held = catalog.read(f"{state}/{newest}") if newest else None
+    known = catalog.exists(target) and not lacking_fields(catalog.read(target).columns, list(outputs))
+    new = source.where(F.col(DAY) <= F.lit(end))
+    if held is not None:
+        through = held.agg(F.max(DAY)).first()[0]
+        if through is not None:
+            new = new.where(F.col(DAY) > F.lit(through))
+        if new.isEmpty():
+            return Batch(None, status | dict.fromkeys(good, "done"))
+
+    def computed(some: dict[str, Series]) -> tuple[DataFrame, DataFrame]:
+        if held is not None and known and holds(held, some):
+            return carry(new, held, some, stored=aside)
+        return carry(source.where(F.col(DAY) <= F.lit(end)), None, some, stored=aside)
+
+    def aside(df: DataFrame) -> DataFrame:
+        catalog.write(df, f"{target}_batch")
+        return catalog.read(f"{target}_batch")
+
+    def failing(some: dict[str, Series]) -> dict[str, str]:
+        """The outputs of some that fail, by halves."""
+        try:
+            computed(some)
+        except Exception as e:  # any kind: user outputs may raise what they like
+            if len(some) == 1:
+                return dict.fromkeys(some, f"{type(e).__name__}: {str(e).strip().splitlines()[0] if str(e).strip() else ''}"[:300])
+            names = list(some)
+            half = len(names) // 2
+            return failing({n: some[n] for n in names[:half]}) | failing({n: some[n] for n in names[half:]})
+        return {}
+
+    try:
+        results, following = computed(good)
+    except Exception:
+        bad = failing(good)
+        if not bad:
+            raise
+        status |= bad
+        good = {n: e for n, e in good.items() if n not in bad}
+        results, following = computed(good)
+    results = results.select(SYMBOL, DAY, *[F.col(n) if n in good else F.lit(None).cast("double").alias(n) for n in outputs])
+    results = validate_result(results, list(outputs))
+    catalog.replace_days(results, target)
+    number = int(newest[1:]) + 1 if newest else 0
+    catalog.write(following, f"{state}/v{number}")
+    for v in versions:
+        catalog.delete(f"{state}/{v}")
+    days = results.select(DAY).distinct()  # the batch's own rows, not what else is stored
+    return Batch(catalog.read(target).drop("_day").join(days, DAY, "left_semi"), status | dict.fromkeys(good, "done"))
+
+
 def _fields(e: Series) -> set[str]:
     own = {e.args[0]} if e.op == "col" else set()
     return own.union(*[_fields(c) for c in e.children])

@@ -85,5 +85,10 @@ def test_what_can_not_be_carried(spark):
     _, state = carry(df, None, {"x": ema(C, 3)})
     with pytest.raises(ValueError, match="other outputs"):
         carry(df, state, {"x": ema(C, 4)})
+    _, state = carry(df, None, {"x": lag(C, 1)})
+    with pytest.raises(ValueError, match="other outputs"):  # the same columns, but fewer rows than it takes
+        carry(df, state, {"x": lag(C, 4)})
+    with pytest.raises(ValueError, match="other outputs"):
+        carry(df, state, {"x": skip_avg(C, 2)})
     results, state = carry(df.limit(0), None, {"x": ema(C, 3)})
     assert results.count() == state.count() == 0

@@ -6,9 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kairopanel.functions.series import avg, col, cumulative, ema, evaluate
+from kairopanel.functions.series import Series, avg, col, cumulative, ema, evaluate
 from kairopanel.operators import analysis as A
 from kairopanel.operators import ingest as I
+from kairopanel.operators.universe import filled_list
 from kairopanel.plans import jobs
 from kairopanel.sources.catalog import Catalog
 
@@ -68,6 +69,46 @@ def test_batch_equals_one_evaluation(spark, tmp_path):
         I.validate_result(every, ["close_hfq"])
 
 
+def test_daily_batches_read_new_days_only(spark, tmp_path):
+    cat, every = Catalog(spark, str(tmp_path)), bars(spark, D[:30], 3).cache()
+    c = col("close_hfq")
+    outputs = {"m": avg(c, 10), "s": cumulative(c), "e": ema(c, 5)}
+    broken = {"no_column": avg(col("vol"), 3), "no_rule": Series("no such rule", (c,)), **outputs}
+    at = -1
+    for k, end in enumerate([14, 15, 16, 16, 20, 29]):
+        # older rows aren't even there any more
+        got = jobs.daily_batch(cat, every.where(F.col("trade_date") > D[max(at, 0)]) if k else every, "factors", broken, D[end])
+        assert got.status["m"] == got.status["s"] == got.status["e"] == "done"
+        assert "vol" in got.status["no_column"] and (end == at or "KeyError" in got.status["no_rule"])
+        assert (got.written is None) == (end == at) and (got.written is None or got.written.count() == 3 * (end - at))
+        assert len(cat.list("factors_state")) == 1
+        at = end
+    shown = lambda df: sorted((r.ts_code, r.trade_date, *(None if r[n] is None else round(r[n], 9) for n in outputs)) for r in df.collect())
+    table = cat.read("factors")
+    assert shown(table) == shown(evaluate(every, outputs)) and table.where("no_column is not null or no_rule is not null").count() == 0
+    # other outputs: everything is computed once more, and the state goes on from there
+    more = jobs.daily_batch(cat, every, "factors", {**outputs, "t": avg(c, 2)}, D[29])
+    assert more.written is None  # no new day
+    later = bars(spark, D[:32], 3)
+    more = jobs.daily_batch(cat, later, "factors", {**outputs, "t": avg(c, 2)}, D[31])
+    assert more.written.count() == 32 * 3 and more.written.where("t is null").count() == 3
+
+
+def test_filled_list_over_block_borders(spark):
+    g = random.Random(3)
+    for block_days in (1, 4, 256):
+        flagged = {d: g.sample("abcdef", g.randint(1, 3)) for d in D if g.random() < 0.3}
+        days = [d for d in D if g.random() < 0.9]
+        rows = [(x, d) for d, some in flagged.items() if d in days for x in some * 2]
+        got = {}
+        for r in filled_list(spark.createDataFrame(rows, "ts_code string, trade_date date"), spark.createDataFrame([(d,) for d in days * 2], "trade_date date"), block_days).collect():
+            got.setdefault(r.trade_date, []).append(r.ts_code)
+        full = [d for d in days if d in flagged]
+        for d in days:
+            near = [d] if d in flagged else [*[x for x in full if x < d][-1:], *[x for x in full if x > d][:1]]
+            assert sorted(got.get(d, [])) == sorted({x for n in near for x in flagged[n]})
+
+
 def test_analysis_tables(spark, tmp_path):
     cat, p = Catalog(spark, str(tmp_path)), bars(spark, D)
     rules = A.AnalysisRules(horizons=(1, 5), min_sample=6)
