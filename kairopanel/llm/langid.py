@@ -29,7 +29,12 @@ from pyspark.sql import types as T
 
 WINDOW = 256
 PAD = 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # or a numeral that isn't a decimal digit
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether any character is of Unicode's category L, as Spark's \\p{L}."""
+    return bool(text) and any(m.group().isalpha() for m in _LETTER.finditer(text))
 
 
 @dataclass
@@ -188,7 +193,7 @@ def predict_texts(model: BiGRU | None, texts: list[str | None], most: int = 1 <<
 
     held = 0
     for i, t in enumerate(texts):
-        if t and _LETTER.search(t):
+        if has_letter(t):
             group.append((i, t.encode("utf-8", "surrogatepass")))
             held += len(group[-1][1])
             if held >= most:

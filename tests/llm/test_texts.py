@@ -100,6 +100,14 @@ def test_langid_of_short_texts():
         assert np.mean([x == lang for x, (lang, _) in zip(got, cut, strict=True)]) >= 0.9
 
 
+def test_letters(spark):
+    texts = [None, "", "½ ² ① Ⅷ 12 _-", "½a", "ª", "中", "³" * 5000, "٣ ߁", "ǅ ʰ"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [langid.has_letter(t) for t in texts] == [bool(r[0]) for r in df.select(F.col("t").rlike(r"\p{L}")).collect()]
+    m = langid.BiGRU.fresh(["a", "b"], 4, 1)
+    assert langid.predict_texts(m, ["½", "²³", "①", "Ⅷ"]) == (["und"] * 4, [0.0] * 4)
+
+
 def test_langid_of_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert langid.fit(df) is None and langid.predict(df, None).count() == 0
