@@ -86,7 +86,7 @@ class Aligner:
     vocabulary has entries across words, are encoded whole.
     """
 
-    def __init__(self, path_a: str, path_b: str, most: int = 400_000):
+    def __init__(self, path_a: str, path_b: str, most: int = 200_000):
         import sentencepiece
 
         self.a, self.b, self.most = Encoder(path_a, 1 << 16), sentencepiece.SentencePieceProcessor(model_file=path_b), most
