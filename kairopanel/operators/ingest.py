@@ -47,6 +47,51 @@ def ingest_dimension(catalog: Catalog, raw: DataFrame, name: str, key: str, toda
     return catalog.read(name)
 
 
+def checked(raw: DataFrame, fields: dict[str, str], required: tuple[str, ...]) -> DataFrame:
+    """raw, read as text, with the columns of ``fields`` as their types (dates as yyyyMMdd or yyyy-MM-dd) and ``_reason``:
+    what is wrong with a row, null if nothing. Empty text is null; a required field mustn't be."""
+    made, wrong = {}, []
+    for c, kind in fields.items():
+        text = F.nullif(F.trim(F.col(f"`{c}`").cast("string")), F.lit(""))
+        got = F.coalesce(parse_day(text), parse_day(text, form="yyyy-MM-dd")) if kind == "date" else text.try_cast(kind) if kind != "string" else text
+        wrong.append(F.when(text.isNotNull() & got.isNull(), F.concat(F.lit(f"{c} is no {kind}: "), text)))
+        if c in required:
+            wrong.append(F.when(text.isNull(), F.lit(f"{c} is missing")))
+        made[c] = got
+    return raw.select(*[v.alias(c) for c, v in made.items()], *[c for c in raw.columns if c.startswith("_")], F.nullif(F.concat_ws("; ", *wrong), F.lit("")).alias("_reason"), F.to_json(F.struct(*[raw[c] for c in raw.columns if not c.startswith("_")])).alias("_raw"))
+
+
+def land_files(catalog: Catalog, paths: list[str], table: str, fields: dict[str, str], keys: tuple[str, ...] = ("ts_code", "trade_date"), day: str = "trade_date", form: str = "csv", options: dict[str, str] | None = None) -> DataFrame:
+    """Lands files of daily facts once each; returns their rows of the ledger (file, landed, bad).
+
+    Rows that don't parse, or lack a key, go to the table ``table``_quarantine with their file, the reason and their text,
+    and don't stop the others. Good rows are merged by key into the days they belong to: of rows with one key that of the
+    last file named (within a file the last by value) stays. Files that the table ``table``_ledger names are left out. The
+    ledger is written last and each step replaces what an earlier try has written, so a run that broke off is run again.
+    """
+    ledger, bad = f"{table}_ledger", f"{table}_quarantine"
+    known = {r.file for r in catalog.read(ledger).where(F.col("file").isin(list(paths))).collect()} if catalog.exists(ledger) else set()  # at most a row a path
+    new = [p for p in dict.fromkeys(paths) if p not in known]
+    if new:
+        schema = ", ".join(f"`{c}` string" for c in fields)
+        reader = catalog.spark.read.format(form).options(**({"header": "true"} if form == "csv" else {}), **(options or {}))
+        parts = [(reader.schema(schema) if form in ("csv", "json") else reader).load(p).select(*[F.col(f"`{c}`") for c in fields], F.lit(p).alias("_file"), F.lit(i).alias("_turn")) for i, p in enumerate(new)]
+        rows = parts[0]
+        for more in parts[1:]:
+            rows = rows.union(more)
+        catalog.write(checked(rows, fields, keys), f"{table}_landing")
+        rows = catalog.read(f"{table}_landing")
+        catalog.replace_parts(rows.where("_reason is not null").select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_raw").alias("text")), bad, ["file"])
+        good = keep_one(rows.where("_reason is null").select(*fields, "_turn"), list(keys), [F.col("_turn")]).drop("_turn")
+        if not good.isEmpty():
+            catalog.merge_days(good, table, list(keys), day)
+        counts = rows.groupBy(F.col("_file").alias("file")).agg(F.count(F.when(F.col("_reason").isNull(), 1)).alias("landed"), F.count("_reason").alias("bad"))
+        files = catalog.spark.createDataFrame([(p,) for p in new], "file string")
+        catalog.append(files.join(counts, "file", "left").na.fill(0), ledger)
+        catalog.delete(f"{table}_landing")
+    return catalog.read(ledger).where(F.col("file").isin(list(paths)))
+
+
 def lacking_fields(columns: list[str], needed: list[str]) -> list[str]:
     return [c for c in needed if c not in columns]
 

@@ -72,6 +72,21 @@ class Catalog:
         out = df.withColumn("_day", F.col(day)).repartition("_day")
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_day").parquet(self.path(name))
 
+    def touched(self, name: str, rows: DataFrame, day: str = "trade_date") -> DataFrame:
+        """Stored rows of the days of ``rows`` in a table written by replace_days: only those partitions are read."""
+        days = [r[0] for r in rows.select(day).distinct().collect()]  # at most a row a day
+        return self.read(name).where(F.col("_day").isin(days)).drop("_day")
+
+    def merge_days(self, rows: DataFrame, name: str, keys: list[str], day: str = "trade_date") -> None:
+        """Puts rows into a table written by replace_days: they replace those of their keys, which hold the day; other rows
+        and days stay, and other days aren't read. Doing it again changes nothing. Keys of ``rows`` are distinct."""
+        if self.exists(name):
+            old = self.touched(name, rows, day).join(rows.select(*keys), keys, "left_anti")
+            rows = rows.unionByName(old.select(*rows.columns))
+        # written aside first: a table can't be read and replaced in one job
+        self.write(rows, f"{name}_batch")
+        self.replace_days(self.read(f"{name}_batch"), name, day)
+
     def replace_parts(self, df: DataFrame, name: str, by: list[str], compression: str = "zstd") -> None:
         """Writes df into a table partitioned by these columns: partitions that df has are replaced, others stay."""
         if not self.exists(name) and df.isEmpty():

@@ -16,12 +16,6 @@ from kairopanel.functions.series import DAY, SYMBOL, Series, evaluate
 from kairopanel.sources.catalog import Catalog
 
 
-def touched(catalog: Catalog, name: str, rows: DataFrame) -> DataFrame:
-    """The stored rows of the days of ``rows``: only these partitions are read."""
-    days = [r[0] for r in rows.select(DAY).distinct().collect()]  # at most a row a trading day
-    return catalog.read(name).where(F.col("_day").isin(days)).drop("_day")
-
-
 def _uses(e: Series, op: str) -> bool:
     return e.op == op or any(_uses(c, op) for c in e.children)
 
@@ -35,13 +29,7 @@ def upkeep(spark: SparkSession, source: str, schema: StructType, catalog: Catalo
     ahead = any(_uses(e, "lead") for e in outputs.values())
 
     def merge(rows: DataFrame, name: str) -> None:
-        """Puts rows into the table by symbol and day; other rows of their days stay."""
-        if catalog.exists(name):
-            old = touched(catalog, name, rows).join(rows.select(SYMBOL, DAY), [SYMBOL, DAY], "left_anti")
-            rows = rows.unionByName(old.select(*rows.columns))
-        # written aside first: a table can't be read and replaced in one job
-        catalog.write(rows, f"{name}_batch")
-        catalog.replace_days(catalog.read(f"{name}_batch"), name, DAY)
+        catalog.merge_days(rows, name, [SYMBOL, DAY], DAY)
 
     def step(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():

@@ -4,7 +4,7 @@ import datetime as dt
 
 from kairopanel.functions.series import avg, col, cumulative, ema, evaluate, lag, rank_desc
 from kairopanel.sources.catalog import Catalog
-from kairopanel.streaming.incremental import touched, upkeep
+from kairopanel.streaming.incremental import upkeep
 
 D = [dt.date(2015, 1, 1) + dt.timedelta(days=150 * i) for i in range(8)]
 
@@ -32,7 +32,7 @@ def test_merge_reads_only_touched_days(spark, tmp_path):
     cat = Catalog(spark, str(tmp_path))
     rows = spark.createDataFrame([(s, d, 1.0) for s in (1, 2) for d in D], "ts_code long, trade_date date, x double")
     cat.replace_days(rows, "bars")
-    got = touched(cat, "bars", rows.where(f"ts_code = 1 and trade_date >= date'{D[6]}'"))
+    got = cat.touched("bars", rows.where(f"ts_code = 1 and trade_date >= date'{D[6]}'"))
     assert sorted((r.ts_code, r.trade_date) for r in got.collect()) == [(s, d) for s in (1, 2) for d in D[6:]]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_day" in plan or "PartitionFilters: [_day" in plan
