@@ -134,24 +134,31 @@ def information_coefficients(ranks: DataFrame) -> DataFrame:
 
 
 def group_returns(ranks: DataFrame, rules: AnalysisRules) -> DataFrame:
-    """Mean forward return of each group, long-short return, turnover of both legs and cost, per evaluated day."""
-    g = rules.groups
+    """Mean forward return of each group, long-short return, turnover of both legs and cost, per evaluated day.
+
+    A leg's member stays if it was in the leg on the evaluated day before: every member's last day in the leg is counted
+    by day, so no leg is ever gathered.
+    """
+    g, keys = rules.groups, ["factor", "horizon", "trade_date"]
     own = lambda k: F.col("group") == k
-    days = ranks.groupBy("factor", "horizon", "trade_date").agg(
-        *[F.avg(F.when(own(k), F.col("label"))).alias(f"group_{k}") for k in range(1, g + 1)],
-        F.collect_set(F.when(own(g), F.col("ts_code"))).alias("long"),
-        F.collect_set(F.when(own(1), F.col("ts_code"))).alias("short"),
-    )
-    w = W.partitionBy("factor", "horizon").orderBy("trade_date")
+    legs = {"long": g, "short": 1}
+    days = ranks.groupBy(*keys).agg(*[F.avg(F.when(own(k), F.col("label"))).alias(f"group_{k}") for k in range(1, g + 1)], *[F.count_if(own(k)).alias(leg) for leg, k in legs.items()])
+    w = W.partitionBy("factor", "horizon").orderBy("trade_date")  # a row a day
+    days = days.withColumns({"before": F.lag("trade_date", 1).over(w), "first_day": F.row_number().over(w) == 1, **{f"{leg}_before": F.lag(leg, 1).over(w) for leg in legs}})
+    was = F.lag("trade_date", 1).over(W.partitionBy("factor", "horizon", "group", "ts_code").orderBy("trade_date"))
+    stays = ranks.where(own(g) | own(1)).select(*keys, "group", was.alias("was")).where("was is not null")
+    stays = stays.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], "was").agg(*[F.count_if(own(k)).alias(f"{leg}_stays") for leg, k in legs.items()])
+    days = days.join(stays, [*[F.col(k) == F.col(f"_{k}") for k in keys], F.col("before") == F.col("was")], "left")
 
     def turnover(leg: str) -> Column:
-        before = F.lag(leg, 1).over(w)
-        return F.when(before.isNull() | (F.size(before) == 0), 0.0).otherwise(1 - F.size(F.array_intersect(before, F.col(leg))) / F.size(before))
+        before = F.col(f"{leg}_before")
+        return F.when(before.isNull() | (before == 0), 0.0).otherwise(1 - F.coalesce(F.col(f"{leg}_stays"), F.lit(0)) / before)
 
     rate = 2 * rules.commission + rules.stamp_tax + 2 * rules.slippage
-    days = days.withColumns({"long_turnover": turnover("long"), "short_turnover": turnover("short"), "first_day": F.row_number().over(w) == 1})
+    days = days.withColumns({f"{leg}_turnover": turnover(leg) for leg in legs})
     days = days.withColumns({"long_short_gross": F.col(f"group_{g}") - F.col("group_1"), "transaction_cost": F.col("long_turnover") * rate + F.col("short_turnover") * rate})
-    return days.withColumn("long_short", F.col("long_short_gross") - F.col("transaction_cost")).drop("long", "short")
+    days = days.withColumn("long_short", F.col("long_short_gross") - F.col("transaction_cost"))
+    return days.select(*keys, *[f"group_{k}" for k in range(1, g + 1)], "long_turnover", "short_turnover", "first_day", "long_short_gross", "transaction_cost", "long_short")
 
 
 def summary(ics: DataFrame, groups: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from kairopanel.functions.series import evaluate, rounded, rounded_sql, to_sql
 from kairopanel.operators import analysis as A
 from kairopanel.operators import universe as U
 from kairopanel.operators.factors import REGISTRY
+from kairopanel.operators.ingest import keep_one
 from kairopanel.operators.patterns import PATTERNS
 from kairopanel.sources.panel import PANEL_SQL, derived_panel
+from kairopanel.sources.shared import stored
 
 #: Parameters for the test data, whose symbols are fewer and smaller than a market's.
 RULES = U.UniverseRules(new_days=120, window=20, min_amount=30_000.0, min_turnover=1.0, min_circ_mv=10_000.0, prefixes=("7",), suffixes=("3",))
@@ -315,7 +317,7 @@ _GROUP = [*[f"group_{k}" for k in range(1, 6)], "long_short_gross", "transaction
 
 @query("analysis_group_returns", f"WITH {PREPARED_SQL}, {RANKED_SQL}, {GROUPS_SQL} SELECT {_show_sql(_DAY, _GROUP)} FROM grp")
 def analysis_group_returns(spark, sf_dir):
-    return _show(A.group_returns(A.ranked(_prepared(spark, sf_dir), STUDY), STUDY), _DAY, _GROUP)
+    return _show(A.group_returns(stored(A.ranked(_prepared(spark, sf_dir), STUDY), "ranks"), STUDY), _DAY, _GROUP)
 
 
 _COUNTS = ["ic_observations", "min_daily_sample_count", "max_daily_sample_count"]
@@ -324,7 +326,7 @@ _RATES = [c for c in SUMMARY_COLUMNS if c not in _COUNTS]
 
 @query("analysis_summary", f"WITH {PREPARED_SQL}, {RANKED_SQL}, {IC_SQL}, {GROUPS_SQL}, {SUMMARY_SQL} SELECT {_show_sql(['factor', 'horizon', *_COUNTS], _RATES)} FROM summary")
 def analysis_summary(spark, sf_dir):
-    ranks = A.ranked(_prepared(spark, sf_dir), STUDY)
+    ranks = stored(A.ranked(_prepared(spark, sf_dir), STUDY).drop("value", "n"), "ranks")  # three branches read it
     return _show(A.summary(A.information_coefficients(ranks), A.group_returns(ranks, STUDY)), ["factor", "horizon", *_COUNTS], _RATES)
 
 
@@ -349,7 +351,7 @@ _ERATES = [*[c for c in EVENT_COLUMNS if c not in _ECOUNTS], "p_value"]
 
 @query("event_study", f"WITH {SIGNAL_SQL}, {EVENT_SQL} SELECT {_show_sql(['factor', 'horizon', *_ECOUNTS], _ERATES)} FROM tested")
 def event_study(spark, sf_dir):
-    return _show(A.event_summary(_signals(spark, sf_dir)), ["factor", "horizon", *_ECOUNTS], _ERATES)
+    return _show(A.event_summary(stored(_signals(spark, sf_dir), "signals")), ["factor", "horizon", *_ECOUNTS], _ERATES)
 
 
 _EM = ["factor", "trade_date", "sample_count", "null_count", "event_count", "bullish_event_count", "bearish_event_count"]
@@ -371,3 +373,12 @@ def high_water_mark(spark, sf_dir):
 def duplicate_keys(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return rows.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey"]
+
+
+@query("keys_kept", f"SELECT l_orderkey, l_linenumber, {', '.join(_LINE)} FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(f'{c} DESC' for c in _LINE)}) = 1")
+def keys_kept(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", *_LINE)
+    return keep_one(rows, ["l_orderkey", "l_linenumber"], [F.col(c) for c in _LINE])
