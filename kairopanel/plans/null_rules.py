@@ -110,5 +110,59 @@ shown AS (
   FROM g WINDOW upto AS (PARTITION BY ts_code ORDER BY trade_date ROWS UNBOUNDED PRECEDING), n250 AS (PARTITION BY ts_code ORDER BY trade_date ROWS 249 PRECEDING))
 SELECT ts_code, trade_date, {', '.join(f'{rounded_sql(n)} AS {n}' for n in NAMES)} FROM shown"""
 
-QUERIES = {"null_rules": null_rules}
-ORACLE_SQL = {"null_rules": NULL_RULES_SQL}
+#: More kinds of factors: weighted sums, moments, deviations, regressions, ranks across symbols, ratios of sums.
+KINDS = [
+    "high_moving_average_120", "cost_moving_average_20", "turnover_rate_ratio_5_120", "return_variance_60", "return_skewness_60", "return_kurtosis_20", "volume_standard_deviation_20",
+    "turnover_value_standard_deviation_20", "price_linear_regression_coefficient_12", "acceleration_rate_8", "momentum_average_12_6", "rate_of_change_120", "monthly_return_rank_score_20",
+    "commodity_channel_index_14", "money_flow_20", "average_true_range_14", "detrended_price_oscillator_20_10", "tapi",
+]
+
+
+def factor_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = evaluate(gappy(derived_panel(spark, sf_dir)), {n: REGISTRY[n].series for n in KINDS})
+    return got.select(SYMBOL, DAY, *[rounded(F.col(n)).alias(n) for n in KINDS])
+
+
+_FULL = lambda x, n, got: f"CASE WHEN count({x}) OVER n{n} = {n} THEN {got} END"
+_SPANS = (5, 6, 8, 12, 14, 20, 60, 120)
+_WINDOWS = ", ".join(f"n{n} AS (PARTITION BY ts_code ORDER BY trade_date ROWS {n - 1} PRECEDING)" for n in _SPANS)
+#: Moments from the values themselves about their mean, window by window.
+_SUM = lambda k: f"list_sum(list_transform(ret_list, lambda v: power(v - list_avg(ret_list), {k})))"
+FACTOR_KINDS_SQL = f"""
+WITH p AS ({PANEL_SQL}),
+q AS (
+  SELECT ts_code, trade_date, row_number() OVER (PARTITION BY ts_code ORDER BY trade_date) AS rn,
+         CASE WHEN k % 29 <> 0 THEN close_hfq END AS c,
+         CASE WHEN k % 17 = 0 THEN CASE WHEN k % 29 <> 0 THEN close_hfq END ELSE open_hfq END AS o,
+         CASE WHEN k % 17 = 0 THEN CASE WHEN k % 29 <> 0 THEN close_hfq END ELSE high_hfq END AS h,
+         CASE WHEN k % 17 = 0 THEN CASE WHEN k % 29 <> 0 THEN close_hfq END ELSE low_hfq END AS l,
+         CASE WHEN k % 23 <> 0 THEN vol END AS v, amount, CASE WHEN k % 19 <> 0 THEN turnover_rate END AS t
+  FROM (SELECT *, ts_code * 31 + dayofyear(trade_date) AS k FROM p)),
+d AS (
+  SELECT *, c / lag(c) OVER s - 1 AS ret, c - lag(c, 12) OVER s AS mtm, c / lag(c, 20) OVER s - 1 AS month, (c - lag(c, 120) OVER s) / lag(c, 120) OVER s * 100 AS roc120,
+         (h + l + c) / 3 AS typical, v * (o + c) / 2 AS paid, greatest(h - l, abs(h - lag(c) OVER s), abs(l - lag(c) OVER s)) AS range
+  FROM q WINDOW s AS (PARTITION BY ts_code ORDER BY trade_date)),
+w AS MATERIALIZED (
+  SELECT *, {_FULL("h", 120, "avg(h) OVER n120")} AS high_moving_average_120,
+         {_FULL("paid", 20, "sum(paid) OVER n20")} / nullif({_FULL("v", 20, "sum(v) OVER n20")}, 0) AS cost_moving_average_20,
+         {_FULL("t", 5, "avg(t) OVER n5")} / nullif({_FULL("t", 120, "avg(t) OVER n120")}, 0) AS turnover_rate_ratio_5_120,
+         {_FULL("ret", 60, "list(ret) OVER n60")} AS long_list, {_FULL("ret", 20, "list(ret) OVER n20")} AS short_list,
+         {_FULL("v", 20, "stddev_samp(v) OVER n20")} AS volume_standard_deviation_20, {_FULL("amount", 20, "stddev_samp(amount) OVER n20")} AS turnover_value_standard_deviation_20,
+         {_FULL("c", 12, "regr_slope(c, rn) OVER n12")} / {_FULL("c", 12, "avg(c) OVER n12")} AS price_linear_regression_coefficient_12,
+         {_FULL("c", 8, "regr_slope(c, rn) OVER n8")} / c AS acceleration_rate_8, {_FULL("mtm", 6, "avg(mtm) OVER n6")} AS momentum_average_12_6, roc120 AS rate_of_change_120,
+         CASE WHEN month IS NOT NULL THEN 1 - (rank() OVER (PARTITION BY trade_date ORDER BY month DESC NULLS LAST) + (count(*) OVER (PARTITION BY trade_date, month) - 1) / 2.0::DOUBLE) / count(month) OVER (PARTITION BY trade_date) END AS monthly_return_rank_score_20,
+         {_FULL("typical", 14, "list(typical) OVER n14")} AS typical_list, {_FULL("typical", 20, "CASE WHEN count(v) OVER n20 = 20 THEN sum(typical * v) OVER n20 END")} AS money_flow_20,
+         {_FULL("range", 14, "avg(range) OVER n14")} AS average_true_range_14, {_FULL("c", 20, "avg(c) OVER n20")} AS mean20, amount / c AS tapi
+  FROM d WINDOW {_WINDOWS}),
+m AS (SELECT *, short_list AS ret_list FROM w),
+k AS (SELECT *, CASE WHEN {_SUM(2)} > 0 THEN 20 * {_SUM(4)} / power({_SUM(2)}, 2) END AS return_kurtosis_20 FROM m),
+n AS (SELECT * REPLACE (long_list AS ret_list) FROM k),
+shown AS (
+  SELECT *, {_SUM(2)} / 60 AS return_variance_60, CASE WHEN {_SUM(2)} > 0 THEN sqrt(60) * {_SUM(3)} / power({_SUM(2)}, 1.5) END AS return_skewness_60,
+         (typical - list_avg(typical_list)) / nullif(0.015 * list_avg(list_transform(typical_list, lambda x: abs(x - list_avg(typical_list)))), 0) AS commodity_channel_index_14,
+         c - lag(mean20, 10) OVER (PARTITION BY ts_code ORDER BY trade_date) AS detrended_price_oscillator_20_10
+  FROM n)
+SELECT ts_code, trade_date, {', '.join(f'{rounded_sql(n)} AS {n}' for n in KINDS)} FROM shown"""
+
+QUERIES = {"null_rules": null_rules, "factor_kinds": factor_kinds}
+ORACLE_SQL = {"null_rules": NULL_RULES_SQL, "factor_kinds": FACTOR_KINDS_SQL}
