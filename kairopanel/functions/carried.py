@@ -4,7 +4,7 @@ The state holds, per symbol, the newest rows that later windows can still reach,
 window reads, and beside them what running values and recurrences leave after each row (total, extreme, row number, the
 recurrence's state and the rows since its last value). A batch puts the new rows behind these: windows run over both,
 running values and recurrences go on from the last carried row, and the result's newest rows are the next state. A
-row's look-back is known from the trees, so the state is some window lengths a symbol, whatever the history.
+row's look-back is known from the trees, so the state is some window lengths a symbol, whatever the history. Kernels are carried by the rows that they say they need.
 
 New rows must be later than the carried rows of their symbol; rows of days that are carried already are left out, so a
 batch that is run again changes nothing. Outputs that look ahead (lead) have no carried form.
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kairopanel.functions.series import _WINDOWS, DAY, SYMBOL, Series, _cuts, _lowered, _spark, fold, inputs
+from kairopanel.functions.series import _WINDOWS, DAY, SYMBOL, Series, _cuts, _lowered, _spark, checked, fold, inputs, recur_step, turn
 
 _RUNNING = {"row", "cumsum", "cummax", "cummin"}
 
@@ -45,6 +45,10 @@ def _every(trees: list[Series]) -> dict[str, Series]:
 
 def reach(e: Series) -> int:
     """Rows before its own that a window reads."""
+    if e.op == "kernel":
+        if e.args[0].rows is None:
+            raise ValueError(f"kernel {e.args[0].name} reads all rows and can't be carried")
+        return e.args[0].rows - 1
     if e.op not in _WINDOWS or e.op in _RUNNING or e.op == "rank_desc" or e.op.startswith("skip_"):
         return 0
     if e.op == "lead":
@@ -53,8 +57,9 @@ def reach(e: Series) -> int:
     return n if e.op == "lag" else n - 1
 
 
-def prepared(outputs: dict[str, Series]) -> tuple[dict[str, Series], dict[int, list[Series]]]:
-    """Trees as they are computed, and their pieces by level; running values are always pieces."""
+def prepared(outputs: dict[str, Series]) -> tuple[dict[str, Series], dict[tuple[int, int], list[Series]]]:
+    """Trees as they are computed, and their pieces by turn; running values are always pieces."""
+    checked(list(outputs.values()))
     lowered: dict[str, Series] = {}
     trees = {n: _lowered(e, done=lowered) for n, e in outputs.items()}
     every = _every(list(trees.values()))
@@ -62,7 +67,7 @@ def prepared(outputs: dict[str, Series]) -> tuple[dict[str, Series], dict[int, l
     known = {e.key for pieces in by.values() for e in pieces}
     for e in every.values():
         if e.op in _RUNNING and e.key not in known:
-            by.setdefault(e.level, []).append(e)
+            by.setdefault(turn(e), []).append(e)
     return trees, dict(sorted(by.items()))
 
 
@@ -121,7 +126,12 @@ def carry(new: DataFrame, state: DataFrame | None, outputs: dict[str, Series], k
             ref = lambda a: a.args[0] if a.op in ("lit", "col") else done[a.key]
             df = _fold(df, [(column(e), ref(e.args[0]), ref(e.args[1]), *e.args[2:]) for e in folds])
             done |= {e.key: column(e) for e in folds}
-        if plain := [e for e in pieces if e.op not in ("recur", *_RUNNING)]:
+        if calls := [e for e in pieces if e.op == "kernel"]:
+            ref = lambda a: a.args[0] if a.op in ("lit", "col") else done[a.key]
+            df = recur_step(df, [], kernels=[(f"{column(e)}_k", e.args[0].fn, *(ref(a) for a in e.args[1:])) for e in calls])
+            df = df.withColumns({column(e): own(column(e), F.col(f"{column(e)}_k")) for e in calls}).drop(*[f"{column(e)}_k" for e in calls])
+            done |= {e.key: column(e) for e in calls}
+        if plain := [e for e in pieces if e.op not in ("recur", "kernel", *_RUNNING)]:
             df = df.withColumns({column(e): own(column(e), _spark(e, done)) for e in plain})
             done |= {e.key: column(e) for e in plain}
     # the outputs' own windows still read carried rows: computed before these are left out

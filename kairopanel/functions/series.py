@@ -8,14 +8,18 @@ together from aggregates over 2, 4, 8, ... rows, each made of two of the size be
 logarithm of the window, all windows of a value share the parts, and nothing is ever subtracted, so values that
 have left a window (large ones, or NaN) leave nothing behind. The one thing Spark has no built-in
 for is the recurrence s = a*x + (1-a)*s, which runs once per level for all recurrences together, symbol by symbol (or
-chunk by chunk of long symbols), as a scan of affine steps.
+chunk by chunk of long symbols), as a scan of affine steps. Kernels, order statistics of long windows and functions of
+the user's, run in the same pass over a symbol's Arrow columns. Everything that no such pass feeds is computed before it,
+so that it shares the first shuffle.
 
 ``to_sql`` writes the same trees as portable SQL, used to check the results on another engine.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -23,6 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from kairopanel.functions import order
+
 SYMBOL, DAY = "ts_code", "trade_date"
 
 
@@ -53,10 +59,19 @@ class Series:
     def level(self) -> int:
         got = self.__dict__.get("_level")
         if got is None:
-            got = max((c.level for c in self.children), default=0) + (self.op in _WINDOWS or self.op in ("recur", "merge"))
+            got = max((c.level for c in self.children), default=0) + (self.op in _WINDOWS or self.op in ("recur", "merge", "kernel"))
             object.__setattr__(self, "_level", got)
         return got
 
+    @property
+    def stage(self) -> int:
+        """Passes over whole symbols (recurrences, kernels) on the way to this value."""
+        got = self.__dict__.get("_stage")
+        if got is None:
+            got = max((c.stage for c in self.children), default=0) + (self.op in ("recur", "kernel"))
+            object.__setattr__(self, "_stage", got)
+        return got
+
     def __add__(self, o): return _op("+", self, o)
     def __radd__(self, o): return _op("+", o, self)
     def __sub__(self, o): return _op("-", self, o)
@@ -143,6 +158,28 @@ def first_row(x: Series) -> Series:
     return Series("cummin", (when(x.is_null(), None, row_number()), None))
 
 
+@dataclass(frozen=True, repr=False)
+class Kernel:
+    """A function of a symbol's columns. fn takes one Arrow array of doubles per input, in day order, and gives an Arrow or
+    numpy array of as many doubles (NaN stays NaN; nulls of an Arrow array are nulls). It is sent to the tasks.
+
+    rows: how many rows up to its own a value depends on; None: all of them, which can't be carried between batches.
+    name tells kernels apart: one name, one function.
+    """
+
+    name: str
+    fn: Callable
+    rows: int | None = None
+
+    def __repr__(self) -> str:
+        return f"{self.name}:{self.rows}"
+
+
+def kernel(k: Kernel, *inputs) -> Series:
+    """The kernel's values over these inputs (series or numbers); composes with everything else."""
+    return Series("kernel", (k, *(wrap(x) for x in inputs)))
+
+
 # --- Spark ---------------------------------------------------------------------------------------------------------
 
 
@@ -250,7 +287,8 @@ def _doubled(x: Series, n: int, join) -> Series:
 
 
 def _lowered(e: Series, most: int = 8, done: dict[str, Series] | None = None) -> Series:
-    """The same with sums, means and moments over more than ``most`` rows put together from parts."""
+    """The same with sums, means and moments over more than ``most`` rows put together from parts, and order statistics over
+    more than 4 * ``most`` rows as kernels."""
     done = {} if done is None else done
     if e.key not in done:
         args = tuple(_lowered(a, most, done) if isinstance(a, Series) else a for a in e.args)
@@ -262,12 +300,40 @@ def _lowered(e: Series, most: int = 8, done: dict[str, Series] | None = None) ->
             top = _MOMENTS[e.op]
             got = _doubled(Series("unit", (args[0], top)), args[1], lambda a, b, na, nb: Series("merge", (a, b, na, nb, top)))
             out = Series("moment", (got, e.op, args[1]))
+        elif e.op in ("greater", "meandev") and args[1] > 4 * most:
+            fn = order.count_greater if e.op == "greater" else order.mean_deviation
+            out = kernel(Kernel(e.op, partial(fn, n=args[1]), args[1]), args[0])
         done[e.key] = out
     return done[e.key]
 
 
-def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
-    """Pieces that become columns, by level: what windows and recurrences read, recurrences, and windows used twice."""
+def checked(trees: list[Series]) -> None:
+    """An error if one name stands for two kernels: equal trees are computed once."""
+    named: dict[str, Callable] = {}
+
+    def visit(e: Series) -> None:
+        if e.op == "kernel" and named.setdefault(e.args[0].name, e.args[0].fn) is not e.args[0].fn:
+            raise ValueError(f"two kernels are named {e.args[0].name}")
+        for c in e.children:
+            visit(c)
+
+    for t in trees:
+        if t.stage:
+            visit(t)
+
+
+def turn(e: Series) -> tuple[int, int]:
+    """When a piece is computed: what no recurrence or kernel feeds comes first, so that it shares the first shuffle; then all
+    recurrences and kernels that read only that, in one pass; and so on."""
+    return e.stage, 0 if e.op in ("recur", "kernel") else e.level
+
+
+def _cuts(trees: list[Series], by_turn: bool = True) -> dict:
+    """Pieces that become columns: what windows and recurrences read, recurrences, and windows used twice.
+
+    by_turn: also windows that would otherwise wait until a later pass has lost the rows' grouping; else by level.
+    """
+    last = max((t.stage for t in trees), default=0)
     cut: dict[str, Series] = {}
     seen: set[str] = set()
 
@@ -275,20 +341,24 @@ def _cuts(trees: list[Series]) -> dict[int, list[Series]]:
         for c in e.children:
             if c.op in _WINDOWS and c.key in seen:  # wanted again: computed once
                 cut.setdefault(c.key, c)
-            needs = (e.op in _WINDOWS and c.level > 0) or e.op in ("recur", "merge", "moment", "rank_desc", "cummax", "cummin") or e.op.startswith("skip_")
+            if by_turn and c.op in _WINDOWS and c.stage < last:
+                cut.setdefault(c.key, c)
+            needs = (e.op in _WINDOWS and c.level > 0) or e.op in ("recur", "kernel", "merge", "moment", "rank_desc", "cummax", "cummin") or e.op.startswith("skip_")
             if needs and c.op not in ("col", "lit"):
                 cut.setdefault(c.key, c)
             if c.key not in seen:
                 seen.add(c.key)
                 visit(c)
-        if e.op == "recur":
+        if e.op in ("recur", "kernel"):
             cut.setdefault(e.key, e)
 
     for t in trees:
+        if by_turn and t.op in _WINDOWS and t.stage < last:
+            cut.setdefault(t.key, t)
         visit(t)
-    by: dict[int, list[Series]] = {}
+    by: dict = {}
     for e in cut.values():
-        by.setdefault(e.level, []).append(e)
+        by.setdefault(turn(e) if by_turn else e.level, []).append(e)
     return dict(sorted(by.items()))
 
 
@@ -326,6 +396,21 @@ def fold(x: np.ndarray, x_null: np.ndarray, alpha: np.ndarray, alpha_null: np.nd
     return states, (x_null & (not carry)) | alpha_null | empty, empty, gaps
 
 
+KernelJob = tuple  # (name, function, *inputs); inputs are columns or numbers
+
+
+def kernel_column(t, fn: Callable, *refs: str | float):
+    """What a kernel gives for the rows of t, which are one symbol's in day order."""
+    import pyarrow as pa
+
+    columns = [pa.array(np.full(len(t), r)) if isinstance(r, float) else pa.nulls(len(t), pa.float64()) if r is None else t.column(r).combine_chunks().cast(pa.float64()) for r in refs]
+    made = fn(*columns)
+    made = made.combine_chunks() if isinstance(made, pa.ChunkedArray) else pa.array(made, pa.float64())
+    if len(made) != len(t):
+        raise ValueError(f"a kernel gave {len(made)} values for {len(t)} rows")
+    return made.cast(pa.float64())
+
+
 def inputs(t, x: str | float, alpha: str | float):
     """Values (0 where null) and nulls of two columns or numbers."""
     out = []
@@ -341,15 +426,17 @@ def inputs(t, x: str | float, alpha: str | float):
 RecurJob = tuple  # (name, x, alpha, init, carry, fade); x and alpha are columns or numbers
 
 
-def recur_step(df: DataFrame, jobs: list[RecurJob], seeded: bool = False, with_state: bool = False, by: list[str] | None = None) -> DataFrame:
-    """Adds columns name = recurrence(x, alpha, init, carry, fade) for jobs, a symbol at a time in day order.
+def recur_step(df: DataFrame, jobs: list[RecurJob], seeded: bool = False, with_state: bool = False, by: list[str] | None = None, kernels: list[KernelJob] | None = None) -> DataFrame:
+    """Adds columns name = recurrence(x, alpha, init, carry, fade) for jobs, and of kernels, a symbol at a time in day order.
 
     seeded: columns name_s0 and name_g0 hold the state and the gap before each group's first row; with_state: columns
     name_s and name_g are added, what each row leaves. by: groups, default the symbols.
     """
     import pyarrow as pa
 
+    kernels = kernels or []
     more = [StructField(f"{name}{end}", DoubleType()) for name, *_ in jobs for end in (("", "_s", "_g") if with_state else ("",))]
+    more += [StructField(name, DoubleType()) for name, *_ in kernels]
     schema = StructType([*df.schema.fields, *more])
 
     def step(t: pa.Table) -> pa.Table:
@@ -362,6 +449,9 @@ def recur_step(df: DataFrame, jobs: list[RecurJob], seeded: bool = False, with_s
                 made += [("_s", pa.array(states, mask=empty)), ("_g", pa.array(gaps.astype(float)))]
             for end, column in made:
                 t = t.append_column(pa.field(name + end, pa.float64()), column)
+        rows = t
+        for name, fn, *refs in kernels:
+            t = t.append_column(pa.field(name, pa.float64()), kernel_column(rows, fn, *refs))
         return t
 
     return df.groupBy(*(by or [SYMBOL])).applyInArrow(step, schema)
@@ -433,8 +523,10 @@ def _weights(at: np.ndarray, a: np.ndarray, fade: bool) -> np.ndarray:
 def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...] = (SYMBOL, DAY), chunk_days: int | None = None) -> DataFrame:
     """keep columns and one column per output, for every row of the panel.
 
-    chunk_days: recurrences over very long symbols are cut into chunks of so many days, which are worked on apart.
+    chunk_days: recurrences over very long symbols are cut into chunks of so many days, which are worked on apart; kernels
+    still see a whole symbol.
     """
+    checked(list(outputs.values()))
     lowered: dict[str, Series] = {}
     outputs = {n: _lowered(e, done=lowered) for n, e in outputs.items()}
     used = {SYMBOL, DAY, *keep}
@@ -449,16 +541,20 @@ def evaluate(panel: DataFrame, outputs: dict[str, Series], keep: tuple[str, ...]
         columns(e)
     df, done = panel.select(*[c for c in panel.columns if c in used]), {}
     for _, pieces in _cuts(list(outputs.values())).items():
-        plain = [e for e in pieces if e.op != "recur"]
+        plain = [e for e in pieces if e.op not in ("recur", "kernel")]
         folds = [e for e in pieces if e.op == "recur"]
-        if folds:
+        calls = [e for e in pieces if e.op == "kernel"]
+        if folds or calls:
             ref = lambda a: a.args[0] if a.op in ("lit", "col") else done[a.key]
-            jobs = []
-            for e in folds:
-                name = f"_s{len(done)}"
-                jobs.append((name, ref(e.args[0]), ref(e.args[1]), *e.args[2:]))
-                done[e.key] = name
-            df = recur_in_chunks(df, jobs, F.floor(F.unix_date(F.col(DAY).cast("date")) / chunk_days)) if chunk_days else recur_step(df, jobs)
+            names = {e.key: f"_s{len(done) + i}" for i, e in enumerate([*folds, *calls])}
+            jobs = [(names[e.key], ref(e.args[0]), ref(e.args[1]), *e.args[2:]) for e in folds]
+            kernels = [(names[e.key], e.args[0].fn, *(ref(a) for a in e.args[1:])) for e in calls]
+            if chunk_days and jobs:
+                df = recur_in_chunks(df, jobs, F.floor(F.unix_date(F.col(DAY).cast("date")) / chunk_days))
+                df = recur_step(df, [], kernels=kernels) if kernels else df
+            else:
+                df = recur_step(df, jobs, kernels=kernels)
+            done |= names
         new = {}
         for e in plain:
             new[f"_s{len(done) + len(new)}"] = (e, _spark(e, done))
@@ -478,6 +574,8 @@ def _sql(e: Series, done: dict[str, str]) -> str:
         return e.args[0]
     if e.op == "lit":
         return "CAST(NULL AS DOUBLE)" if e.args[0] is None else f"CAST({e.args[0]!r} AS DOUBLE)"
+    if e.op == "kernel":
+        raise ValueError(f"kernel {e.args[0].name} has no SQL form")
     if e.op in _WINDOWS:
         x, n = _sql(e.args[0], done), e.args[1]
         if e.op in ("lag", "lead"):
@@ -559,7 +657,7 @@ def to_sql(panel_sql: str, outputs: dict[str, Series], keep: tuple[str, ...] = (
         steps.append(f"p{n} AS (SELECT *, {', '.join(f'{x} AS {c}' for c, x in items.items())} FROM {last})")
         last = f"p{n}"
 
-    for _, pieces in _cuts(list(outputs.values())).items():
+    for _, pieces in _cuts(list(outputs.values()), by_turn=False).items():
         folds = [e for e in pieces if e.op == "recur"]
         if folds:
             lists, folded = {}, {}
