@@ -63,7 +63,7 @@ def prepared(outputs: dict[str, Series]) -> tuple[dict[str, Series], dict[tuple[
     lowered: dict[str, Series] = {}
     trees = {n: _lowered(e, done=lowered) for n, e in outputs.items()}
     every = _every(list(trees.values()))
-    by = _cuts([*trees.values(), *(Series("abs", (e,)) for e in every.values() if e.op in _RUNNING)])
+    by = _cuts([*trees.values(), *(Series("abs", (e,)) for e in every.values() if e.op in _RUNNING)], early=False)  # few pieces: all are carried
     known = {e.key for pieces in by.values() for e in pieces}
     for e in every.values():
         if e.op in _RUNNING and e.key not in known:

@@ -328,10 +328,10 @@ def turn(e: Series) -> tuple[int, int]:
     return e.stage, 0 if e.op in ("recur", "kernel") else e.level
 
 
-def _cuts(trees: list[Series], by_turn: bool = True) -> dict:
+def _cuts(trees: list[Series], by_turn: bool = True, early: bool = True) -> dict:
     """Pieces that become columns: what windows and recurrences read, recurrences, and windows used twice.
 
-    by_turn: also windows that would otherwise wait until a later pass has lost the rows' grouping; else by level.
+    early: also windows that would otherwise wait until a later pass has lost the rows' grouping. Ordered by turn or by level.
     """
     last = max((t.stage for t in trees), default=0)
     cut: dict[str, Series] = {}
@@ -341,7 +341,7 @@ def _cuts(trees: list[Series], by_turn: bool = True) -> dict:
         for c in e.children:
             if c.op in _WINDOWS and c.key in seen:  # wanted again: computed once
                 cut.setdefault(c.key, c)
-            if by_turn and c.op in _WINDOWS and c.stage < last:
+            if early and c.op in _WINDOWS and c.stage < last:
                 cut.setdefault(c.key, c)
             needs = (e.op in _WINDOWS and c.level > 0) or e.op in ("recur", "kernel", "merge", "moment", "rank_desc", "cummax", "cummin") or e.op.startswith("skip_")
             if needs and c.op not in ("col", "lit"):
@@ -353,7 +353,7 @@ def _cuts(trees: list[Series], by_turn: bool = True) -> dict:
             cut.setdefault(e.key, e)
 
     for t in trees:
-        if by_turn and t.op in _WINDOWS and t.stage < last:
+        if early and t.op in _WINDOWS and t.stage < last:
             cut.setdefault(t.key, t)
         visit(t)
     by: dict = {}
@@ -657,7 +657,7 @@ def to_sql(panel_sql: str, outputs: dict[str, Series], keep: tuple[str, ...] = (
         steps.append(f"p{n} AS (SELECT *, {', '.join(f'{x} AS {c}' for c, x in items.items())} FROM {last})")
         last = f"p{n}"
 
-    for _, pieces in _cuts(list(outputs.values()), by_turn=False).items():
+    for _, pieces in _cuts(list(outputs.values()), by_turn=False, early=False).items():
         folds = [e for e in pieces if e.op == "recur"]
         if folds:
             lists, folded = {}, {}

@@ -51,7 +51,7 @@ def _add(family: str, series: dict[str, Series], registered: bool = True) -> Non
 
 
 def register(name: str, family: str, series: Series) -> Factor:
-    """Adds a user's factor; it then runs in the same jobs as the built-in ones."""
+    """Adds a user's factor, of series and kernels; it then runs in the same jobs and SQL views as the built-in ones."""
     _add(family, {name: series}, registered=False)
     return REGISTRY[name]
 

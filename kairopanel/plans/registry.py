@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kairopanel.functions.series import DAY, SYMBOL, Series, evaluate, rounded, rounded_sql, to_sql
 from kairopanel.operators.factors import families
 from kairopanel.operators.patterns import PATTERNS
-from kairopanel.plans import analysis_queries, null_rules
+from kairopanel.plans import analysis_queries, null_rules, views
 from kairopanel.sources.panel import PANEL_SQL, derived_panel
 
 def _series_query(outputs: dict[str, Series], whole: bool = False):
@@ -25,7 +25,7 @@ def _series_sql(outputs: dict[str, Series], whole: bool = False) -> str:
     return f"SELECT {SYMBOL}, {DAY}, {', '.join(f'{show(c)} AS {c}' for c in outputs)} FROM ({to_sql(PANEL_SQL, outputs)})"
 
 
-QUERIES, ORACLE_SQL = analysis_queries.QUERIES | null_rules.QUERIES, analysis_queries.ORACLE_SQL | null_rules.ORACLE_SQL
+QUERIES, ORACLE_SQL = analysis_queries.QUERIES | null_rules.QUERIES | views.QUERIES, analysis_queries.ORACLE_SQL | null_rules.ORACLE_SQL | views.ORACLE_SQL
 for _family, _factors in families().items():
     _outputs = {f.name: f.series for f in _factors}
     QUERIES[f"factor_{_family}"], ORACLE_SQL[f"factor_{_family}"] = _series_query(_outputs), _series_sql(_outputs)

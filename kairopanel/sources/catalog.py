@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +101,54 @@ class Catalog:
         by = "_day" if "_day" in df.columns else day
         return df.where(F.year(by).isin([int(y) for y in years])).drop("_day")
 
+    def _clustered(self, name: str) -> str:
+        """The session's name of a clustered table; the definition is made again where the session doesn't have it."""
+        table = f"clustered_{hashlib.md5(self.path(name).encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(table):
+            if not self.exists(f"{name}_layout"):
+                raise FileNotFoundError(self.path(name))
+            at = self.read(f"{name}_layout").first()
+            self.spark.sql(f"CREATE TABLE {table} ({at.columns}) USING parquet OPTIONS (path '{self.path(name)}') PARTITIONED BY (_year) CLUSTERED BY ({at.key}) SORTED BY ({at.key}, {at.day}) INTO {at.buckets} BUCKETS")
+            self.spark.catalog.recoverPartitions(table)
+        return table
+
+    def write_clustered(self, df: DataFrame, name: str, buckets: int | None = None, key: str = "ts_code", day: str = "trade_date") -> None:
+        """Replaces the table by df, a folder a year and in it one file a bucket of symbols, sorted by symbol and day.
+
+        Windows and recurrences over a symbol then run without moving a row. buckets: as many tasks work on a symbol-wise
+        job, so choose them by the table's final size (default: the session's shuffle partitions); they stay as they are.
+        """
+        n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        out = df.withColumn("_year", F.year(day))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
+        table = f"clustered_{hashlib.md5(self.path(name).encode()).hexdigest()}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._by_bucket(out, n, key, day).write.mode("overwrite").option("compression", "zstd").option("path", self.path(name)).partitionBy("_year").bucketBy(n, key).sortBy(key, day).saveAsTable(table)
+        self.write(self.spark.createDataFrame([(key, day, n, columns)], "key string, day string, buckets int, columns string"), f"{name}_layout")
+
+    def replace_years(self, df: DataFrame, name: str) -> None:
+        """Puts df's years in place of the clustered table's; other years stay and aren't read. Doing it again changes nothing."""
+        table, at = self._clustered(name), self.read(f"{name}_layout").first()
+        own = [c for c in self.spark.table(table).columns if c != "_year"]
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            out = df.select(*own).withColumn("_year", F.year(at.day))
+            self._by_bucket(out, at.buckets, at.key, at.day).write.mode("overwrite").insertInto(table)
+        finally:
+            self.spark.conf.set(mode, before)
+        self.spark.catalog.refreshTable(table)
+
+    @staticmethod
+    def _by_bucket(df: DataFrame, n: int, key: str, day: str) -> DataFrame:
+        return df.repartition(n, key).sortWithinPartitions("_year", key, day)  # a task writes one bucket, a file a year
+
+    def read_clustered(self, name: str, years: list[int] | None = None) -> DataFrame:
+        """The clustered table, of some years or whole; only those folders are read."""
+        df = self.spark.table(self._clustered(name))
+        return (df if years is None else df.where(F.col("_year").isin([int(y) for y in years]))).drop("_year")
+
     def sql(self, text: str, args: dict | None = None, **tables: str) -> DataFrame:
         """A SQL query over tables given as view=name."""
         for view, name in tables.items():
