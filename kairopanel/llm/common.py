@@ -41,6 +41,15 @@ def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clustered(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Writes df, which comes out of a grouping by key, into buckets by key below the shared folder: joins by key then move
+    only their other side. As many buckets as the session's shuffle partitions, so that a bucket is written by one task."""
+    spark = df.sparkSession
+    n, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, key).sortBy(key).option("path", f"{work_dir(spark, name)}.parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def words(text: str | None) -> list[bytes]:
     """[^\\x20\\x09-\\x0D]+ of the text, A-Z lower-cased, as UTF-8 bytes; none for null."""
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []

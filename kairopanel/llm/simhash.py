@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairopanel.llm import vectors as V
-from kairopanel.llm.common import key_of, stored, word_hashes, words
+from kairopanel.llm.common import clustered, key_of, stored, word_hashes, words
 from kairopanel.llm.components import connected_components
 
 BITS = 64
@@ -421,7 +421,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, keys: DataFrame, shi
 
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(keys, "node")
     wanted = stored(wanted.select(F.col("k").alias("_k"), "node"), "wanted")
-    texts = docs.join(wanted, F.col("k") == F.col("_k")).groupBy("node").agg(F.first("text").alias("text"))  # rows with one key are equal
+    # the keys move, the texts stay where they are
+    texts = docs.join(wanted, F.col("k") == F.col("_k")).select("node", "text")
     texts = stored(texts.mapInArrow(deflated, "node binary, z binary"), "texts")
     side = lambda c, z: texts.select(F.col("node").alias(f"_{c}"), F.col("z").alias(z))
     both = pairs.join(side("u", "z1").hint("merge"), F.col("u") == F.col("_u")).join(side("v", "z2").hint("merge"), F.col("v") == F.col("_v")).select("u", "v", "z1", "z2")
@@ -441,7 +442,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, keys: DataFrame, shi
 
 
 def similar(docs: DataFrame, keys: DataFrame, fps: DataFrame, text: str, shingle: int, similarity: float, success: float, most: int = 2048) -> DataFrame:
-    """Verified links (u, v) that connect the nodes of every class. docs(k, text); keys(node, k); fps(node, fp)."""
+    """Verified links (u, v) that connect the nodes of every class. docs(k, text), a row a key; keys(node, k); fps(node, fp)."""
     first, tables = table_plan(fps.count(), similarity, success)
     pairs = stored(_found(_tables(fps, first, tables), similarity, most), "candidates")
     return stored(_verified(pairs, docs, text, keys, shingle, similarity), "verified").where("ok").select("u", "v")
@@ -454,17 +455,14 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """
     rows = stored(wide_fingerprints(docs, doc_id, text, shingle), "fingerprints")
     nodes = stored(rows.groupBy("node").agg(F.min("k").alias("k"), F.first("fp").alias("fp")), "nodes")  # of one node all are equal
-    src = docs.select(row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
+    # the one shuffle of whole rows: equal ones collapse before it, and both joins below are by k
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k"))
+    held = clustered(whole.groupBy("k").agg(F.first("row").alias("row")), "held", "k")
+    src = held.select("k", F.col("row").getField(text).alias("text"))
     edges = similar(src, nodes.select("node", "k"), nodes.select("node", "fp"), text, shingle, similarity, success, most)
     roots = stored(connected_components(edges), "roots").select(F.col("node").alias("of"), "root")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
     firsts = rows.groupBy("node").agg(F.min(order).alias("x"))  # a class may hold very many copies: they collapse before the join
     kept = firsts.join(roots, F.col("node") == F.col("of"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("x").alias("x"))
     kept = kept.select(F.col("x.k").alias("_k"))
-    # what changes is little beside the rows: keys that go, and keys of several equal rows
-    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    marks = stored(counts.join(kept, F.col("k") == F.col("_k"), "left").where("_k is null or n > 1").select(F.col("k").alias("_k"), F.col("_k").isNull().alias("goes")), "marks")
-    both = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k")).join(marks, F.col("k") == F.col("_k"), "left")
-    once = both.where("not goes").groupBy("k").agg(F.first("row").alias("row")).select("row")
-    out = both.where("goes is null").select("row").union(once)
-    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return held.join(kept, F.col("k") == F.col("_k"), "left_semi").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
