@@ -18,9 +18,15 @@ first bits and joined within a budget of 3 on the rest. The number of tables fol
 similarity that one table finds, so that ``success`` of them are found (closer pairs more surely), and the first bits
 grow with the number of texts, so that groups don't. What is found goes on if 192 bits differ as little as such pairs
 do. So that a group of copies isn't expanded into pairs, a task returns the spanning forest of least differences of what
-it finds, and each of its edges is verified on the whole texts. Classes are connected by links, and a forest of least
-differences cut at a bound has the same classes as all pairs cut there; as differences are estimated by bits, an edge
-may be refused where another pair of its two parts would have passed, right at the bound only.
+it finds, and each of its edges is verified on the whole texts.
+
+What the tries leave out (pairs that no table brings together, whose bits differ more than expected, or whose part's
+one edge was refused) is made up for exactly (``missed``): only links between two of the classes found so far are
+wanted. Sets of n shingles in any one order have one of their first n - ceil(similarity * n) + 1 shingles in common if
+they reach the similarity. Those prefixes are grouped by shingle; of groups with several classes, pairs across classes
+stay whose sizes, places and parities of the sets allow a link (none of these bounds refuses one) and are verified
+like the others. Frequent shingles come last in the order, so that groups stay small; which they are is counted on a
+sample, as the order changes the number of pairs tried but never the links found.
 
 Null doc_id: the row takes part; its component_id is the smallest id reachable, null if there is none. Copies
 and repeated rows meet in one fingerprint or set and are never paired with each other. An empty table gives no rows.
@@ -37,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairopanel.llm import vectors as V
@@ -322,6 +328,21 @@ def wide_fingerprint(s: np.ndarray, piece: int = 1 << 12) -> np.ndarray:
     return np.packbits(ones * 2 > len(s), bitorder="little").view(np.uint64)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """A bit for each of 512 places, or of the next power of two if there are more members: whether an odd number of members falls on it.
+
+    The bits of two sets differ in no more places than the sets do in members, also if the longer bits are folded.
+    """
+    size = 1 << max(9, (len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s.view(np.uint64) >> np.uint64(20)) & np.uint64(size - 1), minlength=size) & 1, bitorder="little").view(np.uint64)
+
+
+def parities_differ(x: np.ndarray, y: np.ndarray) -> int:
+    n = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, n)) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _batches(texts: pa.Array, most: int = 1 << 18):
     """Lists of neighbouring texts, some ``most`` characters together (or one text)."""
     held, size = [], 0
@@ -337,19 +358,20 @@ def _batches(texts: pa.Array, most: int = 1 << 18):
 
 
 def wide_fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """(doc_id, k, node, fp): node names the row's shingle set (128 bits), fp is its wide fingerprint."""
+    """(doc_id, k, node, fp, odd): node names the row's shingle set (128 bits), fp is its wide fingerprint, odd its parities."""
 
     def each(batches):
         for b in batches:
-            node, fp = [], []
+            node, fp, odd = [], [], []
             for some in _batches(b.column(2)):
                 for s in shingle_sets(some, shingle):
                     node.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     fp.append(wide_fingerprint(s).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(fp, pa.binary())], names=["doc_id", "k", "node", "fp"])
+                    odd.append(parities(s).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.binary()) for c in (node, fp, odd))], names=["doc_id", "k", "node", "fp", "odd"])
 
     src = docs.select(docs[doc_id].alias("doc_id"), row_key(docs, doc_id, text).alias("k"), docs[text].alias("text"))
-    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, k binary, node binary, fp binary")
+    return src.mapInArrow(each, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, k binary, node binary, fp binary, odd binary")
 
 
 def differing(similarity: float) -> float:
@@ -448,21 +470,119 @@ def similar(docs: DataFrame, keys: DataFrame, fps: DataFrame, text: str, shingle
     return stored(_verified(pairs, docs, text, keys, shingle, similarity), "verified").where("ok").select("u", "v")
 
 
+def _frequent(reps: DataFrame, n: int, shingle: int, sample: int = 8192, least: int = 3, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of frequent shingles and their ranks, the most frequent last: found in ``least`` of some ``sample`` of n reps(node, text)."""
+
+    def each(batches):
+        for b in batches:
+            for some in _batches(b.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(some, shingle)))], names=["h"])
+
+    some = reps.where(F.pmod(F.xxhash64("node"), F.lit(max(1, n // sample))) == 0).select("text")
+    counted = some.mapInArrow(each, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    h = np.array([r.h for r in counted.orderBy(F.desc("n"), "h").limit(most).collect()], np.int64)  # at most ``most`` rows
+    order = np.argsort(h)
+    return h[order], -order
+
+
+def prefix(s: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first members of a set: one of them is in the prefix of every set that is as similar."""
+    hot, rank = frequent
+    at = np.minimum(np.searchsorted(hot, s), max(0, len(hot) - 1))
+    known = hot[at] == s if len(hot) else np.zeros(len(s), bool)
+    last = s[known][np.argsort(rank[at[known]], kind="stable")] if known.any() else s[:0]
+    return np.concatenate([s[~known], last])[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1] if len(s) else s
+
+
+def _prefixes(docs: DataFrame, frequent, shingle: int, similarity: float) -> DataFrame:
+    """(h, id, cls, n, p) of docs(id, cls, text): a row per member h of the prefix, at place p of a set of n."""
+
+    def each(batches):
+        for b in batches:
+            at = 0
+            for some in _batches(b.column(2)):
+                sets = shingle_sets(some, shingle)
+                first = [prefix(s, frequent.value, similarity) for s in sets]
+                size = np.array([len(x) for x in first])
+                of = pa.array(np.repeat(np.arange(at, at + len(some)), size))
+                n, p = np.repeat([len(s) for s in sets], size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                at += len(some)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), b.column(0).take(of), b.column(1).take(of), pa.array(n.astype(np.int32)), pa.array(p.astype(np.int32))], names=["h", "id", "cls", "n", "p"])
+
+    return docs.select("id", "cls", "text").mapInArrow(each, "h bigint, id bigint, cls bigint, n int, p int")
+
+
+def _across_classes(shared: DataFrame, similarity: float, most: int) -> DataFrame:
+    """(a, b, differ): ids of different classes that share a member of their prefixes and may be linked; differ bounds the members of one only."""
+
+    def join(t: pa.Table, x: np.ndarray, starts: np.ndarray, role: np.ndarray):
+        ids, cls, n, p = (t.column(c).to_numpy().astype(np.int64) for c in ("id", "cls", "n", "p"))
+        lo, hi = starts[:-1], starts[1:]
+        own, left = np.nonzero(role < 0)[0], np.nonzero(role == 0)[0]
+        ranges = [np.concatenate([v[own], v[left + k]]) for k in (0, 1) for v in (lo, hi)]
+        if not len(ranges[0]):
+            return
+        for i, j in _across(*ranges, 1 << 18):
+            need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9).astype(np.int64)
+            # by the first shared member in the order all that follow it at most are shared, too
+            ok = (cls[i] != cls[j]) & (need <= np.minimum(n[i] - p[i], n[j] - p[j]))
+            if ok.any():
+                i, j, need = i[ok], j[ok], need[ok]
+                a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n[i] + n[j] - 2 * need)], names=["a", "b", "differ"])
+
+    rows = shared.withColumn("s", F.col("id"))
+    return _by_group(_chunked(rows, ["h"], F.col("id"), most), ["h"], join, "a bigint, b bigint, differ bigint").distinct()
+
+
+def missed(docs: DataFrame, known: DataFrame, nodes: DataFrame, text: str, shingle: int, similarity: float, most: int) -> DataFrame:
+    """Verified links (u, v) between nodes of different classes, all there are. docs(k, text); known(id, k, node, cls); nodes(id, k, node, odd)."""
+    spark, t = docs.sparkSession, similarity * (1 - 1e-12)
+    src = docs.join(known.select(F.col("k").alias("_k"), "id", "cls", "node"), F.col("k") == F.col("_k"))
+    reps = src.where("id = cls")
+    frequent = spark.sparkContext.broadcast(_frequent(reps, known.where("id = cls").count(), shingle))
+    group = Window.partitionBy("h")
+    dealt = _prefixes(src, frequent, shingle, t).withColumns({"_lo": F.min("cls").over(group), "_hi": F.max("cls").over(group)})
+    shared = stored(dealt.where("_lo <> _hi").drop("_lo", "_hi"), "shared")
+    side = lambda c, names: nodes.select(F.col("id").alias(f"_{c}"), *[F.col(k).alias(v) for k, v in names.items()])
+    both = _across_classes(shared, t, most).join(side("a", {"node": "u", "odd": "o1"}), F.col("a") == F.col("_a")).join(side("b", {"node": "v", "odd": "o2"}), F.col("b") == F.col("_b"))
+
+    def near(batches):
+        for b in batches:
+            ok = []
+            for most, *sides in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), strict=True):
+                ok.append(parities_differ(*(np.frombuffer(x, np.uint64) for x in sides)) <= most)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    pairs = stored(both.select("u", "v", "differ", "o1", "o2").mapInArrow(near, "u binary, v binary"), "missed")
+    if pairs.isEmpty():
+        return pairs
+    return stored(_verified(pairs, docs, text, nodes.select("node", "k"), shingle, similarity), "verified").where("ok").select("u", "v")
+
+
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, success: float = 0.99, most: int = 2048) -> DataFrame:
     """docs with one document of each class of linked ones, the one with the smallest id (null last); same columns.
 
     Of rows equal in id and text one stays.
     """
     rows = stored(wide_fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    nodes = stored(rows.groupBy("node").agg(F.min("k").alias("k"), F.first("fp").alias("fp")), "nodes")  # of one node all are equal
-    # the one shuffle of whole rows: equal ones collapse before it, and both joins below are by k
+    nodes = rows.groupBy("node").agg(F.min("k").alias("k"), F.first("fp").alias("fp"), F.first("odd").alias("odd"))  # of one node all are equal
+    nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    # the one shuffle of whole rows: equal ones collapse before it, and the joins below are by k
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key(docs, doc_id, text).alias("k"))
     held = clustered(whole.groupBy("k").agg(F.first("row").alias("row")), "held", "k")
     src = held.select("k", F.col("row").getField(text).alias("text"))
     edges = similar(src, nodes.select("node", "k"), nodes.select("node", "fp"), text, shingle, similarity, success, most)
-    roots = stored(connected_components(edges), "roots").select(F.col("node").alias("of"), "root")
+    roots = connected_components(edges).select(F.col("node").alias("of"), "root")
+    known = nodes.join(roots, F.col("node") == F.col("of"), "left").select("id", "k", "node", F.coalesce("root", "node").alias("_root"))
+    known = stored(known.join(nodes.select(F.col("node").alias("_of"), F.col("id").alias("cls")), F.col("_root") == F.col("_of")).select("id", "k", "node", "cls"), "known")
+    more = missed(src, known, nodes, "text", shingle, similarity, most)
+    side = lambda c: known.select(F.col("node").alias(f"_{c}"), F.col("cls").alias(f"c{c}"))
+    more = more.join(side("u"), F.col("u") == F.col("_u")).join(side("v"), F.col("v") == F.col("_v")).select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    joined = stored(connected_components(more), "joined").select(F.col("node").alias("_cls"), "root")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
     firsts = rows.groupBy("node").agg(F.min(order).alias("x"))  # a class may hold very many copies: they collapse before the join
-    kept = firsts.join(roots, F.col("node") == F.col("of"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("x").alias("x"))
+    classes = known.select(F.col("node").alias("of"), "cls").join(joined, F.col("cls") == F.col("_cls"), "left").select("of", F.coalesce("root", "cls").alias("root"))
+    kept = firsts.join(classes, F.col("node") == F.col("of")).groupBy("root").agg(F.min("x").alias("x"))
     kept = kept.select(F.col("x.k").alias("_k"))
     return held.join(kept, F.col("k") == F.col("_k"), "left_semi").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

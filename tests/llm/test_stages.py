@@ -60,6 +60,54 @@ def test_near_duplicate_stage(spark):
     assert sorted(r.doc_id for r in simhash.deduplicate(docs, most=8).collect()) == want
 
 
+def test_no_link_at_the_bound_is_missed(spark):
+    """Pairs at a similarity of just 0.8, and just below it, with a line that many texts share."""
+    g = np.random.default_rng(22)
+    line, rows = " ".join(f"l{i}" for i in range(9)), []
+    for q in range(1, 201):
+        k = q % 25 + 1
+        w = [f"w{q}x{i}" for i in g.permutation(5 * k + 5)]
+        rows += [(10 * q, " ".join(w[: 4 * k + 4])), (10 * q + 1, " ".join(w[: 5 * k + 4])), (10 * q + 2, " ".join([*w[: 4 * k + 4], line])), (10 * q + 3, " ".join([line, *w[:9]]))]
+        rows.append((10 * q + 4, " ".join([*(f"v{q}x{i}" for i in range(4 * k + 4))])))
+        rows.append((10 * q + 5, " ".join([*(f"v{q}x{i}" for i in range(5 * k + 5))])))  # one shingle too many
+    own = {i: brute_set(x) for i, x in rows}
+    by_place = {}
+    for i, s in own.items():
+        for x in s:
+            by_place.setdefault(x, []).append(i)
+    low = {i: i for i in own}
+    links = {(a, b) for ids in by_place.values() if len(ids) < 100 for a in ids for b in ids if a < b and linked(own[a], own[b])}
+    hot = {i for ids in by_place.values() if len(ids) >= 100 for i in ids}  # the line itself links nothing that shares nothing else
+    links |= {(a, b) for a in hot for b in hot if a < b and linked(own[a], own[b])}
+    for _ in range(10):
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    assert sum(5 * len(own[a] & own[b]) == 4 * len(own[a] | own[b]) for a, b in links) >= 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (2048, 8):
+        assert sorted(r.doc_id for r in simhash.deduplicate(docs, most=most).collect()) == sorted({i for i in low if low[i] == i})
+
+
+def test_prefixes_and_parities():
+    g = np.random.default_rng(23)
+    long = np.unique(g.integers(-(2**62), 2**62, 1100))
+    for new in (0, 1, 200):  # 2048 bits, also against 1024
+        assert simhash.parities_differ(simhash.parities(long), simhash.parities(long[new + 100 :])) <= new + 100
+    assert simhash.parities_differ(simhash.parities(long), simhash.parities(np.unique(g.integers(-(2**62), 2**62, 1100)))) > 275
+    for n in (1, 2, 4, 5, 9, 10, 50, 333):
+        a = np.unique(g.integers(-(2**62), 2**62, n))
+        hot = np.sort(g.permutation(a)[: n // 2])
+        for frequent in ((hot, g.permutation(len(hot))), (a[:0], a[:0])):
+            for gone in range(n // 5 + 1):
+                for new in range(n // 4 + 1):
+                    if 5 * (n - gone) < 4 * (n + new):
+                        continue
+                    b = np.unique(np.concatenate([g.permutation(a)[gone:], g.integers(-(2**62), 2**62, new)]))
+                    assert np.intersect1d(*(simhash.prefix(s, frequent, 0.8 * (1 - 1e-12)) for s in (a, b))).size
+                    assert simhash.parities_differ(simhash.parities(a), simhash.parities(b)) <= gone + new
+    assert not len(simhash.prefix(a[:0], (hot, hot), 0.8))
+
+
 def test_near_duplicate_stage_without_links(spark):
     docs = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (2, "a b c"), (None, "x y z"), (None, "x y z")], "doc_id long, text string")
     got = sorted((r.text, r.doc_id) for r in simhash.deduplicate(docs).collect())
