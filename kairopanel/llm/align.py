@@ -100,6 +100,8 @@ class Aligner:
         self.n_a, self.n_b = len(entries), len(pieces)
         self.bytes_a, self.bytes_b = (self._table(x) for x in (entries, [piece_bytes(x) for x in pieces]))
         self.shown = self._table([b"%d%s" % (i, e) for i in range(self.n_a) for e in (b",", b"|")] + [b"%d%s" % (i, e) for i in range(self.n_b) for e in (b",", b";")], np.uint8)
+        #: how ids are written: both vocabularies' fit into 16 bits, if they are small enough
+        self.written_as = "<u2" if max(self.n_a, self.n_b) <= 1 << 16 else "<u4"
         self.apart = self.a.plain and all("▁" not in x.lstrip("▁") for x in pieces)
         self._clear()
 
@@ -108,6 +110,12 @@ class Aligner:
         self.code: dict[str, int] = {}
         self.of_a, self.of_b, self.written = Ragged(np.uint32), Ragged(np.uint32), Ragged(np.uint8)
 
+    def forget(self) -> None:
+        """Drops what the dictionaries hold: a worker that has encoded goes on without encoding."""
+        self._clear()
+        for known in self.a.known.values():
+            known.clear()
+
     @staticmethod
     def _table(entries: list[bytes], kind=np.uint8) -> Ragged:
         out = Ragged(kind)
@@ -187,9 +195,17 @@ class Aligned:
         self.per_link = np.diff(np.searchsorted(self.links, self.upto, side="right"), prepend=0)
 
     @classmethod
-    def of_bytes(cls, of: Aligner, a: list[bytes], b: list[bytes]) -> Aligned:
-        ids = [np.frombuffer(b"".join(side), "<u4") for side in (a, b)]
-        return cls(of, *ids, *(np.array([len(x) // 4 for x in side], np.int64) for side in (a, b)))
+    def of_bytes(cls, of: Aligner, a: list[bytes], b: list[bytes], kind: str = "<u4") -> Aligned:
+        ids = [np.frombuffer(b"".join(side), kind) for side in (a, b)]
+        return cls(of, *ids, *(np.array([len(x) // np.dtype(kind).itemsize for x in side], np.int64) for side in (a, b)))
+
+    def ids(self) -> list[pa.Array]:
+        """The ids by A and by B of each text as they are written."""
+        out = []
+        for flat, per in ((self.a, self.per_a), (self.b, self.per_b)):
+            raw, upto = flat.astype(self.of.written_as).tobytes(), np.cumsum(per) * np.dtype(self.of.written_as).itemsize
+            out.append(pa.array([raw[lo:hi] for lo, hi in zip([0, *upto[:-1].tolist()], upto.tolist(), strict=True)], pa.binary()))
+        return out
 
     def n_groups(self) -> np.ndarray:
         return np.diff(np.searchsorted(np.flatnonzero(self.common), self.upto, side="right"), prepend=0)
@@ -355,7 +371,7 @@ def _first_pass(path_a: str, path_b: str, slots: int, id_type: pa.DataType, flus
                 held[0].append(u)
                 held[1].append(n)
                 wait += len(u)
-                ids = [pa.array(side, pa.binary()) for side in (a, b)]
+                ids = got.ids()
                 rows = pa.array(np.arange(row, row + hi - lo) + (part << 40))
                 row += hi - lo
                 none = [pa.nulls(hi - lo, t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())]
@@ -429,14 +445,17 @@ def _entry(r: dict, value: str) -> tuple[int, list[np.ndarray], np.ndarray, np.n
 
 
 def _second_pass(path_a: str, path_b: str, table, best):
+    import pyarrow.compute as pc
+
     names = ["doc_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
     def run(batches):
         of = aligner(path_a, path_b)
+        of.forget()
         for batch in batches:
-            for lo, hi in _runs([len(x) for x in batch.column(2).to_pylist()]):
+            for lo, hi in _runs(pc.binary_length(batch.column(2)).to_pylist()):
                 some = batch.slice(lo, hi - lo)
-                got = Aligned.of_bytes(of, *(some.column(k).to_pylist() for k in (2, 3)))
+                got = Aligned.of_bytes(of, *(some.column(k).to_pylist() for k in (2, 3)), of.written_as)
                 x, y = got.pairs()
                 count = table.value.get(x * of.n_b + y)
                 sums = [pa.array(_sums(v, got.per_link), pa.int64()) for v in ((count > 0) & (count == best.value[x]), count)]

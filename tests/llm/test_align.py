@@ -119,3 +119,16 @@ def test_perfect_hash():
     assert (table.get(inside) == inside + 1).all()
     others = np.setdiff1d(g.integers(0, 1 << 31, 20_000), keys)
     assert not table.get(others).any() and not table.get(keys[align.slot_of(keys, 5) == 4]).any()
+
+
+def test_ids_are_written_small_and_dictionaries_dropped():
+    of = align.Aligner(tokenizer_path(), piece_path())
+    texts = ["some words", None, "more words there", "a\n b"]
+    a, b, _ = of.encode(texts)
+    got = align.Aligned.of_bytes(of, a, b)
+    ids = [x.to_pylist() for x in got.ids()]
+    assert [[2 * len(x) for x in side] for side in ids] == [list(map(len, side)) for side in (a, b)]
+    again = align.Aligned.of_bytes(of, *ids, of.written_as)
+    assert all((x == y).all() for x, y in zip(got.pairs(), again.pairs(), strict=True))
+    of.forget()
+    assert not of.code and not any(of.a.known.values()) and of.encode(texts)[:2] == (a, b)
