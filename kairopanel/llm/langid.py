@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kairopanel.llm.common import let_go
+
 WINDOW = 256
 PAD = 256
 _LETTER = re.compile(r"[^\W\d_]")  # or a numeral that isn't a decimal digit
@@ -229,13 +231,16 @@ def predict(docs: DataFrame, model: BiGRU | None, text: str = "text") -> DataFra
     """docs as one struct column ``row`` (any columns, no clashes), with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few KB: its size depends on hidden and languages only
 
-    def label(batches):
-        for b in batches:
-            texts = b.column("_t").to_pylist()
-            lang, score = predict_texts(shared.value, texts)
-            keep = [n for n in b.schema.names if n != "_t"]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
+    at = [c.lower() for c in docs.columns].index(text.lower())
 
-    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("_t"))
+    def label(batches):
+        let_go()
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1024):
+                b = whole.slice(lo, 1024)
+                lang, score = predict_texts(shared.value, b.column(0).field(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
+
+    src = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))  # the text moves once
     schema = T.StructType([src.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return src.mapInArrow(label, schema)

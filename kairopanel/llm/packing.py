@@ -28,10 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kairopanel.llm.common import stored
+from kairopanel.llm.common import kept, stored
 
 END = 0
-_ENCODERS: dict = {}  # of this worker process, for its later tasks
 _ODD = re.compile(r" \s|[^\S ] | $|[\x1c-\x1f\x85᠎​]|<\|")
 
 
@@ -164,7 +163,7 @@ def _pieces(tokenizer_path: str, width: int, open_windows: int, least_cut: int,
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, space = _ENCODERS.get(tokenizer_path) or _ENCODERS.setdefault(tokenizer_path, Encoder(tokenizer_path)), Open(width, open_windows)
+        encoder, space = kept(("encoder", tokenizer_path), lambda: Encoder(tokenizer_path)), Open(width, open_windows)
         held: dict[int, list[tuple]] = {}
         windows = rows = 0
         done: list[tuple] = []

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairopanel.llm import vectors as V
-from kairopanel.llm.common import clustered, key_of, stored, word_hashes, words
+from kairopanel.llm.common import clustered, key_of, let_go, stored, word_hashes, words
 from kairopanel.llm.components import connected_components
 
 BITS = 64
@@ -361,6 +361,7 @@ def wide_fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) ->
     """(doc_id, k, node, fp, odd): node names the row's shingle set (128 bits), fp is its wide fingerprint, odd its parities."""
 
     def each(batches):
+        let_go()
         for b in batches:
             node, fp, odd = [], [], []
             for some in _batches(b.column(2)):
@@ -438,7 +439,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, keys: DataFrame, shi
 
     def deflated(batches):
         for b in batches:
-            z = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in b.column(1).to_pylist()]
+            z = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for lo in range(0, b.num_rows, 64) for t in b.column(1).slice(lo, 64).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["node", "z"])
 
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(keys, "node")

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,6 +316,26 @@ def test_packing(spark):
 # --- WARC ---
 
 
+def test_workers_keep_tables_of_one_operator(spark):
+    """Workers outlive a stage: what packing keeps there is gone when texts of another operator come to them."""
+    df = spark.createDataFrame([(i, f"the words of text {i}", "en") for i in range(40)], "doc_id bigint, text string, lang string").repartition(1)
+
+    def held(batches):
+        from kairopanel.llm import common, langid
+
+        for b in batches:
+            common.kept(("encoder", "x"), lambda: [0] * 1000)
+            first = list(common._KEPT)
+            common.kept(("other", "x"), list)
+            second = list(common._KEPT)
+            common.let_go()
+            yield pa.RecordBatch.from_pylist([{"x": f"{first} {second} {common._KEPT} {langid.let_go is common.let_go}"}])
+
+    assert {r.x for r in df.mapInArrow(held, "x string").collect()} == {"[('encoder', 'x')] [('other', 'x')] {} True"}
+    sent = langid.predict(df, None)._jdf.queryExecution().analyzed().toString()
+    assert "_t" not in sent.replace("_target", "")  # a text is sent to the workers once
+
+
 def test_warc(spark, tmp_path):
     pages = [(i, u, h) for i, (u, h) in enumerate([("http://www.a.org/x?q=1", "<p>é</p>"), ("http://www.a.org/x?q=1", "<p>é</p>"), (None, None), ("", ""), ("https://b.net:8080/ ü\r\nz", "<b>\r\n\r\nWARC/1.1</b>"), ("http://[bad", "x" * 100000)])]
     pages += [(9, "http://www.a.org/x?q=1", "<p>é</p>"), (9, "http://www.a.org/x?q=1", "<p>é</p>"), (8, "u", "only"), (8, "u", "only"), (None, "v", "none")]
