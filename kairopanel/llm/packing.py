@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,12 @@ from pyspark.sql import functions as F
 from kairopanel.llm.common import kept, stored
 
 END = 0
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_OWN = np.r_[33:127, 161:173, 174:256]
+#: Letters of a byte-level vocabulary by byte: printable Latin-1 stands for itself, other bytes for 256, 257, ...; here a new line parts runs.
+_LEVEL = np.zeros(256, "<u4")
+_LEVEL[_OWN], _LEVEL[np.setdiff1d(np.arange(256), _OWN)] = _OWN, 256 + np.arange(256 - len(_OWN))
+_LEVEL[10] = 32
 _ODD = re.compile(r" \s|[^\S ] | $|[\x1c-\x1f\x85᠎​]|<\|")
 
 
@@ -41,11 +48,17 @@ def _odd(t: str) -> bool:
     return not t.replace("\n", "").isprintable() and bool(_ODD.search(t))
 
 
+def _lines(t: str) -> bool:
+    """Whether new lines stand apart from other white space: then each is a run of its own, and what follows it is a piece, too."""
+    return "\n" in t and "\n\n" not in t and t.replace("\n", "").isprintable()
+
+
 class Encoder:
     """Ids of texts as little-endian uint32 bytes, all by the tokenizer file, with bounded dictionaries of pieces.
 
     New pieces are encoded many at once, as one line, which is cut again where a token begins with a piece's space (after
-    a new line: by the tokens' offsets).
+    a new line: by the tokens' offsets). Words of letters only are one run of the pre-tokenizer, so they go to the file's
+    merges at once; marks behind them are a run of their own.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -53,7 +66,7 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -61,62 +74,91 @@ class Encoder:
         self.plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         vocab = self.tokenizer.get_vocab()
+        self.plain = self.plain and "Ġ" in vocab
         self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.spaced[[i for x, i in vocab.items() if x.startswith("Ġ")]] = True
-        self.marks = {x: self.whole(x) for x in ",.;:!?"} if self.plain else {}
+        self.merges = Tokenizer(self.tokenizer.model)  # the same model; runs come in the vocabulary's letters, apart by spaces
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.newline = self.whole("\n")
+        self.marks: dict[str, bytes] = {}
         self.known: dict[str, dict[str, bytes]] = {"\n": {}, " ": {}}  # by what stands before the piece; heads of texts after a new line
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def mark(self, run: str) -> bytes:
+        if len(self.marks) >= 4096:
+            self.marks.clear()
+        return self.marks.get(run) or self.marks.setdefault(run, self.whole(run))
+
     def learn(self, lead: str, pieces: set[str]) -> None:
-        """Encodes pieces that come after ``lead``; a head's own tokens are those behind the new line."""
+        """Encodes pieces that come after ``lead``; a head's own tokens are those behind the new line.
+
+        A piece that begins with a new line has that one before it instead of a space.
+        """
         known = self.known[lead]
         if len(known) + len(pieces) > self.most:
             known.clear()
-        line, ended = list(pieces), []
-        if lead == " ":
-            # a mark after a word is a token run of its own: the word, which mostly is known, and the mark
-            ended = [x for x in line if x[-1] in self.marks and x[:-1].isalpha()]
-            stems = {x[:-1] for x in ended}.difference(known)
-            line = list(stems.union(pieces.difference(ended)))
-        else:  # heads with white space at their ends would run into each other's new lines
-            line = [x for x in line if x and not x[0].isspace() and not x[-1].isspace()]
+        if lead == "\n":  # heads with white space at their ends would run into each other's new lines
+            line = [x for x in pieces if x and not x[0].isspace() and not x[-1].isspace()]
             known.update((x, self.whole(x)) for x in pieces.difference(line))
-        for lo in range(0, len(line), 4096):
-            some = line[lo : lo + 4096]
-            got = self.tokenizer.encode(lead + lead.join(some), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            if lead == " ":  # no piece has a space within, so a token that begins with one begins a piece
-                turn = np.append(np.flatnonzero(self.spaced[ids]), len(ids))
-                turn, ends = turn[:-1], turn[1:]
+            return self._line(lead, line)
+        letters, ended, rest, heads = [], [], [], []
+        for x in pieces:
+            if (x[1:] if x[:1] == "\n" else x).isalpha():
+                letters.append(x)
+                continue
+            stem = x.rstrip(_MARKS)
+            if (stem[1:] if stem[:1] == "\n" else stem).isalpha():
+                ended.append((x, stem))
             else:
-                at, sizes = np.array(got.offsets, np.int64)[:, 0], np.array([len(x) + 1 for x in some])
-                starts = np.cumsum(sizes) - sizes
-                turn, ends = np.searchsorted(at, starts + 1), np.append(np.searchsorted(at, starts[1:]), len(ids))
+                (heads if x[:1] == "\n" else rest).append(x)
+        letters.extend({stem for _, stem in ended}.difference(known, letters))
+        for lo in range(0, len(letters), 512):
+            some = letters[lo : lo + 512]
+            line = _LEVEL[np.frombuffer((" " + "\n ".join(some)).encode(), np.uint8)].tobytes().decode("utf-32-le")
+            known.update(zip(some, self._cut(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids), strict=True))
+        known.update((x, self.newline + known[x][4:]) for x in letters if x[0] == "\n")  # what was cut there is a bare space
+        known.update((x, known[stem] + self.mark(x[len(stem) :])) for x, stem in ended)
+        self._line(lead, rest)
+        if heads:
+            self.learn("\n", {x[1:] for x in heads})
+            known.update((x, self.newline + self.known["\n"][x[1:]]) for x in heads)
+
+    def _cut(self, ids: list[int]) -> list[bytes]:
+        """The ids of each piece of a line; no piece has a space within, so a token that begins with one begins a piece."""
+        ids = np.array(ids, "<u4")
+        turn, raw = [*(4 * np.flatnonzero(self.spaced[ids])).tolist(), 4 * len(ids)], ids.tobytes()
+        return [raw[i:j] for i, j in pairwise(turn)]
+
+    def _line(self, lead: str, line: list[str]) -> None:
+        known = self.known[lead]
+        for lo in range(0, len(line), 512):
+            some = line[lo : lo + 512]
+            text = lead + lead.join(some)
+            if lead == " ":
+                known.update(zip(some, self._cut(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids), strict=True))
+                continue
+            got = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            at, sizes = np.array(got.offsets, np.int64)[:, 0], np.array([len(x) + 1 for x in some])
+            starts = np.cumsum(sizes) - sizes
+            turn, ends = np.searchsorted(at, starts + 1), np.append(np.searchsorted(at, starts[1:]), len(ids))
             raw = ids.tobytes()
             known.update(zip(some, (raw[4 * i : 4 * j] for i, j in zip(turn.tolist(), ends.tolist(), strict=True)), strict=True))
-        known.update((x, known[x[:-1]] + self.marks[x[-1]]) for x in ended)
 
     def encode(self, texts: list[str | None], end: int = END) -> list[bytes]:
         stop = np.array([end], "<u4").tobytes()
-        cut = [t.split(" ") if t and self.plain and not _odd(t) else None for t in texts]
-        heads, spaced = {c[0] for c in cut if c}, set()
+        cut = [(t.replace("\n", " \n") if _lines(t) else t).split(" ") if t and self.plain and not _odd(t) else None for t in texts]
+        heads, spaced = [c.pop(0) if c else "" for c in cut], set()
         for c in cut:
             if c:
-                spaced.update(c[1:])
-        for lead, some in (("\n", heads), (" ", spaced)):
+                spaced.update(c)
+        for lead, some in ((" ", spaced), ("\n", {h for h, c in zip(heads, cut, strict=True) if c is not None})):
             new = some.difference(self.known[lead])
             self.learn(lead, some if len(self.known[lead]) + len(new) > self.most else new)
         first, get = self.known["\n"], self.known[" "].__getitem__
-        out = []
-        for t, c in zip(texts, cut, strict=True):
-            if c is None:
-                out.append((self.whole(t) if t else b"") + stop)
-            else:
-                head, *rest = c
-                out.append(b"".join([first[head], *map(get, rest), stop]))
-        return out
+        return [((self.whole(t) if t else b"") if c is None else first[h] + b"".join(map(get, c))) + stop for t, h, c in zip(texts, heads, cut, strict=True)]
 
 
 class Open:

@@ -316,6 +316,30 @@ def test_packing(spark):
 # --- WARC ---
 
 
+def test_words_of_letters_skip_the_pre_tokenizer():
+    """New words and marks behind them go to the merges at once; ids stay those of whole texts, also around new lines."""
+    rng, e = np.random.default_rng(5), packing.Encoder(tokenizer_path())
+    seen, real = [], e.tokenizer
+
+    class Seen:
+        def __getattr__(self, name):
+            def call(x, **kw):
+                seen.extend(x if isinstance(x, list) else [x])
+                return getattr(real, name)(x, **kw)
+
+            return call
+
+    e.tokenizer = Seen()
+    some = ["".join(rng.choice(list("abcdeéßжñ中"), 9)) for _ in range(300)]
+    text = "The " + " ".join(w + "!" * (i % 3) for i, w in enumerate(some)) + " end.\nNew" + some[0]
+    assert e.encode([text]) == [np.array([*real.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()]
+    assert sum(map(len, seen)) < 50  # characters: the head and runs of marks
+    e.tokenizer, parts = real, [*"ab'é1½²_.,!#<|$\n\u0301\u00a0中", "'s", "'re", "\n", "\n\n", " ", " ", " ", "the", "word", "zu"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(6000)]
+    got = [g for lo in range(0, len(texts), 256) for g in e.encode(texts[lo : lo + 256])]
+    assert got == [np.array([*real.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for t in texts]
+
+
 def test_workers_keep_tables_of_one_operator(spark):
     """Workers outlive a stage: what packing keeps there is gone when texts of another operator come to them."""
     df = spark.createDataFrame([(i, f"the words of text {i}", "en") for i in range(40)], "doc_id bigint, text string, lang string").repartition(1)
